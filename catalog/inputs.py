@@ -126,3 +126,19 @@ def rd(expression: str, digits: int) -> str:
 
 def columns(names: Iterable[str], template: str = "{}") -> str:
     return ", ".join(template.format(n) for n in names)
+
+
+def snapped(df: DataFrame, digits: int, *cols: str) -> DataFrame:
+    """Cut numbers at a place where no short decimal lies.
+
+    Means and medians of short decimals often lie halfway between two roundings, where the last
+    bit of a sum decides. Here both engines cut alike.
+    """
+    scale = float(10**digits)
+    return df.withColumns({c: F.floor(F.col(c) * scale + 0.3137) / scale for c in cols})
+
+
+def snap(expression: str, digits: int) -> str:
+    """SQL of `snapped`."""
+    scale = f"CAST({10**digits} AS DOUBLE)"
+    return f"(floor(({expression}) * {scale} + 0.3137) / {scale})"

@@ -172,16 +172,16 @@ def unit_price(spark, sf_dir):
     "cost_by_band",
     with_readings(
         "SELECT CAST(date_trunc('month', ts) AS DATE) AS month, season, band, count(*) AS readings, "
-        "round(sum(usage_kwh), 3) AS usage_kwh, round(sum(cost_krw), 3) AS cost_krw, "
-        "round(sum(usage_kwh * unit_price), 2) AS priced_krw FROM priced GROUP BY ALL",
+        "round(sum(usage_kwh), 5) AS usage_kwh, round(sum(cost_krw), 5) AS cost_krw, "
+        "round(sum(usage_kwh * unit_price), 6) AS priced_krw FROM priced GROUP BY ALL",
         RATES_SQL,
         _BANDED,
         _PRICED,
     ),
 )
 def cost_by_band(spark, sf_dir):
-    df = rounded(pricing.cost_by_band(readings(spark, sf_dir)), 3, "usage_kwh", "cost_krw")
-    return rounded(df, 2, "priced_krw")
+    df = rounded(pricing.cost_by_band(readings(spark, sf_dir)), 5, "usage_kwh", "cost_krw")
+    return rounded(df, 6, "priced_krw")
 
 
 _ALL_PLANS = (
@@ -250,8 +250,8 @@ def plan_distribution(spark, sf_dir):
     "month_cost_by_band",
     with_readings(
         "SELECT CAST(date_trunc('month', ts) AS DATE) AS month, season, band, count(*) AS readings, "
-        "round(sum(usage_kwh), 3) AS usage_kwh, round(sum(cost_krw), 3) AS cost_krw, "
-        "round(sum(usage_kwh * unit_price), 2) AS priced_krw FROM priced "
+        "round(sum(usage_kwh), 5) AS usage_kwh, round(sum(cost_krw), 5) AS cost_krw, "
+        "round(sum(usage_kwh * unit_price), 6) AS priced_krw FROM priced "
         "WHERE date_trunc('month', ts) = DATE '2024-05-01' GROUP BY ALL",
         RATES_SQL,
         _BANDED,
@@ -260,4 +260,4 @@ def plan_distribution(spark, sf_dir):
 )
 def month_cost_by_band(spark, sf_dir):
     df = pricing.cost_by_band(in_month(readings(spark, sf_dir), MONTH))
-    return rounded(rounded(df, 3, "usage_kwh", "cost_krw"), 2, "priced_krw")
+    return rounded(rounded(df, 5, "usage_kwh", "cost_krw"), 6, "priced_krw")

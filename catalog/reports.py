@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.inputs import MONTH, rd, readings, rounded, rounded_all, table, with_readings
+from catalog.inputs import MONTH, rd, readings, rounded, rounded_all, snap, snapped, table, with_readings
 from catalog.pricing import _WEEKDAY_SQL
 from catalog.registry import query
 from gridtally.operators import report
@@ -20,9 +20,9 @@ def _chosen(spark, sf_dir):
 
 
 _BASELINE = ", ".join(
-    f"{rd(f'(SELECT avg(v) FROM (SELECT sum({c}) AS v FROM nov GROUP BY CAST(ts AS DATE)))', 3)} AS {n}_daily, "
-    f"{rd(f'''(SELECT avg(v) FROM (SELECT sum({c}) AS v FROM nov GROUP BY date_trunc('week', ts)))''', 3)} AS {n}_weekly, "
-    f"{rd(f'(SELECT sum({c}) FROM nov)', 3)} AS {n}_monthly"
+    f"{rd(f'(SELECT avg(v) FROM (SELECT sum({c}) AS v FROM nov GROUP BY CAST(ts AS DATE)))', 5)} AS {n}_daily, "
+    f"{rd(f'''(SELECT avg(v) FROM (SELECT sum({c}) AS v FROM nov GROUP BY date_trunc('week', ts)))''', 5)} AS {n}_weekly, "
+    f"{rd(f'(SELECT sum({c}) FROM nov)', 5)} AS {n}_monthly"
     for n, c in (("usage", "usage_kwh"), ("cost", "cost_krw"))
 )
 NOVEMBER = "nov AS (SELECT * FROM readings WHERE date_trunc('month', ts) = DATE '2024-11-01')"
@@ -30,7 +30,7 @@ NOVEMBER = "nov AS (SELECT * FROM readings WHERE date_trunc('month', ts) = DATE
 
 @query("baseline", with_readings(f"SELECT {_BASELINE}", NOVEMBER))
 def baseline(spark, sf_dir):
-    return rounded_all(report.baseline(readings(spark, sf_dir), "2024-11"), 3)
+    return rounded_all(report.baseline(readings(spark, sf_dir), "2024-11"), 5)
 
 
 @query(
@@ -38,8 +38,8 @@ def baseline(spark, sf_dir):
     with_readings(
         "SELECT meter_id, "
         + ", ".join(
-            f"round(avg(day_{n}), 3) AS {n}_daily, round(sum(day_{n}) / count(DISTINCT week), 3) AS {n}_weekly, "
-            f"round(sum(day_{n}), 3) AS {n}_monthly"
+            f"round(avg(day_{n}), 5) AS {n}_daily, round(sum(day_{n}) / count(DISTINCT week), 5) AS {n}_weekly, "
+            f"round(sum(day_{n}), 5) AS {n}_monthly"
             for n in ("usage", "cost")
         )
         + " FROM (SELECT meter_id, date_trunc('week', ts) AS week, CAST(ts AS DATE) AS d, "
@@ -48,7 +48,7 @@ def baseline(spark, sf_dir):
     ),
 )
 def baseline_per_meter(spark, sf_dir):
-    return rounded_all(report.baseline(readings(spark, sf_dir), "2024-11", by=["meter_id"]), 3)
+    return rounded_all(report.baseline(readings(spark, sf_dir), "2024-11", by=["meter_id"]), 5)
 
 
 @query(
@@ -80,7 +80,7 @@ _TREND = {
 
 def _trend_sql(unit):
     return (
-        f"SELECT {_TREND[unit]}, round(sum(cost_krw), 3) AS total, round(avg(cost_krw), 4) AS average, "
+        f"SELECT {_TREND[unit]}, round(sum(cost_krw), 5) AS total, {snap('avg(cost_krw)', 6)} AS average, "
         "count(*) AS readings FROM chosen GROUP BY ALL"
     )
 
@@ -88,7 +88,7 @@ def _trend_sql(unit):
 def _trend(unit):
     def run(spark, sf_dir):
         trend = report.cost_trend(_chosen(spark, sf_dir), unit)
-        return rounded(rounded(report.in_label_order(trend), 3, "total"), 4, "average")
+        return snapped(rounded(report.in_label_order(trend), 5, "total"), 6, "average")
 
     return run
 
@@ -100,27 +100,27 @@ for _unit in _TREND:
 @query(
     "trend_stats",
     with_readings(
-        "SELECT round(sum(total), 3) AS total, round(avg(average), 4) AS average, "
-        "round(max(total), 3) AS largest, CAST(sum(n) AS BIGINT) AS readings FROM "
+        "SELECT round(sum(total), 5) AS total, round(avg(average), 6) AS average, "
+        "round(max(total), 5) AS largest, CAST(sum(n) AS BIGINT) AS readings FROM "
         "(SELECT sum(cost_krw) AS total, avg(cost_krw) AS average, count(*) AS n FROM chosen "
         "GROUP BY CAST(ts AS DATE))"
     ),
 )
 def trend_stats(spark, sf_dir):
     stats = report.trend_stats(report.cost_trend(_chosen(spark, sf_dir), "day"))
-    return rounded(rounded(stats, 3, "total", "largest"), 4, "average")
+    return rounded(rounded(stats, 5, "total", "largest"), 6, "average")
 
 
 @query(
     "daily_sales_trend",
     "SELECT strftime(l_shipdate, '%m/%d') AS label, round(sum(l_extendedprice), 2) AS total, "
-    "round(avg(l_extendedprice), 4) AS average, count(*) AS readings FROM lineitem GROUP BY 1",
+    f"{snap('avg(l_extendedprice)', 6)} AS average, count(*) AS readings FROM lineitem GROUP BY 1",
 )
 def daily_sales_trend(spark, sf_dir):
     trend = report.cost_trend(
         table(spark, sf_dir, "lineitem"), "day", ts="l_shipdate", cost="l_extendedprice"
     )
-    return rounded(rounded(trend, 2, "total"), 4, "average")
+    return snapped(rounded(trend, 2, "total"), 6, "average")
 
 
 _YEAR = "year AS (SELECT * FROM readings WHERE ts >= (SELECT max(ts) FROM readings) - INTERVAL 1 YEAR)"
@@ -129,8 +129,8 @@ _YEAR = "year AS (SELECT * FROM readings WHERE ts >= (SELECT max(ts) FROM readin
 @query(
     "monthly_usage_cost",
     with_readings(
-        f"SELECT {_MONTH} AS month, round(sum(usage_kwh), 3) AS usage_kwh, "
-        f"round(avg(cost_krw), 4) AS mean_cost_krw, {_MONTH} = DATE '2025-03-01' AS selected "
+        f"SELECT {_MONTH} AS month, round(sum(usage_kwh), 5) AS usage_kwh, "
+        f"{snap('avg(cost_krw)', 6)} AS mean_cost_krw, {_MONTH} = DATE '2025-03-01' AS selected "
         "FROM year GROUP BY 1, 4",
         _YEAR,
     ),
@@ -138,7 +138,7 @@ _YEAR = "year AS (SELECT * FROM readings WHERE ts >= (SELECT max(ts) FROM readin
 def monthly_usage_cost(spark, sf_dir):
     monthly = report.monthly_usage_cost(readings(spark, sf_dir))
     marked = report.mark_selected(monthly, "2025-03")
-    return rounded(rounded(marked, 3, "usage_kwh"), 4, "mean_cost_krw")
+    return snapped(rounded(marked, 5, "usage_kwh"), 6, "mean_cost_krw")
 
 
 def _compare_sql(col):
@@ -152,8 +152,8 @@ def _compare_sql(col):
         f"(SELECT date_trunc('month', ts) AS m, sum({col}) AS v FROM year GROUP BY 1) USING (m))"
     )
     return with_readings(
-        f"SELECT round(previous, 3) AS previous, round(selected, 3) AS selected, "
-        f"round(yearly_mean, 3) AS yearly_mean, round((selected - previous) / previous * 100, 6) AS change_pct "
+        f"SELECT round(previous, 5) AS previous, round(selected, 5) AS selected, "
+        f"round(yearly_mean, 5) AS yearly_mean, round((selected - previous) / previous * 100, 6) AS change_pct "
         f"FROM (SELECT {total.format(BEFORE)} AS previous, {total.format(THIS)} AS selected, "
         f"{mean} AS yearly_mean)",
         _YEAR,
@@ -163,26 +163,26 @@ def _compare_sql(col):
 @query("compare_months_usage", _compare_sql("usage_kwh"))
 def compare_months_usage(spark, sf_dir):
     df = report.compare_months(readings(spark, sf_dir), MONTH, "usage_kwh")
-    return rounded(rounded(df, 3, "previous", "selected", "yearly_mean"), 6, "change_pct")
+    return rounded(rounded(df, 5, "previous", "selected", "yearly_mean"), 6, "change_pct")
 
 
 @query("compare_months_cost", _compare_sql("cost_krw"))
 def compare_months_cost(spark, sf_dir):
     df = report.compare_months(readings(spark, sf_dir), MONTH, "cost_krw")
-    return rounded(rounded(df, 3, "previous", "selected", "yearly_mean"), 6, "change_pct")
+    return rounded(rounded(df, 5, "previous", "selected", "yearly_mean"), 6, "change_pct")
 
 
 @query(
     "monthly_rollup",
     with_readings(
-        f"SELECT meter_id, {_MONTH} AS month, round(sum(usage_kwh), 3) AS usage_kwh, "
-        "round(sum(cost_krw), 3) AS cost_krw, round(sum(carbon_tco2), 6) AS carbon_tco2 "
+        f"SELECT meter_id, {_MONTH} AS month, round(sum(usage_kwh), 5) AS usage_kwh, "
+        "round(sum(cost_krw), 5) AS cost_krw, round(sum(carbon_tco2), 6) AS carbon_tco2 "
         "FROM readings GROUP BY ALL"
     ),
 )
 def monthly_rollup(spark, sf_dir):
     df = report.monthly_rollup(readings(spark, sf_dir), by=["meter_id"])
-    return rounded(rounded(df, 3, "usage_kwh", "cost_krw"), 6, "carbon_tco2")
+    return rounded(rounded(df, 5, "usage_kwh", "cost_krw"), 6, "carbon_tco2")
 
 
 def _summary(spark, sf_dir):
@@ -203,7 +203,7 @@ _SUMMARY = (
     "month_cards",
     with_readings(
         " UNION ALL ".join(
-            f"SELECT '{m}' AS measure, round(value, 3) AS value, round(previous, 3) AS previous, "
+            f"SELECT '{m}' AS measure, round(value, 5) AS value, round(previous, 5) AS previous, "
             "round((value - previous) / previous * 100, 6) AS change_pct FROM "
             f"(SELECT (SELECT {m} FROM summary WHERE month = {THIS}) AS value, "
             f"(SELECT {m} FROM summary WHERE month = {BEFORE}) AS previous)"
@@ -214,14 +214,14 @@ _SUMMARY = (
 )
 def month_cards(spark, sf_dir):
     cards = report.month_cards(_summary(spark, sf_dir), MONTH)
-    return rounded(rounded(cards, 3, "value", "previous"), 6, "change_pct")
+    return rounded(rounded(cards, 5, "value", "previous"), 6, "change_pct")
 
 
 @query(
     "month_cards_first_month",
     with_readings(
         " UNION ALL ".join(
-            f"SELECT '{m}' AS measure, round({m}, 3) AS value, CAST(0 AS DOUBLE) AS previous, "
+            f"SELECT '{m}' AS measure, round({m}, 5) AS value, CAST(0 AS DOUBLE) AS previous, "
             "CAST(0 AS DOUBLE) AS change_pct FROM summary WHERE month = (SELECT min(month) FROM summary)"
             for m in report.CARD_MEASURES
         ),
@@ -230,7 +230,7 @@ def month_cards(spark, sf_dir):
 )
 def month_cards_first_month(spark, sf_dir):
     cards = report.month_cards(_summary(spark, sf_dir), "2019-01")
-    return rounded(rounded(cards, 3, "value", "previous"), 6, "change_pct")
+    return rounded(rounded(cards, 5, "value", "previous"), 6, "change_pct")
 
 
 def _sum(col, month):
@@ -262,14 +262,14 @@ _30D = (
 @query(
     "change_vs_30d",
     with_readings(
-        "SELECT round(current, 3) AS current, round(previous, 3) AS previous, "
+        "SELECT round(current, 5) AS current, round(previous, 5) AS previous, "
         "round((current - previous) / previous * 100, 6) AS change_pct FROM thirty",
         _30D,
     ),
 )
 def change_vs_30d(spark, sf_dir):
     df = report.change_vs_30d(readings(spark, sf_dir), MONTH)
-    return rounded(rounded(df, 3, "current", "previous"), 6, "change_pct")
+    return rounded(rounded(df, 5, "current", "previous"), 6, "change_pct")
 
 
 _PEAK = (
@@ -361,15 +361,15 @@ def describe_query(spark, sf_dir):
 @query(
     "report_row",
     with_readings(
-        "SELECT '05' AS billing_month, round((SELECT sum(cost_krw) FROM chosen), 3) AS total_cost_krw, "
-        "round((SELECT sum(usage_kwh) FROM chosen), 3) AS current_usage_kwh, "
+        "SELECT '05' AS billing_month, round((SELECT sum(cost_krw) FROM chosen), 5) AS total_cost_krw, "
+        "round((SELECT sum(usage_kwh) FROM chosen), 5) AS current_usage_kwh, "
         "(SELECT CAST(min(ts) AS DATE) FROM chosen) AS period_start, "
         "(SELECT CAST(max(ts) AS DATE) FROM chosen) AS period_end, "
         "round((SELECT avg(carbon_tco2) FROM chosen), 9) AS mean_carbon_tco2, '04' AS previous_month, "
-        f"round({_sum('usage_kwh', BEFORE)}, 3) AS previous_usage_kwh, "
-        f"round({_sum('cost_krw', BEFORE)}, 3) AS previous_cost_krw, "
+        f"round({_sum('usage_kwh', BEFORE)}, 5) AS previous_usage_kwh, "
+        f"round({_sum('cost_krw', BEFORE)}, 5) AS previous_cost_krw, "
         "(SELECT main_work_type FROM main) AS main_work_type, "
-        "round((SELECT peak_cost_krw FROM peak), 3) AS peak_cost_krw, (SELECT peak_ts FROM peak) AS peak_ts, "
+        "round((SELECT peak_cost_krw FROM peak), 5) AS peak_cost_krw, (SELECT peak_ts FROM peak) AS peak_ts, "
         "round((SELECT (current - previous) / previous * 100 FROM thirty), 6) AS cost_change_30d_pct",
         _30D,
         _PEAK,
@@ -379,7 +379,7 @@ def describe_query(spark, sf_dir):
 def report_row(spark, sf_dir):
     df = report.report_row(readings(spark, sf_dir), MONTH)
     sums = [c for c in df.columns if c.endswith(("cost_krw", "usage_kwh"))]
-    return rounded(rounded(rounded(df, 3, *sums), 9, "mean_carbon_tco2"), 6, "cost_change_30d_pct")
+    return rounded(rounded(rounded(df, 5, *sums), 9, "mean_carbon_tco2"), 6, "cost_change_30d_pct")
 
 
 @query(
