@@ -130,10 +130,15 @@ def multi_target(
     train: DataFrame, future: DataFrame, targets: Sequence[str], model: Estimator
 ) -> DataFrame:
     """One model per measure on the same feature vectors; predictions take the measures' names."""
-    out = future.drop(*targets)
-    for target in targets:
-        out = model.copy().setLabelCol(target).setPredictionCol(target).fit(train).transform(out)
-    return out
+    fitted = {
+        f"_predicted_{t}": model.copy().setLabelCol(t).setPredictionCol(f"_predicted_{t}").fit(train)
+        for t in targets
+    }
+    return (
+        predict_all(future, fitted)
+        .drop(*targets)
+        .withColumnsRenamed({f"_predicted_{t}": t for t in targets})
+    )
 
 
 def feature_importance(spark: SparkSession, model: Model, names: Sequence[str]) -> DataFrame:
