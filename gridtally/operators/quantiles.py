@@ -51,39 +51,42 @@ def _number(column: str) -> Column:
 
 
 def _narrow(df: DataFrame, parts: list[_Part]) -> None:
+    """Cut each part at three of its values near the wanted rank and keep the piece that holds it.
+
+    The middle cut is a piece of its own, so every round leaves a smaller part or a single value.
+    """
     grid = F.array(*[F.lit(i / CUTS) for i in range(CUTS + 1)])
     sketch = df.agg(
         *[F.percentile_approx(p.member(), grid, 10_000).alias(f"p{i}") for i, p in enumerate(parts)]
     ).first()
-    aggs, cuts = [], []
-    for i, p in enumerate(parts):
-        near = (p.rank - p.below) / p.rows * CUTS
-        low, high = sketch[i][max(math.floor(near) - 1, 0)], sketch[i][min(math.ceil(near) + 1, CUTS)]
-        cuts.append((low, high))
-        value = p.member()
-        aggs += [
-            F.count_if(value < low).alias(f"below{i}"),
-            F.count_if(value <= high).alias(f"until{i}"),
-            F.min(value).alias(f"min{i}"),
-            F.max(F.when(value < low, value)).alias(f"before{i}"),
-            F.min(F.when(value > high, value)).alias(f"after{i}"),
-            F.max(value).alias(f"max{i}"),
+    pieces: list[list[Column]] = []
+    for p, cuts in zip(parts, sketch):
+        near = round((p.rank - p.below) / p.rows * CUTS)
+        low, mid, high = (cuts[min(max(near + step, 0), CUTS)] for step in (-2, 0, 2))
+        x = p.member()
+        pieces.append(
+            [
+                F.when(x < low, x),
+                F.when((x >= low) & (x < mid), x),
+                F.when(x == mid, x),
+                F.when((x > mid) & (x <= high), x),
+                F.when((x > mid) & (x > high), x),
+            ]
+        )
+    found = df.agg(
+        *[
+            F.struct(F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high")).alias(f"c{i}_{j}")
+            for i, cells in enumerate(pieces)
+            for j, x in enumerate(cells)
         ]
-    found = df.agg(*aggs).first()
-    for i, (p, (low, high)) in enumerate(zip(parts, cuts)):
-        under, until = found[f"below{i}"], found[f"until{i}"]
-        place = p.rank - p.below
-        if place < under:
-            p.low, p.high, p.rows = found[f"min{i}"], found[f"before{i}"], under
-        elif place < until:
-            p.low, p.high, p.below, p.rows = low, high, p.below + under, until - under
-        else:
-            p.low, p.high, p.below, p.rows = (
-                found[f"after{i}"],
-                found[f"max{i}"],
-                p.below + until,
-                p.rows - until,
-            )
+    ).first()
+    for i, p in enumerate(parts):
+        for j in range(len(pieces[i])):
+            piece = found[f"c{i}_{j}"]
+            if p.rank - p.below < piece.n:
+                p.low, p.high, p.rows = piece.low, piece.high, piece.n
+                break
+            p.below += piece.n
 
 
 def _pick(df: DataFrame, parts: list[_Part]) -> dict[tuple[str, int], float]:
