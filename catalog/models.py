@@ -368,6 +368,12 @@ def seasonal_ar(spark, sf_dir):
     return evaluate.metrics(out.filter(~known), "cost_krw", ["prediction"])
 
 
+@query("seasonal_ar_ahead")
+def seasonal_ar_ahead(spark, sf_dir):
+    known = train(spark, sf_dir).select("reading_id", "meter_id", "ts", "cost_krw")
+    return training.seasonal_ar_ahead(with_position(known), "cost_krw", steps=96)
+
+
 @query("forecast")
 def forecast_query(spark, sf_dir):
     settings = Settings(rounds=3, trees=3, depth=4, folds=2)

@@ -16,12 +16,19 @@ from gridtally.operators.ordered import Series, with_position
 from gridtally.operators.quantiles import exact_quantiles
 
 
+# Up to this many distinct labels are numbered in one task; more are sorted across the cluster.
+ONE_TASK_LABELS = 100_000
+
+
 def fit_labels(df: DataFrame, col: str) -> DataFrame:
     """Each distinct value with its place in sorted order, from 0."""
+    code = f"{col}_encoded"
     distinct = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    return with_position(distinct, Series(keys=(), order=(col,)), f"{col}_encoded").select(
-        col, F.col(f"{col}_encoded").cast("int")
-    )
+    if distinct.count() <= ONE_TASK_LABELS:
+        order = Window.partitionBy(F.lit(0)).orderBy(col)
+        return distinct.select(col, (F.row_number().over(order) - 1).alias(code))
+    placed = with_position(distinct, Series(keys=(), order=(col,)), code)
+    return placed.select(col, F.col(code).cast("int"))
 
 
 def label_encode(df: DataFrame, labels: DataFrame, col: str) -> DataFrame:
@@ -39,15 +46,19 @@ def _smoothed(total: Column, count: Column, global_mean: Column, smoothing: floa
     return global_mean * (1 - weight) + total / count * weight
 
 
+def _mean_of(sums: DataFrame) -> Column:
+    """The overall mean from group sums; it shares their shuffle instead of reading the rows again."""
+    return sums.agg(F.try_divide(F.sum("_sum"), F.sum("_n"))).scalar()
+
+
 def fit_target_means(
     train: DataFrame, col: str, target: str, smoothing: float = 10
 ) -> DataFrame:
     """Each category with its smoothed target mean, as `<col>_te`."""
-    global_mean = train.agg(F.avg(target)).scalar()
     sums = train.groupBy(col).agg(F.sum(target).alias("_sum"), F.count(target).alias("_n"))
     return sums.select(
         col,
-        _smoothed(F.col("_sum"), F.col("_n"), global_mean, smoothing).alias(f"{col}_te"),
+        _smoothed(F.col("_sum"), F.col("_n"), _mean_of(sums), smoothing).alias(f"{col}_te"),
     )
 
 
@@ -73,11 +84,11 @@ def target_encode_oof(
     The sums of (category, fold) are small; the other folds' sums are the category's totals minus
     the fold's own, so the readings are aggregated once and not once per fold.
     """
-    global_mean = train.agg(F.avg(target)).scalar()
     folded = train.withColumn("_fold", fold)
     own = folded.groupBy(col, "_fold").agg(
         F.sum(target).alias("_sum"), F.count(target).alias("_n")
     )
+    global_mean = _mean_of(own)
     category = Window.partitionBy(col)
     others = own.select(
         col,

@@ -11,6 +11,7 @@ from gridtally.operators.ordered import (
     POSITION,
     READINGS,
     Ordered,
+    Rolling,
     Series,
     over_blocks,
     sequences,
@@ -166,7 +167,7 @@ def _reachable(
 def lags_across(
     train: DataFrame,
     future: DataFrame,
-    values: Mapping[str, Ordered],
+    values: Mapping[str, Ordered | Rolling],
     series: Series = READINGS,
 ) -> DataFrame:
     """Ordered values of the future rows, computed over training and future rows together.

@@ -19,7 +19,7 @@ from gridtally.schema import METER, READING_ID, TS
 from gridtally.session import materialize
 
 POSITION = "position"
-BLOCK_ROWS = 4096
+WINDOW_BUFFER_ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -82,26 +82,153 @@ class Ordered:
     over: Callable[[WindowSpec], Column]
 
 
+@dataclass(frozen=True)
+class Rolling:
+    """Statistic of `rows` rows that end `shift` rows back; null until `need` of them have values."""
+
+    col: str
+    rows: int
+    statistic: str
+    shift: int
+    need: int
+
+    @property
+    def reach(self) -> int:
+        return self.rows - 1 + self.shift
+
+    @property
+    def span(self) -> tuple[str, int, int]:
+        return self.col, self.rows, self.shift
+
+    def pieces(self) -> list[tuple[int, int]]:
+        """(length, rows back) of runs whose lengths are powers of two and which make up the span."""
+        out, back = [], self.shift
+        for bit in reversed(range(self.rows.bit_length())):
+            if self.rows >> bit & 1:
+                out.append((1 << bit, back))
+                back += 1 << bit
+        return out
+
+
+# What a run must carry for each statistic; every run also carries its count of values.
+_CARRIED = {"mean": ("sum",), "std": ("sum", "dev"), "max": ("max",), "min": ("min",)}
+
+
+def _struct(values: Mapping[str, str], fields: Sequence[str]) -> Column:
+    return F.expr(f"struct({', '.join(f'{values[f]} AS {f}' for f in fields)})")
+
+
+def _one_row(col: str, fields: Sequence[str]) -> Column:
+    """The run of a single row: count, sum, squared deviations, extremes."""
+    x = f"CAST(`{col}` AS DOUBLE)"
+    return _struct(
+        {"n": f"IF({x} IS NULL, 0D, 1D)", "sum": f"coalesce({x}, 0D)", "dev": "0D", "max": x, "min": x},
+        fields,
+    )
+
+
+def _merge(a: str, b: str, fields: Sequence[str]) -> Column:
+    """Two neighbouring runs as one; the older one, `b`, is null where the series has not begun."""
+    apart = f"({a}.n * {b}.sum - {b}.n * {a}.sum)"
+    between = f"try_divide({apart} * {apart}, {a}.n * {b}.n * ({a}.n + {b}.n))"
+    return _struct(
+        {
+            "n": f"{a}.n + coalesce({b}.n, 0D)",
+            "sum": f"{a}.sum + coalesce({b}.sum, 0D)",
+            "dev": f"{a}.dev + coalesce({b}.dev, 0D) + coalesce({between}, 0D)",
+            "max": f"greatest({a}.max, {b}.max)",
+            "min": f"least({a}.min, {b}.min)",
+        },
+        fields,
+    )
+
+
+def _statistic(run: str, name: str, need: int) -> Column:
+    value = {
+        "mean": f"try_divide({run}.sum, {run}.n)",
+        "std": f"IF({run}.n > 1, sqrt(try_divide({run}.dev, {run}.n - 1)), NULL)",
+    }.get(name, f"{run}.{name}")
+    return F.expr(f"IF({run}.n >= {need}, {value}, NULL)")
+
+
+def _add_rolling(df: DataFrame, values: Mapping[str, Rolling], window: WindowSpec) -> DataFrame:
+    """Rolling statistics from runs of 1, 2, 4, ... rows.
+
+    A sliding frame adds up all its rows again for every row. Here a run of 2k rows is a run of k
+    rows merged with the one k rows back, and a span is merged from a few runs, so a row costs the
+    logarithm of the longest span. All windows share the one sort.
+    """
+    start = list(df.columns)
+    longest: dict[str, int] = {}
+    carried: dict[str, list[str]] = {}
+    for v in values.values():
+        longest[v.col] = max(longest.get(v.col, 0), v.rows)
+        known = carried.setdefault(v.col, ["n"])
+        known += [f for f in _CARRIED[v.statistic] if f not in known]
+    place = {c: i for i, c in enumerate(longest)}
+
+    def run(col: str, length: int) -> str:
+        return f"_run_{place[col]}_{length}"
+
+    df = df.withColumns({run(c, 1): _one_row(c, carried[c]) for c in longest})
+    length = 1
+    while grow := [c for c, rows in longest.items() if rows >= 2 * length]:
+        before = {c: f"_before_{place[c]}" for c in grow}
+        df = df.withColumns(
+            {b: F.lag(run(c, length), length).over(window) for c, b in before.items()}
+        ).withColumns(
+            {run(c, 2 * length): _merge(run(c, length), b, carried[c]) for c, b in before.items()}
+        )
+        length *= 2
+    spans = {v.span: v.pieces() for v in values.values()}
+    whole = {span: f"_span_{i}" for i, span in enumerate(spans)}
+    pieces = {
+        (col, k, back): f"_piece_{place[col]}_{k}_{back}"
+        for (col, _, _), parts in spans.items()
+        for k, back in parts
+    }
+    df = df.withColumns(
+        {name: F.lag(run(col, k), back).over(window) for (col, k, back), name in pieces.items()}
+    ).withColumns({whole[s]: F.col(pieces[s[0], *parts[0]]) for s, parts in spans.items()})
+    for step in range(1, max(len(parts) for parts in spans.values())):
+        df = df.withColumns(
+            {
+                whole[s]: _merge(whole[s], pieces[s[0], *parts[step]], carried[s[0]])
+                for s, parts in spans.items()
+                if len(parts) > step
+            }
+        )
+    return df.select(
+        *start,
+        *[_statistic(whole[v.span], v.statistic, v.need).alias(n) for n, v in values.items()],
+    )
+
+
 def over_blocks(
     df: DataFrame,
-    values: Mapping[str, Ordered],
+    values: Mapping[str, Ordered | Rolling],
     series: Series = READINGS,
     block_rows: int | None = None,
 ) -> DataFrame:
     """Add ordered values to a frame that has positions; all of them share one shuffle."""
     reach = max(v.reach for v in values.values())
-    size = block_rows or max(BLOCK_ROWS, 4 * reach)
+    # with the carried rows, a block fills the row buffer of a Spark window and no more
+    size = block_rows or max(WINDOW_BUFFER_ROWS - reach, 4 * reach)
     if reach > size:
         raise ValueError(f"blocks of {size} rows cannot look back {reach} rows")
     own = F.floor(F.col(POSITION) / size)
     carried = F.pmod(F.col(POSITION), F.lit(size)) >= size - reach
     blocks = F.when(carried, F.array(own, own + 1)).otherwise(F.array(own))
     window = Window.partitionBy(*series.keys, "_block").orderBy(POSITION)
+    spread = df.withColumn("_block", F.explode(blocks))
+    rolled = {n: v for n, v in values.items() if isinstance(v, Rolling)}
+    if rolled:
+        spread = _add_rolling(spread, rolled, window)
+    direct = [v.over(window).alias(n) for n, v in values.items() if isinstance(v, Ordered)]
     return (
-        df.withColumn("_block", F.explode(blocks))
-        .select("*", *[v.over(window).alias(n) for n, v in values.items()])
+        spread.select("*", *direct)
         .filter(F.col("_block") == own)
-        .drop("_block")
+        .select(*df.columns, *values)
     )
 
 
@@ -113,38 +240,38 @@ def lags(cols: Sequence[str], steps: Sequence[int]) -> dict[str, Ordered]:
     return {f"{c}_lag_{n}": lag(c, n) for c in cols for n in steps}
 
 
-_STATISTICS = {
-    "mean": F.avg,
-    "std": F.stddev_samp,
-    "max": F.max,
-    "min": F.min,
-    "median": lambda c: F.percentile(c, 0.5),
-}
+STATISTICS = ("mean", "std", "max", "min", "median")
+
 
+def _rolling(col: str, rows: int, statistic: str, shift: int, need: int) -> Ordered | Rolling:
+    if statistic not in STATISTICS:
+        raise ValueError(f"statistic must be one of {STATISTICS}, not {statistic!r}")
+    if statistic != "median":
+        return Rolling(col, rows, statistic, shift, need)
 
-def _framed(col: str, statistic: str, start: int, end: int, need: int) -> Ordered:
     def over(w: WindowSpec) -> Column:
-        frame = w.rowsBetween(start, end)
-        value = _STATISTICS[statistic](F.col(col)).over(frame)
-        return F.when(F.count(col).over(frame) >= need, value)
+        frame = w.rowsBetween(1 - rows - shift, -shift)
+        return F.when(F.count(col).over(frame) >= need, F.percentile(col, 0.5).over(frame))
 
-    return Ordered(-start, over)
+    return Ordered(rows - 1 + shift, over)
 
 
-def rolling(col: str, rows: int, statistic: str) -> Ordered:
+def rolling(col: str, rows: int, statistic: str) -> Ordered | Rolling:
     """Statistic of the row and the ones before it; null until there are `rows` values."""
-    return _framed(col, statistic, -(rows - 1), 0, rows)
+    return _rolling(col, rows, statistic, 0, rows)
 
 
 def rollings(
-    col: str, windows: Sequence[int], statistics: Sequence[str] = tuple(_STATISTICS)
-) -> dict[str, Ordered]:
+    col: str, windows: Sequence[int], statistics: Sequence[str] = STATISTICS
+) -> dict[str, Ordered | Rolling]:
     return {f"{col}_rolling_{s}_{w}": rolling(col, w, s) for w in windows for s in statistics}
 
 
-def rolling_before(col: str, rows: int, statistic: str, need: int | None = None) -> Ordered:
+def rolling_before(
+    col: str, rows: int, statistic: str, need: int | None = None
+) -> Ordered | Rolling:
     """Statistic of the rows before the current one, from a quarter of them (at least 10) on."""
-    return _framed(col, statistic, -rows, -1, max(rows // 4, 10) if need is None else need)
+    return _rolling(col, rows, statistic, 1, max(rows // 4, 10) if need is None else need)
 
 
 def pct_change(col: str, n: int) -> Ordered:

@@ -24,26 +24,39 @@ def unit_price(df: DataFrame, plan: str = PLAN_IN_USE, ts: str = TS) -> DataFram
     )
 
 
-def _with_candidates(df: DataFrame, ts: str) -> DataFrame:
-    """Add `_rates`, the 18 tables' prices for the reading's season and band.
+# (plan, era) of each table, in the order in which tables are compared.
+TABLES = list(dict.fromkeys((plan, era) for _, plan, era, *_ in sorted(rate_rows())))
 
-    The nine (season, band) rows hold the prices as an array, so pricing a reading under every
+
+def _with_prices(df: DataFrame, ts: str) -> DataFrame:
+    """Add `_price_0` and so on, every table's price for the reading's season and band.
+
+    The nine (season, band) rows hold the prices side by side, so pricing a reading under every
     table stays inside its row: no 18-fold rows and no shuffle.
     """
-    rates = (
-        rate_table(df.sparkSession)
-        .groupBy("season", "band")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "plan", "era", "price"))).alias("_rates"))
-    )
+    prices = [
+        F.max(F.when(F.col("rank") == i, F.col("price"))).alias(f"_price_{i}")
+        for i in range(len(TABLES))
+    ]
+    rates = rate_table(df.sparkSession).groupBy("season", "band").agg(*prices)
     banded = df.withColumns({"season": season(ts), "band": load_band(ts)})
     return banded.join(F.broadcast(rates), ["season", "band"], "left")
 
 
 def price_plans(df: DataFrame, usage: str = USAGE, cost: str = COST, ts: str = TS) -> DataFrame:
     """Each reading priced under all 18 tables, one row per reading and table."""
+    tables = [
+        F.struct(
+            F.lit(i).alias("rank"),
+            F.lit(plan).alias("plan"),
+            F.lit(era).alias("era"),
+            F.col(f"_price_{i}").alias("price"),
+        )
+        for i, (plan, era) in enumerate(TABLES)
+    ]
     return (
-        _with_candidates(df, ts)
-        .select(*df.columns, "season", "band", F.inline("_rates"))
+        _with_prices(df, ts)
+        .select(*df.columns, "season", "band", F.inline(F.array(*tables)))
         .withColumn("priced_krw", F.col(usage) * F.col("price"))
         .withColumn("difference_krw", F.abs(F.col(cost) - F.col("priced_krw")))
     )
@@ -51,32 +64,26 @@ def price_plans(df: DataFrame, usage: str = USAGE, cost: str = COST, ts: str = T
 
 def nearest_plan(df: DataFrame, usage: str = USAGE, cost: str = COST, ts: str = TS) -> DataFrame:
     """Add the table whose price comes closest to the bill; the earlier table wins a tie."""
-    nearest = F.array_min(
-        F.transform(
-            "_rates",
-            lambda r: F.struct(
-                F.abs(F.col(cost) - F.col(usage) * r["price"]).alias("difference"),
-                r["rank"].alias("rank"),
-                F.concat_ws("_", r["plan"], r["era"]).alias("label"),
-            ),
-        )
+    gaps = {
+        f"_gap_{i}": F.abs(F.col(cost) - F.col(usage) * F.col(f"_price_{i}"))
+        for i in range(len(TABLES))
+    }
+    nearest = F.col("nearest_difference")
+    first = F.coalesce(
+        *[F.when(F.col(f"_gap_{i}") == nearest, f"{p}_{e}") for i, (p, e) in enumerate(TABLES)]
     )
     return (
-        _with_candidates(df, ts)
-        .withColumn("_nearest", nearest)
-        .select(
-            *df.columns,
-            F.col("_nearest.label").alias("nearest_plan"),
-            F.col("_nearest.difference").alias("nearest_difference"),
-        )
+        _with_prices(df, ts)
+        .withColumns(gaps)
+        .withColumn("nearest_difference", F.least(*gaps))
+        .select(*df.columns, first.alias("nearest_plan"), "nearest_difference")
     )
 
 
 def plan_distribution(df: DataFrame, ts: str = TS) -> DataFrame:
     """How many readings fit each table best, by price era: one row per era."""
-    ranked = {rank: f"{plan}_{era}" for rank, plan, era, *_ in rate_rows()}
     fitted = nearest_plan(df, ts=ts).withColumn("applied", rate_era(ts))
-    return pivot_counts(fitted, ["applied"], "nearest_plan", list(ranked.values()))
+    return pivot_counts(fitted, ["applied"], "nearest_plan", [f"{p}_{e}" for p, e in TABLES])
 
 
 def cost_by_band(df: DataFrame, plan: str = PLAN_IN_USE, ts: str = TS) -> DataFrame:

@@ -103,8 +103,10 @@ def _pick(df: DataFrame, parts: list[_Part]) -> dict[tuple[str, int], float]:
         F.col("part") + 1,
     )
     upto = F.sum("n").over(Window.partitionBy("part").orderBy("value"))
+    inside = F.coalesce(*[g[0].member() for g in groups]).isNotNull()
     rows = (
-        df.select(F.inline(members))
+        df.filter(inside)
+        .select(F.inline(members))
         .filter(F.col("value").isNotNull())
         .groupBy("part", "value")
         .agg(F.count("*").alias("n"))

@@ -33,6 +33,7 @@ from gridtally.operators.ordered import (
     POSITION,
     READINGS,
     Ordered,
+    Rolling,
     Series,
     lags,
     over_blocks,
@@ -97,7 +98,7 @@ def row_features(df: DataFrame) -> DataFrame:
     )
 
 
-def past_features(settings: Settings) -> dict[str, Ordered]:
+def past_features(settings: Settings) -> dict[str, Ordered | Rolling]:
     """Lags of the target and statistics of the rows strictly before: no row sees its own target."""
     statistics = {
         f"{settings.target}_rolling_{s}_{w}": rolling_before(settings.target, w, s)
@@ -115,9 +116,9 @@ def feature_tables(
     known = over_blocks(with_position(train, settings.series), past, settings.series).drop(POSITION)
     known = known.dropna(subset=[target, *past])
     ahead = lags_across(train, future, past, settings.series)
-    known, ahead = row_features(known), row_features(ahead)
-
-    known = materialize(iqr_filter(known, target), "known")
+    # written before the quartiles are looked for, so that the windows run once
+    known, ahead = materialize(row_features(known), "past"), row_features(ahead)
+    known = iqr_filter(known, target)
     for col in CODED:
         codes = fit_labels(known, col)
         known, ahead = label_encode(known, codes, col), label_encode(ahead, codes, col)

@@ -97,6 +97,19 @@ def test_seasonal_ar_follows_a_regular_series(spark):
     assert np.abs(out["prediction"] - out["y"]).mean() < 6
 
 
+def test_seasonal_ar_continues_a_regular_series(spark):
+    df = spark.range(400).select(
+        (F.col("id") % 2).alias("meter_id"),
+        F.floor(F.col("id") / 2).alias("t"),
+    )
+    df = df.withColumn("y", F.col("t") % 24 * 5 + F.col("t") * 0.5 + F.col("meter_id") * 100)
+    line = Series(("meter_id",), ("t",))
+    out = training.seasonal_ar_ahead(with_position(df, line), "y", 60, series=line).toPandas()
+    t = out["step"] + 199
+    assert len(out) == 120
+    np.testing.assert_allclose(out["prediction"], t % 24 * 5 + t * 0.5 + out["meter_id"] * 100, rtol=1e-6)
+
+
 def test_isolation_finds_the_far_points(spark):
     df = spark.range(3000).select(
         F.col("id").alias("reading_id"),
