@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from catalog.inputs import (
     BAND_SQL,
     ERA_SQL,

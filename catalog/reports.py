@@ -358,6 +358,11 @@ def describe_query(spark, sf_dir):
     return rounded_all(describe(readings(spark, sf_dir), _DESCRIBED), 6)
 
 
+def _one_decimal(value):
+    tenths = f"CAST(round({value} * 10) AS BIGINT)"
+    return f"format('{{:,}}', {tenths} // 10) || '.' || ({tenths} % 10)"
+
+
 @query(
     "report_row",
     with_readings(
@@ -382,6 +387,29 @@ def report_row(spark, sf_dir):
     return rounded(rounded(rounded(df, 5, *sums), 9, "mean_carbon_tco2"), 6, "cost_change_30d_pct")
 
 
+@query(
+    "report_texts",
+    with_readings(
+        "SELECT '05' AS billing_month, format('{:,}', CAST(round(sum(cost_krw)) AS BIGINT)) || ' 원' AS total_cost, "
+        "strftime(min(ts), '%Y-%m-%d') || ' ~ ' || strftime(max(ts), '%Y-%m-%d') AS usage_period, "
+        "(SELECT main_work_type FROM main) AS main_work_type, '04' AS previous_month, "
+        f"{_one_decimal('sum(usage_kwh)')} || ' kWh' AS current_usage, "
+        f"{_one_decimal(_sum('usage_kwh', BEFORE))} || ' kWh' AS previous_usage, "
+        f"'₩' || format('{{:,}}', CAST(round({_sum('cost_krw', BEFORE)}) AS BIGINT)) AS previous_total_cost, "
+        "(SELECT '₩' || format('{:,}', CAST(round(peak_cost_krw) AS BIGINT)) || ' (발생일시: ' || "
+        "strftime(peak_ts, '%Y-%m-%d %H:%M') || ')' FROM peak) AS peak_cost_info, "
+        "printf('%.3f', avg(carbon_tco2)) || ' tCO₂' AS avg_carbon_info, "
+        "(SELECT printf('%+.1f', (current - previous) / previous * 100) || '%' FROM thirty) AS monthly_change_info "
+        "FROM chosen",
+        _30D,
+        _PEAK,
+        _MAIN,
+    ),
+)
+def report_texts(spark, sf_dir):
+    return report.report_texts(report.report_row(readings(spark, sf_dir), MONTH))
+
+
 @query(
     "group_mean",
     with_readings(

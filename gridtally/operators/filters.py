@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.schema import TS
+from gridtally.schema import MONTH, TS
 
 
 def instant(df: DataFrame, value: str, ts: str = TS) -> Column:
@@ -15,9 +15,33 @@ def instant(df: DataFrame, value: str, ts: str = TS) -> Column:
     return F.lit(value).cast(df.schema[ts].dataType)
 
 
-def _from_until(df: DataFrame, start: Column, end: Column, ts: str) -> DataFrame:
+def has_month_folders(df: DataFrame, ts: str = TS) -> bool:
+    """Whether the frame has the month column that `write_predictions` lays tables out by."""
+    return ts == TS and MONTH in df.columns and dict(df.dtypes)[MONTH] == "date"
+
+
+def time_range(
+    df: DataFrame, start: Column | None = None, end: Column | None = None, ts: str = TS
+) -> DataFrame:
+    """Rows from `start` up to, but not including, `end`; skips month folders outside of them."""
     kind = df.schema[ts].dataType
-    return df.filter((F.col(ts) >= start.cast(kind)) & (F.col(ts) < end.cast(kind)))
+    folders = has_month_folders(df, ts)
+    if start is not None:
+        df = df.filter(F.col(ts) >= start.cast(kind))
+        if folders:
+            df = df.filter(F.col(MONTH) >= F.trunc(start, "month"))
+    if end is not None:
+        df = df.filter(F.col(ts) < end.cast(kind))
+        if folders:
+            df = df.filter(F.col(MONTH).cast(kind) < end.cast(kind))
+    return df
+
+
+def newest(df: DataFrame, ts: str = TS) -> Column:
+    """The newest time, as a scalar; reads only the newest month folder where there are folders."""
+    if has_month_folders(df, ts):
+        df = df.filter(F.col(MONTH) == df.agg(F.max(MONTH)).scalar())
+    return df.agg(F.max(ts)).scalar()
 
 
 def _month_start(month: str, shift: int = 0) -> Column:
@@ -26,16 +50,16 @@ def _month_start(month: str, shift: int = 0) -> Column:
 
 def in_month(df: DataFrame, month: str, ts: str = TS) -> DataFrame:
     """The whole month, `YYYY-MM`, last day included."""
-    return _from_until(df, _month_start(month), _month_start(month, 1), ts)
+    return time_range(df, _month_start(month), _month_start(month, 1), ts)
 
 
 def previous_month(df: DataFrame, month: str, ts: str = TS) -> DataFrame:
-    return _from_until(df, _month_start(month, -1), _month_start(month), ts)
+    return time_range(df, _month_start(month, -1), _month_start(month), ts)
 
 
 def in_dates(df: DataFrame, start: str, end: str, ts: str = TS) -> DataFrame:
     """From the start day to the end day, both included."""
-    return _from_until(df, F.lit(start).cast("date"), F.date_add(F.lit(end).cast("date"), 1), ts)
+    return time_range(df, F.lit(start).cast("date"), F.date_add(F.lit(end).cast("date"), 1), ts)
 
 
 def between(df: DataFrame, start: str, end: str, ts: str = TS) -> DataFrame:
@@ -46,17 +70,16 @@ def between(df: DataFrame, start: str, end: str, ts: str = TS) -> DataFrame:
 def trailing_year(df: DataFrame, ts: str = TS, by: Sequence[str] = ()) -> DataFrame:
     """Rows at most one year older than the newest row (of each `by` group)."""
     if by:
-        newest = df.groupBy(*by).agg(F.max(ts).alias("_newest"))
-        joined = df.join(newest, list(by))
+        latest = df.groupBy(*by).agg(F.max(ts).alias("_newest"))
+        joined = df.join(latest, list(by))
         return joined.filter(F.col(ts) >= F.col("_newest") - F.expr("INTERVAL 1 YEAR")).drop("_newest")
-    newest = df.agg(F.max(ts)).scalar()
-    return df.filter(F.col(ts) >= newest - F.expr("INTERVAL 1 YEAR"))
+    return time_range(df, newest(df, ts) - F.expr("INTERVAL 1 YEAR"), ts=ts)
 
 
 def previous_days(df: DataFrame, chosen: DataFrame, days: int = 30, ts: str = TS) -> DataFrame:
     """Rows of `df` in the days before the first row of `chosen`."""
     first = chosen.agg(F.min(ts)).scalar()
-    return df.filter((F.col(ts) >= first - F.expr(f"INTERVAL {days} DAY")) & (F.col(ts) < first))
+    return time_range(df, first - F.expr(f"INTERVAL {days} DAY"), first, ts)
 
 
 def select_metrics(df: DataFrame, metrics: Sequence[str], ts: str = TS) -> DataFrame:

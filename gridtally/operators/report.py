@@ -17,7 +17,14 @@ from gridtally.functions.calendar import (
     time_label,
     week_of,
 )
-from gridtally.operators.filters import in_month, previous_days, previous_month, trailing_year
+from gridtally.operators.filters import (
+    in_month,
+    newest,
+    previous_days,
+    previous_month,
+    time_range,
+    trailing_year,
+)
 from gridtally.schema import (
     CARBON,
     COST,
@@ -46,9 +53,7 @@ def change_pct(current: Column, previous: Column) -> Column:
 
 def _two_months(df: DataFrame, month: str, ts: str = TS) -> DataFrame:
     """The month and the one before, cut out by a range of time that file scans can use."""
-    kind = df.schema[ts].dataType
-    start, end = _first_of(month, -1).cast(kind), _first_of(month, 1).cast(kind)
-    return df.filter((F.col(ts) >= start) & (F.col(ts) < end))
+    return time_range(df, _first_of(month, -1), _first_of(month, 1), ts)
 
 
 def side_by_side(*rows: DataFrame) -> DataFrame:
@@ -143,14 +148,15 @@ def compare_months(df: DataFrame, month: str, metric: str = USAGE, ts: str = TS)
 
     A month of the last year without readings counts as a month with total 0.
     """
-    since = df.agg(F.max(ts)).scalar() - F.expr("INTERVAL 1 YEAR")
+    since = newest(df, ts) - F.expr("INTERVAL 1 YEAR")
     value, in_year = F.col(metric), F.col(ts) >= since
-    oldest, newest = (f(F.when(in_year, month_of(ts))) for f in (F.min, F.max))
-    months = F.months_between(newest, oldest) + 1
+    first, last = (f(F.when(in_year, month_of(ts))) for f in (F.min, F.max))
+    months = F.months_between(last, first) + 1
     this = month_of(ts)
+    # nothing older than both periods is needed
+    start = F.least(since, _first_of(month, -1).cast(df.schema[ts].dataType))
     return (
-        # nothing older than both periods is needed
-        df.filter(F.col(ts) >= F.least(since, _first_of(month, -1).cast(df.schema[ts].dataType)))
+        time_range(df, start, ts=ts)
         .agg(
             _total(F.when(this == _first_of(month, -1), value)).alias("previous"),
             _total(F.when(this == _first_of(month), value)).alias("selected"),
@@ -300,3 +306,26 @@ def report_row(df: DataFrame, month: str) -> DataFrame:
         peak_reading(chosen).select("peak_cost_krw", "peak_ts"),
         change_vs_30d(df, month).select(F.col("change_pct").alias("cost_change_30d_pct")),
     )
+
+
+def report_texts(row: DataFrame) -> DataFrame:
+    """The row of `report_row` as the texts a printed report shows."""
+    won, kwh = "%,.0f 원", "%,.1f kWh"
+    day = "yyyy-MM-dd"
+    return row.select(
+        "billing_month",
+        F.format_string(won, "total_cost_krw").alias("total_cost"),
+        F.concat(F.date_format("period_start", day), F.lit(" ~ "), F.date_format("period_end", day)).alias(
+            "usage_period"
+        ),
+        "main_work_type",
+        "previous_month",
+        F.format_string(kwh, "current_usage_kwh").alias("current_usage"),
+        F.format_string(kwh, "previous_usage_kwh").alias("previous_usage"),
+        F.format_string("₩%,.0f", "previous_cost_krw").alias("previous_total_cost"),
+        F.format_string(
+            "₩%,.0f (발생일시: %s)", "peak_cost_krw", F.date_format("peak_ts", "yyyy-MM-dd HH:mm")
+        ).alias("peak_cost_info"),
+        F.format_string("%.3f tCO₂", "mean_carbon_tco2").alias("avg_carbon_info"),
+        F.format_string("%+.1f%%", "cost_change_30d_pct").alias("monthly_change_info"),
+    )

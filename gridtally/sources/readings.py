@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from gridtally import schema as S
 from gridtally.functions.calendar import month_of
+from gridtally.operators.filters import time_range
 
 
 def normalize_columns(df: DataFrame, names: dict[str, str] = S.HEADER_NAMES) -> DataFrame:
@@ -68,15 +69,8 @@ def read_readings(
         raise ValueError(f"fmt must be csv or parquet, not {fmt!r}")
     if S.TS not in df.columns:
         raise ValueError(f"no reading time among the columns {df.columns} of {path}")
-    for bound, test in ((start, "__ge__"), (end, "__lt__")):
-        if bound:
-            instant = F.lit(bound).cast(df.schema[S.TS].dataType)
-            df = df.filter(getattr(F.col(S.TS), test)(instant))
-            if S.MONTH in df.columns:
-                month = F.trunc(F.lit(bound).cast("timestamp_ntz"), "month")
-                folder = F.col(S.MONTH).cast("date")
-                df = df.filter(folder >= month if bound is start else folder <= month)
-    return df
+    bounds = [None if b is None else F.lit(b).cast("timestamp_ntz") for b in (start, end)]
+    return time_range(df, *bounds)
 
 
 def read_csv_encoded(spark: SparkSession, path: str, encoding: str = "CP949") -> DataFrame:
