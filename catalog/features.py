@@ -375,15 +375,29 @@ def future_sequences(spark, sf_dir):
     return _shown(future.future_sequences(train(spark, sf_dir), ahead, _INPUTS, _STEPS), "ts")
 
 
-@query("augment_sequences")
+@query(
+    "augment_sequences",
+    with_readings(
+        "SELECT reading_id, CAST(c AS INTEGER) AS copy, cost_krw, steps, "
+        "CASE WHEN c = 0 THEN usage_first END AS usage_first, c > 0 AS noisy FROM ("
+        + _sequence_sql("readings", "10 PRECEDING", "1 PRECEDING", "cost_krw")
+        + "), (SELECT unnest(range(3)) AS c)"
+    ),
+)
 def augment_sequences(spark, sf_dir):
+    """The original and two noisy copies; SQL can tell which values must have changed."""
     placed = _placed(spark, sf_dir, *_INPUTS, "cost_krw")
-    noisy = ordered.augment_sequences(
-        ordered.sequences(placed, _INPUTS, _STEPS, "cost_krw"), copies=2, noise=0.01
-    )
-    first = F.col("sequence")[0]
-    return noisy.select(
-        "reading_id", "copy", "cost_krw", F.size("sequence").alias("steps"), first[0].alias("usage_first")
+    plain = ordered.sequences(placed, _INPUTS, _STEPS, "cost_krw")
+    plain = plain.withColumn("usage_first", F.col("sequence")[0]["usage_kwh"])
+    out = ordered.augment_sequences(plain, copies=2, noise=0.01)
+    first = F.col("sequence")[0][0]
+    return out.select(
+        "reading_id",
+        "copy",
+        "cost_krw",
+        F.size("sequence").alias("steps"),
+        F.when(F.col("copy") == 0, first).alias("usage_first"),
+        (first != F.col("usage_first")).alias("noisy"),
     )
 
 

@@ -279,14 +279,14 @@ def ridge(spark, sf_dir):
     "ridge_one_feature",
     with_readings(
         "SELECT reading_id, round(regr_intercept(cost_krw, usage_kwh) OVER () "
-        "+ regr_slope(cost_krw, usage_kwh) OVER () * usage_kwh, 2) AS prediction FROM readings"
+        "+ regr_slope(cost_krw, usage_kwh) OVER () * usage_kwh, 1) AS prediction FROM readings"
     ),
 )
 def ridge_one_feature(spark, sf_dir):
     """Least squares on one feature, which SQL can also do."""
     df = assemble(readings(spark, sf_dir).select("reading_id", "cost_krw", "usage_kwh"), ["usage_kwh"])
     out = training.ridge("cost_krw", 0.0).fit(df).transform(df)
-    return rounded(out.select("reading_id", "prediction"), 2, "prediction")
+    return rounded(out.select("reading_id", "prediction"), 1, "prediction")
 
 
 @query("oof_predictions")
@@ -348,14 +348,116 @@ def tune(spark, sf_dir):
     return errors
 
 
-@query("saved_model")
+# Least squares on one feature has a SQL answer, so the machinery around a model can be compared
+
+_FOLDS = 3
+
+
+def _one_feature(spark, sf_dir):
+    df = readings(spark, sf_dir).select("reading_id", "ts", *MEASURES)
+    return materialize(assemble(df, ["usage_kwh"]), "vectors")
+
+
+def _coefficients(source, y="cost_krw"):
+    return (
+        f"SELECT f AS fold, regr_slope({y}, usage_kwh) AS b, regr_intercept({y}, usage_kwh) AS a "
+        f"FROM {source}, (SELECT unnest(range({_FOLDS})) AS f) WHERE reading_id % {_FOLDS} <> f GROUP BY f"
+    )
+
+
+_OOF = (
+    "oof AS (SELECT reading_id, cost_krw, usage_kwh, CAST(fold AS INTEGER) AS fold, a + b * usage_kwh AS linear "
+    f"FROM readings JOIN ({_coefficients('readings')}) c ON reading_id % {_FOLDS} = fold)"
+)
+
+
+def _linear_oof(spark, sf_dir):
+    df = _one_feature(spark, sf_dir)
+    folds = training.kfold_frames(df, splits.kfold(_FOLDS), _FOLDS)
+    models = {"linear": training.ridge("cost_krw", 0.0)}
+    return df, training.oof_predictions(df, models, folds, ["reading_id", "cost_krw"])[0]
+
+
+@query(
+    "oof_predictions_linear",
+    with_readings("SELECT reading_id, fold, round(linear, 1) AS linear FROM oof", _OOF),
+)
+def oof_predictions_linear(spark, sf_dir):
+    _, oof = _linear_oof(spark, sf_dir)
+    return rounded(oof.select("reading_id", "fold", "linear"), 1, "linear")
+
+
+@query(
+    "stack_linear",
+    with_readings(
+        "SELECT reading_id, round(m.a + m.b * (s.a + s.b * usage_kwh), 1) AS prediction FROM readings, "
+        "(SELECT regr_slope(cost_krw, linear) AS b, regr_intercept(cost_krw, linear) AS a FROM oof) m, "
+        "(SELECT regr_slope(cost_krw, usage_kwh) AS b, regr_intercept(cost_krw, usage_kwh) AS a FROM readings) s",
+        _OOF,
+    ),
+)
+def stack_linear(spark, sf_dir):
+    df, oof = _linear_oof(spark, sf_dir)
+    meta = training.stack(oof, "cost_krw", ["linear"])
+    fitted = training.fit_all(df, {"linear": training.ridge("cost_krw", 0.0)})
+    out = meta.transform(training.predict_all(df, fitted))
+    return rounded(out.select("reading_id", "prediction"), 1, "prediction")
+
+
+@query(
+    "fold_averaged_forecast_linear",
+    with_readings(
+        "SELECT reading_id, round(avg(a + b * usage_kwh), 1) AS linear FROM (SELECT * FROM readings "
+        f"WHERE ts >= TIMESTAMP '2024-12-01 00:00:00'), ({_coefficients('train')}) GROUP BY 1"
+    ),
+)
+def fold_averaged_forecast_linear(spark, sf_dir):
+    df = _one_feature(spark, sf_dir)
+    past = F.col("ts") < F.lit("2024-12-01").cast("timestamp_ntz")
+    folds = training.kfold_frames(df.filter(past), splits.kfold(_FOLDS), _FOLDS)
+    models = {"linear": training.ridge("cost_krw", 0.0)}
+    _, out = training.oof_predictions(df, models, folds, ["reading_id"], df.filter(~past))
+    return rounded(out.select("reading_id", "linear"), 1, "linear")
+
+
+_TARGETS = ("cost_krw", "reactive_lag_kvarh", "pf_lag_pct")
+
+
+@query(
+    "multi_target_linear",
+    with_readings(
+        "SELECT reading_id, "
+        + ", ".join(
+            f"round((SELECT regr_intercept({t}, usage_kwh) FROM train) "
+            f"+ (SELECT regr_slope({t}, usage_kwh) FROM train) * usage_kwh, 1) AS {t}"
+            for t in _TARGETS
+        )
+        + " FROM readings WHERE ts >= TIMESTAMP '2024-12-01 00:00:00'"
+    ),
+)
+def multi_target_linear(spark, sf_dir):
+    df = _one_feature(spark, sf_dir)
+    past = F.col("ts") < F.lit("2024-12-01").cast("timestamp_ntz")
+    model = training.ridge("cost_krw", 0.0)
+    out = training.multi_target(df.filter(past), df.filter(~past), _TARGETS, model)
+    return rounded_all(out.select("reading_id", *_TARGETS), 1)
+
+
+@query(
+    "saved_model",
+    with_readings(
+        "SELECT reading_id, round(regr_intercept(cost_krw, usage_kwh) OVER () "
+        "+ regr_slope(cost_krw, usage_kwh) OVER () * usage_kwh, 1) AS prediction FROM readings"
+    ),
+)
 def saved_model(spark, sf_dir):
     from pyspark.ml import PipelineModel
 
-    df = _vectors(spark, sf_dir)
+    df = _one_feature(spark, sf_dir)
     path = scratch_path(spark, "model")
-    training.save_model(PipelineModel([training.ridge("cost_krw").fit(df)]), path)
-    return training.load_model(path).transform(df).select("reading_id", "prediction")
+    training.save_model(PipelineModel([training.ridge("cost_krw", 0.0).fit(df)]), path)
+    out = training.load_model(path).transform(df)
+    return rounded(out.select("reading_id", "prediction"), 1, "prediction")
 
 
 @query("seasonal_ar")
