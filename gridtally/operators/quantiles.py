@@ -1,7 +1,7 @@
 """Exact quantiles of columns too large for one task.
 
 `percentile` keeps every distinct value in one task's memory, and `percentile_approx` is not exact.
-Here an approximate sketch only proposes cut points; exact counts on both sides of them tell which
+For large columns, an approximate sketch only proposes cut points; exact counts on both sides of them tell which
 part holds the wanted value. Rounds go on until that part is small, and it alone is then sorted.
 However good or bad the sketch, the answer is exact, and all that travels are counts and cut points.
 """
@@ -132,32 +132,41 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of several columns, interpolated linearly; nulls and NaN are left out.
 
-    Runs jobs: one count, a few narrowing rounds for large columns, one sort of what is left.
+    Runs jobs: one count; `percentile` for columns small enough for it; for larger ones a few
+    narrowing rounds and one sort of what is left.
     """
     df = df.select(*wanted)
     counts = df.agg(*[F.count(_number(c)).alias(c) for c in wanted]).first()
+    small = {c: list(p) for c, p in wanted.items() if 0 < counts[c] <= PART_ROWS}
+    large = {c: list(p) for c, p in wanted.items() if counts[c] > PART_ROWS}
+    found = {c: [None] * len(p) for c, p in wanted.items()}
+    if small:
+        found |= df.agg(*[F.percentile(_number(c), p).alias(c) for c, p in small.items()]).first().asDict()
+    if large:
+        found |= _of_large(df, large, counts.asDict())
+    return found
+
+
+def _of_large(
+    df: DataFrame, wanted: Mapping[str, list[float]], counts: Mapping[str, int]
+) -> dict[str, list[float]]:
     parts: dict[tuple[str, int], _Part] = {}
     for column, probabilities in wanted.items():
-        n = counts[column]
-        for p in probabilities if n else ():
-            place = p * (n - 1)
+        for p in probabilities:
+            place = p * (counts[column] - 1)
             for rank in {math.floor(place), math.ceil(place)}:
-                parts[column, rank] = _Part(column, rank, 0, n)
+                parts[column, rank] = _Part(column, rank, 0, counts[column])
     while open_parts := [p for p in parts.values() if not p.settled]:
         _narrow(df, open_parts)
-    values = {key: p.low for key, p in parts.items() if p.low is not None and p.low == p.high}
+    values = {key: p.low for key, p in parts.items() if p.low == p.high}
     rest = [p for key, p in parts.items() if key not in values]
     if rest:
         values |= _pick(df, rest)
-    out: dict[str, list[float | None]] = {}
+    out: dict[str, list[float]] = {}
     for column, probabilities in wanted.items():
-        n = counts[column]
         out[column] = []
         for p in probabilities:
-            if not n:
-                out[column].append(None)
-                continue
-            place = p * (n - 1)
+            place = p * (counts[column] - 1)
             low, high = values[column, math.floor(place)], values[column, math.ceil(place)]
             out[column].append(low + (high - low) * (place - math.floor(place)))
     return out
