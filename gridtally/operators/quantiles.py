@@ -1,9 +1,9 @@
 """Exact quantiles of columns too large for one task.
 
 `percentile` keeps every distinct value in one task's memory, and `percentile_approx` is not exact.
-For large columns, an approximate sketch only proposes cut points; exact counts on both sides of them tell which
-part holds the wanted value. Rounds go on until that part is small, and it alone is then sorted.
-However good or bad the sketch, the answer is exact, and all that travels are counts and cut points.
+For large columns, an approximate sketch only proposes cut points; exact counts on both sides of them
+tell which part holds the wanted value. Rounds go on until that part is small, and it alone is then
+sorted. However good or bad the sketch, the answer is exact, and all that travels are counts and cuts.
 """
 
 from __future__ import annotations

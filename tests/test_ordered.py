@@ -77,6 +77,28 @@ def test_rolling_needs_values_not_rows(spark):
     np.testing.assert_allclose(out["m"].astype(float), wanted)
 
 
+@pytest.mark.parametrize("width", [1, 2, 7, 31, 100])
+def test_rolling_spans_of_two_columns_with_gaps(spark, width):
+    df = series(spark, 700).withColumn("y", F.when(F.col("id") % 10 != 3, F.col("x") * 1e6 + 1e9))
+    values = {
+        f"{c}_{s}": ordered.rolling_before(c, width, s, need=min(width, 2))
+        for c in ("x", "y")
+        for s in ("mean", "std", "max", "min")
+    }
+    out = as_pandas(over_blocks(with_position(df, LINE), values, LINE, block_rows=128), "id")
+    for c in ("x", "y"):
+        frames = out[c].shift(1).rolling(width, min_periods=min(width, 2))
+        for s in ("mean", "std", "max", "min"):
+            wanted = getattr(frames, s)()
+            np.testing.assert_allclose(out[f"{c}_{s}"].astype(float), wanted, rtol=1e-7, err_msg=f"{c} {s}")
+
+
+def test_rolling_of_a_constant_has_no_deviation(spark):
+    df = spark.range(300).select("id", F.lit(0.1).alias("x"))
+    out = over_blocks(with_position(df, LINE), {"s": ordered.rolling("x", 24, "std")}, LINE, 64)
+    assert out.agg(F.max("s")).first()[0] < 1e-12
+
+
 def test_sequences_hold_the_rows_before(spark):
     df = with_position(series(spark, 40), LINE).withColumn("y", F.col("x") * 2)
     past = as_pandas(ordered.sequences(df, ["x"], 5, "y", series=LINE, block_rows=16), "id")
