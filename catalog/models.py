@@ -24,7 +24,7 @@ from gridtally.operators.ordered import with_position
 from gridtally.operators.pricing import unit_price
 from gridtally.operators.relational import top_k
 from gridtally.plans import training
-from gridtally.plans.forecast import Settings, feature_tables, forecast
+from gridtally.plans.forecast import Settings, feature_tables, forecast, forecast_measures
 from gridtally.schema import MEASURES
 from gridtally.session import materialize, scratch_path
 
@@ -482,6 +482,12 @@ def forecast_query(spark, sf_dir):
     return forecast(train(spark, sf_dir), to_forecast(spark, sf_dir), settings)
 
 
+@query("forecast_measures")
+def forecast_measures_query(spark, sf_dir):
+    settings = Settings(rounds=2, depth=3)
+    return forecast_measures(train(spark, sf_dir), to_forecast(spark, sf_dir), settings)
+
+
 @query("forecast_features")
 def forecast_features(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array

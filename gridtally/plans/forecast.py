@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -25,8 +26,10 @@ from gridtally.operators.encoding import (
     label_encode,
     log_target,
     target_encode,
+    target_encode_oof,
     unlog,
 )
+from gridtally.operators.evaluate import ensemble_weights, mean_ensemble, weighted_ensemble
 from gridtally.operators.filters import feature_families
 from gridtally.operators.future import lags_across
 from gridtally.operators.ordered import (
@@ -42,17 +45,18 @@ from gridtally.operators.ordered import (
 )
 from gridtally.operators.outliers import iqr_filter
 from gridtally.operators.pricing import unit_price
-from gridtally.operators.splits import time_folds
+from gridtally.operators.splits import kfold, time_folds
 from gridtally.plans.training import (
     boosted_trees,
     fit_all,
+    multi_target,
     oof_predictions,
     predict_all,
     random_forest,
     ridge,
     stack,
 )
-from gridtally.schema import COST, READING_ID, TS, WORK_TYPE
+from gridtally.schema import COST, MEASURES, READING_ID, TS, WORK_TYPE
 from gridtally.session import materialize
 
 CODED = (WORK_TYPE, "day_period")
@@ -77,6 +81,8 @@ class Settings:
     lags: tuple[int, ...] = (1, 24, 168)
     windows: tuple[int, ...] = (24, 168)
     folds: int = 3
+    target_folds: int = 5
+    combine: str = "stack"
     rounds: int = 10
     trees: int = 10
     depth: int = 5
@@ -118,14 +124,15 @@ def feature_tables(
     ahead = lags_across(train, future, past, settings.series)
     # written before the quartiles are looked for, so that the windows run once
     known, ahead = materialize(row_features(known), "past"), row_features(ahead)
-    known = iqr_filter(known, target)
+    fit_on = known = iqr_filter(known, target)
     for col in CODED:
-        codes = fit_labels(known, col)
+        codes = fit_labels(fit_on, col)
         known, ahead = label_encode(known, codes, col), label_encode(ahead, codes, col)
     for col in TARGET_CODED:
-        means = fit_target_means(known, col, target)
-        known = target_encode(known, means, col)
-        ahead = target_encode(ahead, means, col, known.agg(F.avg(target)).scalar())
+        # a training row's category mean comes from other rows, a future row's from all of them
+        known = target_encode_oof(known, col, target, kfold(settings.target_folds))
+        means = fit_target_means(fit_on, col, target)
+        ahead = target_encode(ahead, means, col, fit_on.agg(F.avg(target)).scalar())
 
     names = [
         *CATEGORICAL,
@@ -137,9 +144,10 @@ def feature_tables(
     known = materialize(known.withColumn("label", log_target(target)), "known")
     ahead = materialize(impute(ahead, fit_medians(known, list(past))), "ahead")
     scaling = fit_families(known, feature_families(names, CATEGORICAL))
-    keep = [READING_ID, *[c for c in settings.series.keys if c != READING_ID], TS]
+    keep = list(dict.fromkeys([READING_ID, *settings.series.keys, TS, WORK_TYPE]))
+    measured = [m for m in dict.fromkeys([target, *MEASURES]) if m in train.columns]
     scaled = [scaling.scaled(c).alias(c) for c in names]
-    known = assemble(known.select(*keep, target, "label", *scaled), names)
+    known = assemble(known.select(*keep, *measured, "label", *scaled), names)
     ahead = assemble(ahead.select(*keep, *scaled), names)
     return known.drop(*names), ahead.drop(*names), names
 
@@ -152,17 +160,40 @@ def base_models(settings: Settings) -> dict:
     }
 
 
+def combine(
+    oof: DataFrame, ahead: DataFrame, models: Sequence[str], label: str, how: str, name: str
+) -> DataFrame:
+    """Add one prediction from the models' columns: stacked, averaged, or weighted by their R²."""
+    if how == "stack":
+        return stack(oof, label, models, name=name).transform(ahead)
+    if how == "mean":
+        return mean_ensemble(ahead, models, name)
+    if how == "weighted":
+        return weighted_ensemble(ahead, ensemble_weights(oof, label, models), models, name)
+    raise ValueError(f"how must be stack, mean or weighted, not {how!r}")
+
+
 def forecast(
     train: DataFrame, future: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    """Predicted target of every future row, by models stacked over growing time folds."""
+    """Predicted target of every future row, by several models over growing time folds."""
     known, ahead, _ = feature_tables(train, future, settings)
-    whole = Series(keys=(), order=(TS, READING_ID))
-    known = with_position(known, whole)
+    known = with_position(known, Series(keys=(), order=(TS, READING_ID)))
     models = base_models(settings)
     folds = time_folds(known.count(), settings.folds)
     oof, _ = oof_predictions(known, models, folds, [READING_ID, "label"])
-    meta = stack(materialize(oof, "oof"), "label", list(models), name="logged")
-    predicted = meta.transform(predict_all(ahead, fit_all(known, models)))
-    out = predicted.withColumn("prediction", unlog("logged"))
+    singles = predict_all(ahead, fit_all(known, models))
+    oof = materialize(oof, "oof")
+    out = combine(oof, singles, list(models), "label", settings.combine, "logged")
+    out = out.withColumn("prediction", unlog("logged"))
     return clip_floor(out, "prediction").select(READING_ID, "prediction")
+
+
+def forecast_measures(
+    train: DataFrame, future: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """Future rows with every measure predicted, ready for `write_predictions` and the reports."""
+    known, ahead, _ = feature_tables(train, future, settings)
+    model = boosted_trees("label", settings.rounds, settings.depth)
+    measures = [m for m in MEASURES if m in train.columns]
+    return multi_target(known, ahead, measures, model).select(*future.columns, *measures)

@@ -11,6 +11,7 @@ from gridtally.operators import isolation, splits
 from gridtally.operators.ordered import Series, with_position
 from gridtally.operators.report import baseline
 from gridtally.plans import training
+from gridtally.plans.forecast import combine
 from gridtally.session import scratch_path
 from gridtally.streaming import live
 
@@ -60,6 +61,21 @@ def test_stack_prefers_the_exact_model(vectors):
     assert weights[1] == pytest.approx(1.0, abs=1e-3)
 
 
+def test_models_are_combined_as_asked(spark):
+    past = spark.createDataFrame(
+        [(float(i), float(i), float(-i)) for i in range(10)], "y double, good double, bad double"
+    )
+    ahead = spark.createDataFrame([(4.0, 2.0)], "good double, bad double")
+
+    def result(how):
+        return combine(past, ahead, ["good", "bad"], "y", how, "p").first().p
+
+    assert result("mean") == 3.0
+    assert result("weighted") == 4.0
+    with pytest.raises(ValueError):
+        result("best")
+
+
 def test_multi_target_and_importance(spark, vectors):
     two = vectors.withColumn("z", -F.col("y"))
     out = training.multi_target(two, two, ["y", "z"], training.ridge("y", 0.0)).toPandas()
