@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: dict[str, str] = {}
+# Only for local sessions that name no folder: there, driver and executors are one process.
+LOCAL_FOLDER = "file:/tmp/checkpoints/gridtally"
 
 
 def build_session(app: str = "gridtally", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,26 +29,45 @@ def build_session(app: str = "gridtally", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the cluster's shared checkpoint folder.
-
-    A machine-local folder is only ever used by a local session without the setting.
-    """
-    app = spark.sparkContext.applicationId
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the one that the cluster names in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="gridtally-"))
-    return f"{root.rstrip('/')}/{app}/{label}-{uuid.uuid4().hex}"
+        root = LOCAL_FOLDER
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     The copy survives lost executors, is read column by column, and its file size lets the
-    planner decide whether a join side is small enough to broadcast.
+    planner decide whether a join side is small enough to broadcast. `release` removes it.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove copies made by `materialize`; nothing that still reads them may be run afterwards."""
+    for df in frames:
+        _delete(df.sparkSession, df._scratch_path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Remove every copy this application has made, once its results have been read."""
+    _delete(spark, scratch_root(spark))
