@@ -281,11 +281,15 @@ def jaccard_components(
     )
     labels = _link_texts(postings, texts, percent, words)
     release(postings, texts)
-    if labels is None:
-        out = members.withColumn("component_id", F.coalesce("class_id", "node"))
-    else:
-        labels = labels.select(F.col("node").alias("class_id"), "component")
-        out = members.join(labels, "class_id", "left").withColumn(
-            "component_id", F.coalesce("component", "class_id", "node")
-        )
-    return out.select(F.col("node").alias(doc_id), "n_shingles", F.coalesce("class_id", "node").alias("class_id"), "component_id")
+    own = F.coalesce("class_id", "node")
+    component = own
+    if labels is not None:
+        members = members.join(labels.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
+        component = F.coalesce("component", "class_id", "node")
+    known = F.col("node").isNotNull()
+    return members.select(
+        F.col("node").alias(doc_id),
+        "n_shingles",
+        F.when(known, own).alias("class_id"),
+        F.when(known, component).alias("component_id"),
+    )

@@ -85,29 +85,33 @@ def fit_languages(
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        found: dict[str, Counter] = {name: Counter() for name in languages}
         for batch in batches:
             for part in pieces(batch, "text", PIECE):
                 flat, rows = _words(part.column("text"))
                 names = np.array(part.column("lang").to_pylist(), object)[rows]
                 for name in set(names.tolist()):
                     counted = pc.value_counts(flat.filter(pa.array(names == name)))
-                    for word, n in zip(counted.field("values").to_pylist(), counted.field("counts").to_pylist()):
-                        found[name, 0, word] += n
-        for (name, _, word), n in list(found.items()):
-            for size in range(1, LONGEST + 1):
-                for gram in _grams(word, size):
-                    found[name, size, gram] += n
-        keys = list(found)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.int32()),
-                pa.array([k[2] for k in keys], pa.string()),
-                pa.array([found[k] for k in keys], pa.int64()),
-            ],
-            names=["lang", "size", "entry", "n"],
-        )
+                    found[name].update(
+                        dict(zip(counted.field("values").to_pylist(), counted.field("counts").to_pylist()))
+                    )
+        for name, words in found.items():
+            times = np.fromiter(words.values(), np.int64, len(words))
+            for size in range(LONGEST + 1):
+                grams = [_grams(w, size) if size else [w] for w in words]
+                coded = pa.array([g for gs in grams for g in gs], pa.string()).dictionary_encode()
+                n = np.bincount(
+                    coded.indices.to_numpy(), np.repeat(times, [len(gs) for gs in grams]), len(coded.dictionary)
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([name] * len(n), pa.string()),
+                        pa.array(np.full(len(n), size, np.int32)),
+                        coded.dictionary,
+                        pa.array(n.astype(np.int64)),
+                    ],
+                    names=["lang", "size", "entry", "n"],
+                )
 
     counts = (
         drawn.mapInArrow(count, "lang string, size int, entry string, n long")

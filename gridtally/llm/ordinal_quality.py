@@ -1,7 +1,8 @@
 """Graded quality of texts by cumulative-link (proportional odds) regression on hashed words.
 
 All grades share one weight vector over hashed words; ordered thresholds say how likely a text is of a
-grade or a better one: P(grade >= j) = 1 / (1 + exp(threshold_j - weights . text)).
+grade or a better one: P(grade >= j) = 1 / (1 + exp(threshold_j - weights . text)). Only words whose
+presence goes along with the grade beyond chance have a weight, so the rare words of single texts have none.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ from gridtally.llm.hashing import LOWER_CODE, pieces, prefix_sums, substring_has
 
 CELL_BITS = 18
 # Rated texts that the model is fitted on, drawn by a hash of the text.
-RATED_TEXTS = 6000
-STEPS = 150
+RATED_TEXTS = 8000
+# Twice the log likelihood ratio from which a word's presence counts as related to the grade.
+RELATED = 25.0
+STEPS = 300
 RATE = 0.05
-SHRINK = 2e-6
+MOMENTUM = 0.9
+SHRINK = 1e-3
 
 # Bytes of letters (all beyond ASCII too), digits, marks and white space.
 _KIND = np.full(256, 2, np.uint8)
@@ -39,15 +43,11 @@ class GradeModel:
     thresholds: np.ndarray
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, cell and value of every text's features.
-
-    Tokens are runs of letters, digits or marks, A-Z in lower case. Each distinct token of a text is
-    present (1) in one cell and has its share of the text's tokens in another.
-    """
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash cell of every text's distinct tokens: runs of letters, digits or marks, A-Z in lower case."""
     data, offsets = text_bytes(texts)
     if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     kind = _KIND[data]
     opens = np.concatenate(([True], kind[1:] != kind[:-1]))
     opens[offsets[:-1][offsets[:-1] < len(data)]] = True
@@ -57,58 +57,69 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = starts[solid], ends[solid]
     hashes = substring_hashes(prefix_sums(data, LOWER_CODE), starts, ends)
     row = np.searchsorted(offsets, starts, "right") - 1
-    order = np.lexsort((hashes, row))
-    row, hashes = row[order], hashes[order]
-    new = np.concatenate(([True], (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])))[: len(row)]
-    at = np.flatnonzero(new)
-    counts = np.diff(np.append(at, len(row)))
-    total = np.bincount(row, minlength=len(offsets))
-    row, hashes = row[at], hashes[at]
-    cell = (hashes >> np.uint64(65 - CELL_BITS)).astype(np.int64) * 2
-    share = 8.0 * counts / total[row]
-    return np.concatenate((row, row)), np.concatenate((cell, cell + 1)), np.concatenate((np.ones(len(row)), share))
+    both = np.unique((row << CELL_BITS) | (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64))
+    return both >> CELL_BITS, both & ((1 << CELL_BITS) - 1)
 
 
 def _upper(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
-def _fit(rows: np.ndarray, cells: np.ndarray, values: np.ndarray, grade: np.ndarray, n_grades: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum likelihood by full-gradient Adam steps; thresholds stay ordered as sums of positive gaps."""
-    n = len(grade)
+def _related(rows: np.ndarray, cells: np.ndarray, grade: np.ndarray, n_grades: int) -> np.ndarray:
+    """Cells whose presence is related to some split of the grades, by the log likelihood ratio."""
     used, column = np.unique(cells, return_inverse=True)
-    weights = np.zeros(len(used))
+    total = np.bincount(column, minlength=len(used)).astype(np.float64)
+    share = total / len(grade)
+    best = np.zeros(len(used))
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
+
+    for j in range(1, n_grades):
+        above = grade >= j
+        high = np.bincount(column, above[rows], len(used))
+        low, n_high = total - high, above.sum()
+        n_low = len(grade) - n_high
+        ratio = part(high, n_high * share) + part(low, n_low * share)
+        ratio += part(n_high - high, n_high * (1 - share)) + part(n_low - low, n_low * (1 - share))
+        best = np.maximum(best, 2 * ratio)
+    return used[best >= RELATED]
+
+
+def _fit(rows: np.ndarray, cells: np.ndarray, grade: np.ndarray, n_grades: int) -> tuple[np.ndarray, np.ndarray]:
+    """Likelihood ascent with momentum; thresholds stay ordered as sums of positive gaps."""
+    n = len(grade)
+    used = _related(rows, cells, grade, n_grades)
+    mine = np.isin(cells, used)
+    rows, column = rows[mine], np.searchsorted(used, cells[mine])
+    # a cell's unit is the root of its frequency, so that rare and common words learn alike
+    unit = np.maximum(np.sqrt(np.bincount(column, minlength=len(used)) / n), 0.02)
+    value = 1 / unit[column]
+    weights, speed = np.zeros(len(used)), np.zeros(len(used))
     shares = np.array([(grade >= j).mean() for j in range(1, n_grades)]).clip(1e-3, 1 - 1e-3)
     thresholds = -np.log(shares / (1 - shares))
-    base, gaps = thresholds[0], np.log(np.maximum(np.diff(thresholds), 1e-2))
-    state = [np.zeros(len(used)), np.zeros(len(used)), np.zeros(n_grades - 1), np.zeros(n_grades - 1)]
-    # rare grades count as much as common ones
-    per_grade = np.bincount(grade, minlength=n_grades)
-    importance = (n / (np.count_nonzero(per_grade) * np.maximum(per_grade, 1)))[grade] ** 0.5
+    shape = np.concatenate((thresholds[:1], np.log(np.maximum(np.diff(thresholds), 1e-2))))
+    shape_speed = np.zeros(len(shape))
+    # rare grades count more than their share
+    importance = (1 / np.maximum(np.bincount(grade, minlength=n_grades), 1))[grade] ** 0.5
     importance /= importance.sum()
-    for step in range(1, STEPS + 1):
-        edges = np.concatenate(([-np.inf], np.cumsum(np.concatenate(([base], np.exp(gaps)))), [np.inf]))
-        score = np.bincount(rows, values * weights[column], n)
-        low, high = _upper(edges[grade + 1] - score), _upper(edges[grade] - score)
-        likely = np.maximum(low - high, 1e-9)
-        d_high, d_low = low * (1 - low), high * (1 - high)
-        to_score = importance * (d_high - d_low) / likely
-        gradient = np.bincount(column, values * to_score[rows], len(used)) + SHRINK * weights
-        to_edge = np.zeros(n_grades + 1)
-        np.add.at(to_edge, grade + 1, -importance * d_high / likely)
-        np.add.at(to_edge, grade, importance * d_low / likely)
-        to_edge = to_edge[1:-1]
-        from_here = np.cumsum(to_edge[::-1])[::-1]
-        to_shape = np.concatenate(([from_here[0]], from_here[1:] * np.exp(gaps)))
-        shape = np.concatenate(([base], gaps))
-        for value, grad, first, second in ((weights, gradient, state[0], state[1]), (shape, to_shape, state[2], state[3])):
-            first += 0.1 * (grad - first)
-            second += 0.01 * (grad**2 - second)
-            value -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-10)
-        base, gaps = shape[0], shape[1:]
+    for _ in range(STEPS):
+        edges = np.concatenate(([-np.inf], np.cumsum(np.concatenate((shape[:1], np.exp(shape[1:])))), [np.inf]))
+        score = np.bincount(rows, value * weights[column], n)
+        upto, below = _upper(edges[grade + 1] - score), _upper(edges[grade] - score)
+        likely = np.maximum(upto - below, 1e-9)
+        d_upto, d_below = importance * upto * (1 - upto) / likely, importance * below * (1 - below) / likely
+        gradient = np.bincount(column, value * (d_upto - d_below)[rows], len(used)) + SHRINK * weights
+        to_edge = np.bincount(grade, d_below, n_grades)[1:] - np.bincount(grade, d_upto, n_grades)[:-1]
+        to_shape = np.cumsum(to_edge[::-1])[::-1]
+        to_shape[1:] *= np.exp(shape[1:])
+        speed = MOMENTUM * speed - RATE * gradient
+        weights = weights + speed
+        shape_speed = MOMENTUM * shape_speed - 0.5 * to_shape
+        shape = shape + shape_speed
     whole = np.zeros(1 << CELL_BITS)
-    whole[used] = weights
-    return whole, np.cumsum(np.concatenate(([base], np.exp(gaps))))
+    whole[used] = weights / unit
+    return whole, np.cumsum(np.concatenate((shape[:1], np.exp(shape[1:]))))
 
 
 def fit_grades(rated: DataFrame, text: str = "text", grade: str = "grade", texts: int = RATED_TEXTS) -> GradeModel:
@@ -126,28 +137,19 @@ def fit_grades(rated: DataFrame, text: str = "text", grade: str = "grade", texts
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                row, cell, value = features(part.column("text"))
-                order = np.argsort(row, kind="stable")
-                cuts = np.searchsorted(row[order], np.arange(part.num_rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("grade"),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(cell[order].astype(np.int32))),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(value[order].astype(np.float32))),
-                    ],
-                    names=["grade", "cells", "shares"],
-                )
-
-    found = drawn.mapInArrow(extract, "grade double, cells array<int>, shares array<float>").toArrow()
+                row, cell = features(part.column("text"))
+                cuts = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
+                cells = pa.ListArray.from_arrays(pa.array(cuts), pa.array(cell.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("grade"), cells], names=["grade", "cells"])
+
+    found = drawn.mapInArrow(extract, "grade double, cells array<int>").toArrow()
     given = found["grade"].to_numpy()
     grades, place = np.unique(given, return_inverse=True)
     if len(grades) < 2:
         return GradeModel(grades.tolist(), np.zeros(1 << CELL_BITS), np.zeros(0))
-    cells, values = found["cells"].combine_chunks(), found["shares"].combine_chunks()
-    rows = np.repeat(np.arange(len(given)), np.array([len(c) for c in cells]))
-    weights, thresholds = _fit(
-        rows, cells.flatten().to_numpy().astype(np.int64), values.flatten().to_numpy().astype(np.float64), place, len(grades)
-    )
+    cells = found["cells"].combine_chunks()
+    rows = np.repeat(np.arange(len(given)), cells.value_lengths().to_numpy())
+    weights, thresholds = _fit(rows, cells.flatten().to_numpy().astype(np.int64), place, len(grades))
     return GradeModel(grades.tolist(), weights, thresholds)
 
 
@@ -165,8 +167,8 @@ def grade_texts(docs: DataFrame, model: GradeModel, text: str = "text") -> DataF
         grades = np.array(fitted.grades)
         for batch in batches:
             for part in pieces(batch, text):
-                row, cell, value = features(part.column(text))
-                score = np.bincount(row, value * fitted.weights[cell], part.num_rows)
+                row, cell = features(part.column(text))
+                score = np.bincount(row, fitted.weights[cell], part.num_rows)
                 tail = _upper(score[:, None] - fitted.thresholds[None, :])
                 if len(grades):
                     expected = pa.array(grades[0] + tail @ np.diff(grades))

@@ -39,8 +39,8 @@ def test_language_of_odd_rows(odd, nothing, documents):
 
 
 def test_grades_of_held_out_texts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rated = docs.join(labels, "doc_id").withColumn(
         "grade", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
     )
@@ -50,18 +50,16 @@ def test_grades_of_held_out_texts(spark):
     rows = grade_texts(rated.filter(held), model).collect()
     toxic = [r.tail[0] < 0.5 for r in rows if r.grade == 0]
     clean = [r.tail[0] >= 0.5 for r in rows if r.grade == 2]
-    assert len(toxic) > 5 and np.mean(toxic) > 0.8 and np.mean(clean) > 0.97
+    assert len(toxic) > 50 and np.mean(toxic) > 0.75 and np.mean(clean) > 0.99
     order = [np.mean([r.expected_grade for r in rows if r.grade == g]) for g in (0, 1, 2)]
     assert order == sorted(order)
     assert all(r.tail[0] >= r.tail[1] for r in rows)
 
 
 def test_features_of_plain_text():
-    rows, cells, values = features(pa.array(["A b a!", None, "", "a"]))
-    assert rows.tolist().count(0) == 6 and rows.tolist().count(3) == 2
-    assert 1 not in rows and 2 not in rows
-    whole = {c: v for r, c, v in zip(rows, cells, values) if r == 3}
-    assert set(whole) <= {c for r, c in zip(rows, cells) if r == 0} and sorted(whole.values()) == [1.0, 8.0]
+    rows, cells = features(pa.array(["A b a!", None, "", "a"]))
+    assert rows.tolist() == [0, 0, 0, 3]
+    assert cells[3] in cells[:3]
 
 
 def test_grades_of_odd_rows(spark, odd, nothing):

@@ -57,7 +57,7 @@ def test_fingerprints_of_odd_rows(odd, nothing):
 
 
 def test_edits_are_located(spark):
-    lines = [f"line {i}, with some words. And more of them; number {i * 7}\n" for i in range(60)]
+    lines = [f"line {i}, with some words {i}. And more of them; number {i * 7}\n" for i in range(60)]
     other = list(lines)
     other[33] = "line 33, with other words. And more of them; number 231\n"
     df = spark.createDataFrame([("".join(lines), "".join(other))], "a string, b string")
