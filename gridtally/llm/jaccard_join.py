@@ -12,9 +12,9 @@ The prefix is extended until its rare tokens, plus one less than each group's to
 Then two linked texts share a key, whatever the tokens are called frequent, as both use the same list:
 it only decides how long the index's rows per key get.
 
-A key that many texts share is never expanded into all their pairs. In each round, every key names one of
-its texts as pivot and the others are compared with it exactly; texts in the same component need no further
-comparison. What pairs are left between components are compared one by one at the end, so no link is lost.
+A key that many texts share is not expanded into all their pairs. It names one of its texts as pivot and the
+others are compared with it exactly; texts in the same component need no further comparison. When few pairs
+are left between a key's components they are compared one by one, so no link is lost.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ PERCENT = 80
 FREQUENT = 16
 # Set sizes at which the number of groups changes; sizes near a limit are indexed on both sides.
 FIRST_TIER, TIER_FACTOR = 26, 16
-MOST_ROUNDS = 8
+STAR_ROUNDS = 3
 
 _SIGNATURE = "n_shingles long, set_a long, set_b long, keys array<long>"
 
@@ -165,55 +165,65 @@ def _pair(x: str, y: str):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
+def _cross_pairs(postings: DataFrame) -> DataFrame:
+    """Keys whose texts are in several components, with their texts and the pairs between components."""
+    return (
+        postings.groupBy("key", "component")
+        .agg(F.count("*").alias("c"))
+        .groupBy("key")
+        .agg(F.sum("c").alias("texts"), F.sum(F.col("c") * F.col("c")).alias("same"))
+        .select("key", "texts", ((F.col("texts") * F.col("texts") - F.col("same")) / 2).alias("pairs"))
+        .filter("pairs > 0")
+    )
+
+
 def _link_texts(postings: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame | None:
-    """Components over the texts of an index (key, node, n): (node, component), or None without links."""
-    labels: DataFrame | None = None
-    edges: DataFrame | None = None
-    done: DataFrame | None = None
-    for turn in range(MOST_ROUNDS + 1):
-        if labels is None:
-            placed = postings.withColumn("component", F.col("node"))
-        else:
-            placed = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pivot = F.min_by(F.struct("node", "n", "component"), F.xxhash64(F.lit(turn), "node"))
-        mixed = placed.groupBy("key").agg(
-            pivot.alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).filter(F.col("low") < F.col("high"))
-        if turn == 0:
-            last = False
-        else:
-            per_key = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-            left = (
-                per_key.groupBy("key")
-                .agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
-                .agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs"), F.sum("all").alias("rows"))
-                .first()
-            )
-            if not left.pairs:
-                break
-            last = left.pairs <= 2 * left.rows or turn == MOST_ROUNDS or not linked
-        if last:
-            one = placed.join(mixed.select("key"), "key", "left_semi")
-            other = one.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "component")])
-            found = one.join(other, "key").filter(
-                (F.col("component") < F.col("component_2")) & _fits("n", "n_2", percent)
-            ).select(*_pair("node", "node_2"))
-        else:
-            found = placed.join(mixed.select("key", "pivot"), "key").filter(
+    """Components over the texts of an index (key, node, n): (node, component), or None without links.
+
+    A key with few pairs left between components is finished by comparing them all. The others compare
+    their texts with one pivot, and come back in the next round with what is then left. After
+    `STAR_ROUNDS` rounds every key is finished.
+    """
+    labels = edges = done = None
+    open_ = postings.withColumn("component", F.col("node"))
+    for turn in range(STAR_ROUNDS + 1):
+        keys = materialize(_cross_pairs(open_), "keys")
+        finish = (F.col("pairs") <= 2 * F.col("texts")) if turn < STAR_ROUNDS else F.lit(True)
+        one = open_.join(keys.filter(finish).select("key"), "key")
+        other = one.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "component")])
+        found = (
+            one.join(other, "key")
+            .filter((F.col("component") < F.col("component_2")) & _fits("n", "n_2", percent))
+            .select(*_pair("node", "node_2"))
+            .distinct()
+        )
+        wide = open_.join(keys.filter(~finish).select("key"), "key")
+        last = turn == STAR_ROUNDS or keys.filter(~finish).isEmpty()
+        if not last:
+            wide = materialize(wide, "open")
+            pivot = F.min_by(F.struct("node", "n", "component"), F.xxhash64(F.lit(turn), "node"))
+            pivots = wide.groupBy("key").agg(pivot.alias("pivot"))
+            star = wide.join(pivots, "key").filter(
                 (F.col("component") != F.col("pivot.component")) & _fits("n", "pivot.n", percent)
-            ).select(*_pair("node", "pivot.node"))
-        found = found.distinct()
+            )
+            found = found.unionByName(star.select(*_pair("node", "pivot.node"))).distinct()
         if done is not None:
             found = found.join(done, ["a", "b"], "left_anti")
         tried = materialize(found, "tried")
         new = materialize(_verified(tried, texts, percent, words), "edges")
-        linked = not new.isEmpty()
-        done = tried if done is None else done.unionByName(tried)
-        if linked:
+        if not new.isEmpty():
             edges = new if edges is None else edges.unionByName(new)
             labels = components(edges)
         if last:
-            break
+            return labels
+        done = tried if done is None else done.unionByName(tried)
+        open_ = wide
+        if labels is not None:
+            open_ = wide.drop("component").join(labels, "node", "left")
+            open_ = open_.withColumn("component", F.coalesce("component", "node"))
+        open_ = materialize(open_, "open")
+        # only texts of keys that are still open are compared again
+        texts = materialize(texts.join(open_.select("node").distinct(), "node", "left_semi"), "texts")
     return labels
 
 
@@ -262,7 +272,11 @@ def jaccard_components(
         .select(F.explode("keys").alias("key"), "node", F.col("n_shingles").alias("n"))
         .distinct()
     )
-    several = one_each.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    # keys of the very same texts lead to the same pairs: one of them is enough
+    of_key = one_each.groupBy("key").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
+    )
+    several = of_key.filter("c > 1").groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key")
     postings = materialize(one_each.join(several, "key"), "postings")
 
     sieve = spark.sparkContext.broadcast(id_bitmap(postings, "node"))
@@ -280,7 +294,6 @@ def jaccard_components(
         "texts",
     )
     labels = _link_texts(postings, texts, percent, words)
-    release(postings, texts)
     own = F.coalesce("class_id", "node")
     component = own
     if labels is not None:
