@@ -158,12 +158,15 @@ def inner_top_k(
         _blocks(queries.select("vec_id", "x").repartition(max(1, -(-(shape.n or 0) // (400 * query_block)))), width, query_block), "queries"
     )
     longest = blocks.orderBy(F.col("most").desc(), "block").limit(1).collect()
-    shared = spark.sparkContext.broadcast((basis, [(r.ids, r.x) for r in longest]))
+    # 16 bytes per block of vectors
+    directory = blocks.select("block", "most").toArrow()
+    reached = directory["block"].to_numpy(), directory["most"].to_numpy()
+    shared = spark.sparkContext.broadcast((basis, [(r.ids, r.x) for r in longest], reached))
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis, seeds = shared.value
+        basis, seeds, (numbers, most) = shared.value
         for batch in batches:
-            least, reach = [], []
+            least, meets = [], []
             for ids, x in zip(batch.column("ids").to_pylist(), batch.column("x").to_pylist()):
                 q_ids, q = _unpacked(ids, x, width)
                 bottom = np.full(len(q_ids), -np.inf)
@@ -177,22 +180,15 @@ def inner_top_k(
                 size = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
                 need = np.where(bottom > 0, bottom / np.maximum(size, 1e-300), 0.0)
                 least.append(bottom.tobytes())
-                reach.append(float(need.min()) * (1 - 1e-9))
+                meets.append(numbers[most >= float(need.min()) * (1 - 1e-9)])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(least, pa.binary()), pa.array(reach)], names=[*batch.schema.names, "least", "reach"]
+                [*batch.columns, pa.array(least, pa.binary()), pa.array(meets, pa.list_(pa.int64()))],
+                names=[*batch.schema.names, "least", "meets"],
             )
 
-    asked = asked.mapInArrow(start, "block long, most double, ids binary, x binary, least binary, reach double").select(
-        F.col("ids").alias("q_ids"), F.col("x").alias("q"), "least", "reach"
-    )
-    # which blocks each query block must meet; the directory holds one small row per block
-    directory = blocks.select("block", "most")
-    tasks = (
-        asked.withColumn("one", F.lit(1))
-        .join(directory.withColumn("one", F.lit(1)).groupBy("one").agg(F.collect_list(F.struct("block", "most")).alias("all")), "one")
-        .withColumn("block", F.explode(F.filter("all", lambda b: b["most"] >= F.col("reach"))["block"]))
-        .drop("all", "one")
-    )
+    tasks = asked.mapInArrow(
+        start, "block long, most double, ids binary, x binary, least binary, meets array<long>"
+    ).select(F.col("ids").alias("q_ids"), F.col("x").alias("q"), "least", F.explode("meets").alias("block"))
     pairs = tasks.join(blocks, "block")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

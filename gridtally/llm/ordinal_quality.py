@@ -122,8 +122,15 @@ def _fit(rows: np.ndarray, cells: np.ndarray, grade: np.ndarray, n_grades: int)
     return whole, np.cumsum(np.concatenate((shape[:1], np.exp(shape[1:]))))
 
 
-def fit_grades(rated: DataFrame, text: str = "text", grade: str = "grade", texts: int = RATED_TEXTS) -> GradeModel:
-    """Fit on about `texts` rated texts, a bound whatever the input's size; all if there are fewer.
+def drawn_ratings(ratings: DataFrame, texts: int = RATED_TEXTS) -> DataFrame:
+    """About `texts` of the distinct ratings, drawn by a hash of the row, so few that they may be broadcast."""
+    ratings = ratings.distinct()
+    share = min(1.0, texts / max(ratings.count(), 1))
+    return ratings.filter(F.pmod(F.xxhash64(*ratings.columns), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def fit_grades(rated: DataFrame, text: str = "text", grade: str = "grade") -> GradeModel:
+    """Fit on texts with a rating, as many as `drawn_ratings` leaves; they are gathered in one place.
 
     Rows without a rating are not learned from; a null text is empty. Grades may be any numbers; their
     order counts. With fewer than two grades there is nothing to tell apart, and every text gets it.
@@ -131,8 +138,6 @@ def fit_grades(rated: DataFrame, text: str = "text", grade: str = "grade", texts
     rated = rated.filter(F.col(grade).isNotNull() & ~F.isnan(F.col(grade).cast("double"))).select(
         F.col(text).alias("text"), F.col(grade).cast("double").alias("grade")
     )
-    n = rated.count()
-    drawn = rated.filter(F.pmod(F.xxhash64("text", "grade"), F.lit(1 << 30)) < int(min(1.0, texts / max(n, 1)) * (1 << 30)))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,7 +147,7 @@ def fit_grades(rated: DataFrame, text: str = "text", grade: str = "grade", texts
                 cells = pa.ListArray.from_arrays(pa.array(cuts), pa.array(cell.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("grade"), cells], names=["grade", "cells"])
 
-    found = drawn.mapInArrow(extract, "grade double, cells array<int>").toArrow()
+    found = rated.mapInArrow(extract, "grade double, cells array<int>").toArrow()
     given = found["grade"].to_numpy()
     grades, place = np.unique(given, return_inverse=True)
     if len(grades) < 2:

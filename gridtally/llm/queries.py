@@ -10,7 +10,7 @@ from gridtally.llm.inner_topk import inner_top_k, whole_vectors
 from gridtally.llm.jaccard_join import jaccard_components
 from gridtally.llm.language_id import accepted, fit_languages, identify, learnable
 from gridtally.llm.merkle import edited_fingerprints
-from gridtally.llm.ordinal_quality import fit_grades, grade_texts
+from gridtally.llm.ordinal_quality import drawn_ratings, fit_grades, grade_texts
 from gridtally.llm.preference_format import format_preferences
 from gridtally.llm.suffix_dedup import remove_repeats
 from gridtally.llm.token_files import read_token_files, write_token_files
@@ -68,7 +68,7 @@ def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").select(
         "doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2).alias("grade")
     )
-    found = grade_texts(docs, fit_grades(docs.join(labels, "doc_id")))
+    found = grade_texts(docs, fit_grades(docs.join(F.broadcast(drawn_ratings(labels)), "doc_id")))
     return found.select(
         "doc_id",
         "expected_grade",

@@ -3,7 +3,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridtally.llm.language_id import UNDETERMINED, _score, accepted, fit_languages, identify, learnable
-from gridtally.llm.ordinal_quality import features, fit_grades, grade_texts
+from gridtally.llm.ordinal_quality import drawn_ratings, features, fit_grades, grade_texts
 
 
 def test_languages_of_held_out_documents(documents):
@@ -69,5 +69,6 @@ def test_grades_of_odd_rows(spark, odd, nothing):
     assert grade_texts(nothing, model).collect() == []
     single = fit_grades(rated.filter("grade = 2"))
     assert {r.expected_grade for r in grade_texts(odd, single).collect()} == {2.0}
+    assert drawn_ratings(rated).count() == rated.distinct().count()
     unrated = fit_grades(rated.limit(0))
     assert {r.expected_grade for r in grade_texts(odd, unrated).collect()} == {None}
