@@ -10,7 +10,7 @@ import statistics
 import time
 
 from catalog import QUERIES
-from gridtally.session import build_session
+from gridtally.session import build_session, release_all
 
 HEADLINE = (
     "cost_by_band",
@@ -78,6 +78,7 @@ def main() -> None:
             }
         )
     )
+    release_all(spark)
     spark.stop()
 
 

@@ -217,6 +217,22 @@ def future_last_lag(spark, sf_dir):
     return out.drop("meter_id", "ts", "work_type")
 
 
+@query(
+    "future_last_lag_long",
+    with_readings(
+        f"SELECT reading_id, ends.* EXCLUDE (meter_id) {_AHEAD}",
+        "tail AS (SELECT *, row_number() OVER (PARTITION BY meter_id ORDER BY ts DESC, reading_id DESC) AS rank FROM train)",
+        "ends AS (SELECT meter_id, "
+        + columns((1, 672, 1344), "max(cost_krw) FILTER (rank = {0}) AS cost_krw_lag_{0}")
+        + " FROM tail GROUP BY 1)",
+    ),
+)
+def future_last_lag_long(spark, sf_dir):
+    """Two weeks of quarter hours back."""
+    out = future.future_last_lag(train(spark, sf_dir), to_forecast(spark, sf_dir), ["cost_krw"], (1, 672, 1344))
+    return out.drop("meter_id", "ts", "work_type")
+
+
 def _tail_sql(full):
     cols = []
     for w in (3, 6, 12, 24):
@@ -350,8 +366,7 @@ def sequences_with_current(spark, sf_dir):
 
 
 _FUTURE_INPUTS = (
-    "both_rows AS (SELECT meter_id, reading_id, ts, usage_kwh, pf_lag_pct FROM readings "
-    "WHERE ts < TIMESTAMP '2025-01-01 00:00:00')"
+    "both_rows AS (SELECT meter_id, reading_id, ts, usage_kwh, pf_lag_pct FROM readings)"
 )
 
 
@@ -440,7 +455,7 @@ def _smooth(mean, n):
 _MEANS = (
     "means AS (SELECT pf_lag_pct, "
     + _smooth("avg(cost_krw)", "count(cost_krw)")
-    + " AS te FROM train WHERE usage_kwh < 50 GROUP BY 1)"
+    + " AS te FROM train GROUP BY 1)"
 )
 
 
@@ -449,12 +464,11 @@ _MEANS = (
     with_readings(
         "SELECT reading_id, round(te, 5) AS pf_lag_pct_te FROM readings LEFT JOIN means USING (pf_lag_pct) "
         "WHERE ts >= TIMESTAMP '2024-12-01 00:00:00'",
-        _MEANS.replace("(SELECT avg(cost_krw) FROM train)", "(SELECT avg(cost_krw) FROM train WHERE usage_kwh < 50)"),
+        _MEANS,
     ),
 )
 def target_encode(spark, sf_dir):
-    """Small groups of a rare range of usage, so that the smoothing weight matters."""
-    known = train(spark, sf_dir).filter("usage_kwh < 50")
+    known = train(spark, sf_dir)
     means = encoding.fit_target_means(known, "pf_lag_pct", "cost_krw")
     rows = readings(spark, sf_dir).filter(F.col("ts") >= F.lit("2024-12-01").cast("timestamp_ntz"))
     out = encoding.target_encode(rows, means, "pf_lag_pct")
@@ -497,6 +511,23 @@ def target_encode_oof(spark, sf_dir):
     return rounded(out.select("reading_id", "pf_lag_pct_te"), 5, "pf_lag_pct_te")
 
 
+@query(
+    "target_encode_oof_null_category",
+    with_readings(
+        "SELECT t.reading_id, round(coalesce("
+        + _smooth("m.mean", "m.n")
+        + ", (SELECT avg(cost_krw) FROM train)), 5) AS kind_te FROM (SELECT *, nullif(pf_lag_pct, 61) AS kind FROM train) t "
+        "LEFT JOIN (SELECT f.fold, nullif(t.pf_lag_pct, 61) AS kind, avg(t.cost_krw) AS mean, count(*) AS n FROM train t "
+        "JOIN (SELECT unnest(range(5)) AS fold) f ON t.reading_id % 5 <> f.fold GROUP BY ALL) m "
+        "ON m.fold = t.reading_id % 5 AND m.kind IS NOT DISTINCT FROM t.kind"
+    ),
+)
+def target_encode_oof_null_category(spark, sf_dir):
+    known = train(spark, sf_dir).withColumn("kind", F.nullif(F.col("pf_lag_pct"), F.lit(61.0)))
+    out = encoding.target_encode_oof(known, "kind", "cost_krw", kfold(5))
+    return rounded(out.select("reading_id", "kind_te"), 5, "kind_te")
+
+
 # Scaling and filling; the last column has no spread
 
 _SCALED = ("usage_kwh", "cost_krw", "carbon_tco2")

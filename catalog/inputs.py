@@ -7,11 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.functions.tariff import rate_rows
 from gridtally.operators.ordered import Series
 
 MONTH = "2024-05"
-FORECAST_START, FORECAST_END = "2024-12-01 00:00:00", "2025-01-01 00:00:00"
+FORECAST_START = "2024-12-01 00:00:00"
 EVENT_SERIES = Series(keys=(), order=("ts", "event_id"))
 ONE_SERIES = Series(keys=(), order=("ts", "reading_id"))
 
@@ -50,11 +49,9 @@ def train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ts = F.col("ts")
-    start, end = (F.lit(t).cast("timestamp_ntz") for t in (FORECAST_START, FORECAST_END))
     return (
         readings(spark, sf_dir)
-        .filter((ts >= start) & (ts < end))
+        .filter(F.col("ts") >= F.lit(FORECAST_START).cast("timestamp_ntz"))
         .select("reading_id", "meter_id", "ts", "work_type")
     )
 
@@ -86,7 +83,7 @@ readings AS (
 train AS (SELECT * FROM readings WHERE ts < TIMESTAMP '2024-12-01 00:00:00'),
 to_forecast AS (
   SELECT reading_id, meter_id, ts, work_type FROM readings
-  WHERE ts >= TIMESTAMP '2024-12-01 00:00:00' AND ts < TIMESTAMP '2025-01-01 00:00:00'),
+  WHERE ts >= TIMESTAMP '2024-12-01 00:00:00'),
 chosen AS (
   SELECT * FROM readings
   WHERE ts >= TIMESTAMP '2024-05-01 00:00:00' AND ts < TIMESTAMP '2024-06-01 00:00:00')"""
@@ -103,14 +100,171 @@ BAND_SQL = """CASE WHEN hour(ts) >= 22 OR hour(ts) < 8 THEN '경부하'
 
 ERA_SQL = "CASE WHEN ts < TIMESTAMP '2024-10-24 00:00:00' THEN 'before' ELSE 'after' END"
 
-RATES_SQL = (
-    "rates AS (SELECT * FROM (VALUES "
-    + ", ".join(
-        f"({rank}, '{plan}', '{era}', '{season}', '{band}', CAST({price} AS DOUBLE))"
-        for rank, plan, era, season, band, price in rate_rows()
-    )
-    + ") AS t(rank, plan, era, season, band, price))"
-)
+# Every rate, stated here once more, so that the comparison does not rest on the library's table.
+RATES_SQL = """rates AS (SELECT * FROM (VALUES
+  (0, '고압A_선택1', 'before', '여름', '경부하', CAST(99.5 AS DOUBLE)),
+  (0, '고압A_선택1', 'before', '여름', '중간부하', CAST(152.4 AS DOUBLE)),
+  (0, '고압A_선택1', 'before', '여름', '최대부하', CAST(234.5 AS DOUBLE)),
+  (0, '고압A_선택1', 'before', '봄가을', '경부하', CAST(99.5 AS DOUBLE)),
+  (0, '고압A_선택1', 'before', '봄가을', '중간부하', CAST(122.0 AS DOUBLE)),
+  (0, '고압A_선택1', 'before', '봄가을', '최대부하', CAST(152.7 AS DOUBLE)),
+  (0, '고압A_선택1', 'before', '겨울', '경부하', CAST(106.5 AS DOUBLE)),
+  (0, '고압A_선택1', 'before', '겨울', '중간부하', CAST(152.6 AS DOUBLE)),
+  (0, '고압A_선택1', 'before', '겨울', '최대부하', CAST(210.1 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '여름', '경부하', CAST(116.4 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '여름', '중간부하', CAST(169.3 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '여름', '최대부하', CAST(251.4 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '봄가을', '경부하', CAST(116.4 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '봄가을', '중간부하', CAST(138.9 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '봄가을', '최대부하', CAST(169.6 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '겨울', '경부하', CAST(123.4 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '겨울', '중간부하', CAST(169.5 AS DOUBLE)),
+  (1, '고압A_선택1', 'after', '겨울', '최대부하', CAST(227.0 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '여름', '경부하', CAST(94.0 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '여름', '중간부하', CAST(146.9 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '여름', '최대부하', CAST(229.0 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '봄가을', '경부하', CAST(94.0 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '봄가을', '중간부하', CAST(116.5 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '봄가을', '최대부하', CAST(147.2 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '겨울', '경부하', CAST(101.0 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '겨울', '중간부하', CAST(147.1 AS DOUBLE)),
+  (2, '고압A_선택2', 'before', '겨울', '최대부하', CAST(204.6 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '여름', '경부하', CAST(110.9 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '여름', '중간부하', CAST(163.8 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '여름', '최대부하', CAST(245.9 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '봄가을', '경부하', CAST(110.9 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '봄가을', '중간부하', CAST(133.4 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '봄가을', '최대부하', CAST(164.1 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '겨울', '경부하', CAST(117.9 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '겨울', '중간부하', CAST(164.0 AS DOUBLE)),
+  (3, '고압A_선택2', 'after', '겨울', '최대부하', CAST(221.5 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '여름', '경부하', CAST(93.1 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '여름', '중간부하', CAST(146.3 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '여름', '최대부하', CAST(216.6 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '봄가을', '경부하', CAST(93.1 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '봄가을', '중간부하', CAST(115.2 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '봄가을', '최대부하', CAST(138.9 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '겨울', '경부하', CAST(100.4 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '겨울', '중간부하', CAST(146.5 AS DOUBLE)),
+  (4, '고압A_선택3', 'before', '겨울', '최대부하', CAST(193.4 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '여름', '경부하', CAST(110.0 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '여름', '중간부하', CAST(163.2 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '여름', '최대부하', CAST(233.5 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '봄가을', '경부하', CAST(110.0 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '봄가을', '중간부하', CAST(132.1 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '봄가을', '최대부하', CAST(155.8 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '겨울', '경부하', CAST(117.3 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '겨울', '중간부하', CAST(163.4 AS DOUBLE)),
+  (5, '고압A_선택3', 'after', '겨울', '최대부하', CAST(210.3 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '여름', '경부하', CAST(109.4 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '여름', '중간부하', CAST(161.7 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '여름', '최대부하', CAST(242.9 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '봄가을', '경부하', CAST(109.4 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '봄가을', '중간부하', CAST(131.7 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '봄가을', '최대부하', CAST(162.0 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '겨울', '경부하', CAST(116.4 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '겨울', '중간부하', CAST(161.7 AS DOUBLE)),
+  (6, '고압B_선택1', 'before', '겨울', '최대부하', CAST(217.9 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '여름', '경부하', CAST(126.3 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '여름', '중간부하', CAST(178.6 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '여름', '최대부하', CAST(259.8 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '봄가을', '경부하', CAST(126.3 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '봄가을', '중간부하', CAST(148.6 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '봄가을', '최대부하', CAST(178.9 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '겨울', '경부하', CAST(133.3 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '겨울', '중간부하', CAST(178.6 AS DOUBLE)),
+  (7, '고압B_선택1', 'after', '겨울', '최대부하', CAST(234.8 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '여름', '경부하', CAST(105.6 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '여름', '중간부하', CAST(157.9 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '여름', '최대부하', CAST(239.1 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '봄가을', '경부하', CAST(105.6 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '봄가을', '중간부하', CAST(127.9 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '봄가을', '최대부하', CAST(158.2 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '겨울', '경부하', CAST(112.6 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '겨울', '중간부하', CAST(157.9 AS DOUBLE)),
+  (8, '고압B_선택2', 'before', '겨울', '최대부하', CAST(214.1 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '여름', '경부하', CAST(122.5 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '여름', '중간부하', CAST(174.8 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '여름', '최대부하', CAST(256.0 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '봄가을', '경부하', CAST(122.5 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '봄가을', '중간부하', CAST(144.8 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '봄가을', '최대부하', CAST(175.1 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '겨울', '경부하', CAST(129.5 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '겨울', '중간부하', CAST(174.8 AS DOUBLE)),
+  (9, '고압B_선택2', 'after', '겨울', '최대부하', CAST(231.0 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '여름', '경부하', CAST(103.9 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '여름', '중간부하', CAST(156.2 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '여름', '최대부하', CAST(237.5 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '봄가을', '경부하', CAST(103.9 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '봄가을', '중간부하', CAST(126.3 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '봄가을', '최대부하', CAST(156.6 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '겨울', '경부하', CAST(111.0 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '겨울', '중간부하', CAST(156.2 AS DOUBLE)),
+  (10, '고압B_선택3', 'before', '겨울', '최대부하', CAST(212.4 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '여름', '경부하', CAST(120.8 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '여름', '중간부하', CAST(173.1 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '여름', '최대부하', CAST(254.4 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '봄가을', '경부하', CAST(120.8 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '봄가을', '중간부하', CAST(143.2 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '봄가을', '최대부하', CAST(173.5 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '겨울', '경부하', CAST(127.9 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '겨울', '중간부하', CAST(173.1 AS DOUBLE)),
+  (11, '고압B_선택3', 'after', '겨울', '최대부하', CAST(229.3 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '여름', '경부하', CAST(108.9 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '여름', '중간부하', CAST(161.8 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '여름', '최대부하', CAST(242.7 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '봄가을', '경부하', CAST(108.9 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '봄가을', '중간부하', CAST(131.8 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '봄가을', '최대부하', CAST(162.2 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '겨울', '경부하', CAST(115.8 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '겨울', '중간부하', CAST(161.4 AS DOUBLE)),
+  (12, '고압C_선택1', 'before', '겨울', '최대부하', CAST(218.0 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '여름', '경부하', CAST(125.8 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '여름', '중간부하', CAST(178.7 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '여름', '최대부하', CAST(259.6 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '봄가을', '경부하', CAST(125.8 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '봄가을', '중간부하', CAST(148.7 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '봄가을', '최대부하', CAST(179.1 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '겨울', '경부하', CAST(132.7 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '겨울', '중간부하', CAST(178.3 AS DOUBLE)),
+  (13, '고압C_선택1', 'after', '겨울', '최대부하', CAST(234.9 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '여름', '경부하', CAST(104.2 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '여름', '중간부하', CAST(157.1 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '여름', '최대부하', CAST(238.0 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '봄가을', '경부하', CAST(104.2 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '봄가을', '중간부하', CAST(127.1 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '봄가을', '최대부하', CAST(157.5 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '겨울', '경부하', CAST(111.1 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '겨울', '중간부하', CAST(156.7 AS DOUBLE)),
+  (14, '고압C_선택2', 'before', '겨울', '최대부하', CAST(213.3 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '여름', '경부하', CAST(121.1 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '여름', '중간부하', CAST(174.0 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '여름', '최대부하', CAST(254.9 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '봄가을', '경부하', CAST(121.1 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '봄가을', '중간부하', CAST(144.0 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '봄가을', '최대부하', CAST(174.4 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '겨울', '경부하', CAST(128.0 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '겨울', '중간부하', CAST(173.6 AS DOUBLE)),
+  (15, '고압C_선택2', 'after', '겨울', '최대부하', CAST(230.2 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '여름', '경부하', CAST(103.1 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '여름', '중간부하', CAST(156.0 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '여름', '최대부하', CAST(236.9 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '봄가을', '경부하', CAST(103.1 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '봄가을', '중간부하', CAST(126.0 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '봄가을', '최대부하', CAST(156.4 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '겨울', '경부하', CAST(110.0 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '겨울', '중간부하', CAST(155.6 AS DOUBLE)),
+  (16, '고압C_선택3', 'before', '겨울', '최대부하', CAST(212.2 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '여름', '경부하', CAST(120.0 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '여름', '중간부하', CAST(172.9 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '여름', '최대부하', CAST(253.8 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '봄가을', '경부하', CAST(120.0 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '봄가을', '중간부하', CAST(142.9 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '봄가을', '최대부하', CAST(173.3 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '겨울', '경부하', CAST(126.9 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '겨울', '중간부하', CAST(172.5 AS DOUBLE)),
+  (17, '고압C_선택3', 'after', '겨울', '최대부하', CAST(229.1 AS DOUBLE))
+) AS t(rank, plan, era, season, band, price))"""
 
 
 def with_readings(select: str, *ctes: str) -> str:

@@ -39,11 +39,12 @@ def _placed(spark, sf_dir, *cols):
 @query(
     "random_split",
     with_readings(
-        "SELECT reading_id, CASE WHEN reading_id % 5 = 0 THEN 'validation' ELSE 'train' END AS role FROM readings"
+        "SELECT reading_id, CASE WHEN CAST('0x' || substr(md5(CAST(reading_id AS VARCHAR)), 1, 8) AS BIGINT) "
+        "< 0.3 * 4294967296 THEN 'validation' ELSE 'train' END AS role FROM readings"
     ),
 )
 def random_split(spark, sf_dir):
-    known, held_out = splits.random_split(readings(spark, sf_dir).select("reading_id"))
+    known, held_out = splits.random_split(readings(spark, sf_dir).select("reading_id"), share=0.3)
     return known.withColumn("role", F.lit("train")).unionByName(
         held_out.withColumn("role", F.lit("validation"))
     )
@@ -505,6 +506,22 @@ def _with_hour(spark, sf_dir):
     )
 
 
+@query(
+    "isolation_filter_repeated_ids",
+    with_readings("SELECT meter_id, count(*) - 1 AS kept_or_dropped FROM readings GROUP BY 1"),
+)
+def isolation_filter_repeated_ids(spark, sf_dir):
+    """Every id stands for many rows; each row is judged by itself and none is multiplied."""
+    df = readings(spark, sf_dir).select(
+        "meter_id", F.lit(7).cast("long").alias("reading_id"), "usage_kwh", "reactive_lag_kvarh"
+    )
+    inputs = ["usage_kwh", "reactive_lag_kvarh"]
+    kept = isolation.isolation_filter(df, inputs)
+    dropped = df.count() - kept.count()
+    share = F.lit(abs(dropped / df.count() - 0.1) < 0.01)
+    return df.groupBy("meter_id").agg((F.count("*") - F.when(share, 1).otherwise(0)).alias("kept_or_dropped"))
+
+
 @query("isolation_filter")
 def isolation_filter(spark, sf_dir):
     return isolation.isolation_filter(_with_hour(spark, sf_dir), _ISOLATION_INPUTS)

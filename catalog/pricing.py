@@ -225,7 +225,26 @@ def nearest_plan(spark, sf_dir):
     )
 
 
-_LABELS = [f"{plan}_{era}" for plan in dict.fromkeys(r[1] for r in tariff.rate_rows()) for era in ("before", "after")]
+_PLANS = (
+    "고압A_선택1", "고압A_선택2", "고압A_선택3", "고압B_선택1", "고압B_선택2", "고압B_선택3",
+    "고압C_선택1", "고압C_선택2", "고압C_선택3",
+)
+_LABELS = [f"{plan}_{era}" for plan in _PLANS for era in ("before", "after")]
+
+
+@query(
+    "unit_price_of_another_tariff",
+    with_readings(
+        f"SELECT reading_id, CASE WHEN ({BAND_SQL}) = '최대부하' THEN CAST(30 AS DOUBLE) "
+        f"WHEN ({BAND_SQL}) = '중간부하' THEN CAST(20 AS DOUBLE) ELSE CAST(10 AS DOUBLE) END "
+        f"+ CASE WHEN ({ERA_SQL}) = 'after' THEN 1 ELSE 0 END AS unit_price FROM readings"
+    ),
+)
+def unit_price_of_another_tariff(spark, sf_dir):
+    seasons = (tariff.SUMMER, tariff.MID_SEASON, tariff.WINTER)
+    flat = [("flat", tariff.BEFORE, s, 10.0, 20.0, 30.0) for s in seasons]
+    flat += [("flat", tariff.AFTER, s, 11.0, 21.0, 31.0) for s in seasons]
+    return pricing.unit_price(readings(spark, sf_dir), "flat", tariff=flat).select("reading_id", "unit_price")
 
 
 @query(

@@ -341,6 +341,17 @@ def latest_n_per_meter(spark, sf_dir):
     return _slim(relational.latest_n(readings(spark, sf_dir), 24, by=["meter_id"]))
 
 
+@query(
+    "latest_n_per_meter_long",
+    with_readings(
+        "SELECT reading_id, ts, usage_kwh, cost_krw FROM readings "
+        "QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY ts DESC, reading_id DESC) <= 1344"
+    ),
+)
+def latest_n_per_meter_long(spark, sf_dir):
+    return _slim(relational.latest_n(readings(spark, sf_dir), 1344, by=["meter_id"]))
+
+
 @query(
     "top_k",
     with_readings("SELECT reading_id, cost_krw FROM readings ORDER BY cost_krw DESC, reading_id LIMIT 20"),
@@ -368,6 +379,33 @@ def pivot_counts(spark, sf_dir):
     )
 
 
+@query(
+    "pivot_counts_rest",
+    with_readings(
+        "SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) FILTER (work_type = 'Light_Load') AS \"Light_Load\", "
+        "count(*) FILTER (work_type <> 'Light_Load') AS other FROM readings GROUP BY 1"
+    ),
+)
+def pivot_counts_rest(spark, sf_dir):
+    hour = F.hour("ts").alias("hour")
+    return relational.pivot_counts(readings(spark, sf_dir), [hour], "work_type", ["Light_Load"], rest="other")
+
+
+@query(
+    "align_predictions_of_different_ids",
+    with_readings(
+        "SELECT reading_id, CASE WHEN reading_id % 3 <> 0 THEN usage_kwh END AS first, "
+        "CASE WHEN reading_id % 4 <> 0 THEN cost_krw END AS second FROM readings "
+        "WHERE reading_id % 3 <> 0 OR reading_id % 4 <> 0"
+    ),
+)
+def align_predictions_of_different_ids(spark, sf_dir):
+    df = readings(spark, sf_dir)
+    first = df.filter("reading_id % 3 <> 0").select("reading_id", F.col("usage_kwh").alias("prediction"))
+    second = df.filter("reading_id % 4 <> 0").select("reading_id", F.col("cost_krw").alias("prediction"))
+    return relational.align_predictions({"first": first, "second": second})
+
+
 @query(
     "argmin_column",
     with_readings(

@@ -4,7 +4,7 @@ import sys
 import time
 
 from catalog import QUERIES, SQL
-from gridtally.session import build_session
+from gridtally.session import build_session, release_all
 from tests.oracle import compare, duck
 
 sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -30,3 +30,4 @@ for name, function in QUERIES.items():
     bad += bool(found)
     print(f"{'BAD' if found else 'ok '} {name} {time.time() - start:.1f}s", *found, sep="\n      " if found else " ", flush=True)
 print("failed:", bad)
+release_all(spark)

@@ -16,17 +16,10 @@ from gridtally.operators.ordered import Series, with_position
 from gridtally.operators.quantiles import exact_quantiles
 
 
-# Up to this many distinct labels are numbered in one task; more are sorted across the cluster.
-ONE_TASK_LABELS = 100_000
-
-
 def fit_labels(df: DataFrame, col: str) -> DataFrame:
     """Each distinct value with its place in sorted order, from 0."""
     code = f"{col}_encoded"
     distinct = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    if distinct.count() <= ONE_TASK_LABELS:
-        order = Window.partitionBy(F.lit(0)).orderBy(col)
-        return distinct.select(col, (F.row_number().over(order) - 1).alias(code))
     placed = with_position(distinct, Series(keys=(), order=(col,)), code)
     return placed.select(col, F.col(code).cast("int"))
 
@@ -81,7 +74,7 @@ def target_encode_oof(
 ) -> DataFrame:
     """Encode every training row from the rows of the other folds only.
 
-    The sums of (category, fold) are small; the other folds' sums are the category's totals minus
+    Rows without a category form one of their own. The sums of (category, fold) are small; the other folds' sums are the category's totals minus
     the fold's own, so the readings are aggregated once and not once per fold.
     """
     folded = train.withColumn("_fold", fold)
@@ -99,8 +92,9 @@ def target_encode_oof(
     value = F.when(
         F.col("_n") > 0, _smoothed(F.col("_sum"), F.col("_n"), global_mean, smoothing)
     ).otherwise(global_mean)
-    means = others.select(col, "_fold", value.alias(f"{col}_te"))
-    return folded.join(means, [col, "_fold"], "left").drop("_fold")
+    means = others.select(F.col(col).alias("_key"), F.col("_fold").alias("_of"), value.alias(f"{col}_te"))
+    same = F.col(col).eqNullSafe(F.col("_key")) & (F.col("_fold") == F.col("_of"))
+    return folded.join(means, same, "left").drop("_fold", "_key", "_of")
 
 
 @dataclass(frozen=True)

@@ -4,39 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.operators.ordered import (
     POSITION,
+    RANK,
     READINGS,
     Ordered,
     Rolling,
     Series,
     over_blocks,
     sequences,
+    tail,
     with_position,
 )
-from gridtally.operators.relational import GROUP_LIMIT, union_history
+from gridtally.operators.relational import union_history
 
-_RANK = "_rank"
 _STATISTICS = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
 
 
-def tail(df: DataFrame, rows: int, series: Series = READINGS) -> DataFrame:
-    """The last rows of every series, numbered from the newest, 1.
-
-    Each partition drops all but its newest rows before the shuffle, so a series with most of the
-    table sends few rows.
-    """
-    if rows > GROUP_LIMIT:
-        raise ValueError(f"tails hold at most {GROUP_LIMIT} rows, not {rows}")
-    newest_first = Window.partitionBy(*(series.keys or [F.lit(0)])).orderBy(
-        *[F.col(c).desc() for c in series.order]
-    )
-    return df.withColumn(_RANK, F.row_number().over(newest_first)).filter(F.col(_RANK) <= rows)
-
-
 def _attach(future: DataFrame, per_series: DataFrame, series: Series) -> DataFrame:
     """Add a series' values to each of its rows."""
     if series.keys:
@@ -47,7 +34,7 @@ def _attach(future: DataFrame, per_series: DataFrame, series: Series) -> DataFra
 
 def _back(col: str, n: int) -> Column:
     """The value n rows before the end; 1 is the last one."""
-    return F.max(F.when(F.col(_RANK) == n, F.col(col)))
+    return F.max(F.when(F.col(RANK) == n, F.col(col)))
 
 
 def future_last_lag(
@@ -70,7 +57,7 @@ def _tail_statistics(
     aggs = []
     for c in cols:
         for w in windows:
-            value = F.when(F.col(_RANK) <= w, F.col(c))
+            value = F.when(F.col(RANK) <= w, F.col(c))
             for name, statistic in _STATISTICS.items():
                 result = statistic(value)
                 if full:
@@ -133,7 +120,7 @@ def future_tiled_lag(
     `future` needs positions. A series shorter than n gives its mean.
     """
     ends = tail(train, max(steps), series).groupBy(*series.keys).agg(
-        F.sort_array(F.collect_list(F.struct(-F.col(_RANK), *cols))).alias("_tail"),
+        F.sort_array(F.collect_list(F.struct(-F.col(RANK), *cols))).alias("_tail"),
         *[F.avg(c).alias(f"_mean_{c}") for c in cols],
     )
     out = _attach(future, ends, series)
@@ -151,8 +138,6 @@ def _reachable(
     train: DataFrame, future: DataFrame, rows: int, series: Series
 ) -> DataFrame:
     """The training rows that can be within `rows` rows before some future row of their series."""
-    if rows > GROUP_LIMIT:
-        return train
     lead = series.order[0]
     starts = future.groupBy(*series.keys).agg(F.min(lead).alias("_start"))
     dated = (
@@ -160,7 +145,7 @@ def _reachable(
         if series.keys
         else train.withColumn("_start", starts.scalar())
     )
-    earlier = tail(dated.filter(F.col(lead) < F.col("_start")), rows, series).drop(_RANK)
+    earlier = tail(dated.filter(F.col(lead) < F.col("_start")), rows, series).drop(RANK)
     return earlier.unionByName(dated.filter(F.col(lead) >= F.col("_start"))).drop("_start")
 
 

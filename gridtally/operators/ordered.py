@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -114,6 +115,27 @@ class Rolling:
 _CARRIED = {"mean": ("sum",), "std": ("sum", "dev"), "max": ("max",), "min": ("min",)}
 
 
+RANK = "_rank"
+
+
+def tail(df: DataFrame, rows: int, series: Series = READINGS) -> DataFrame:
+    """The last rows of every series, numbered in `_rank` from the newest, 1.
+
+    Rows are found by their positions: however long the tail and however large a series, no task holds
+    more than a range of the sorted rows.
+    """
+    place, last = "_place", "_last"
+    placed = with_position(df, series, place)
+    ends = placed.groupBy(*series.keys).agg(F.max(place).alias(last))
+    if series.keys:
+        ends = materialize(ends.select(*[F.col(k).alias(f"_{k}") for k in series.keys], last), "ends")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in series.keys])
+        placed = placed.join(ends, same).drop(*[f"_{k}" for k in series.keys])
+    else:
+        placed = placed.withColumn(last, ends.scalar())
+    return placed.withColumn(RANK, F.col(last) - F.col(place) + 1).filter(F.col(RANK) <= rows).drop(place, last)
+
+
 def _struct(values: Mapping[str, str], fields: Sequence[str]) -> Column:
     return F.expr(f"struct({', '.join(f'{values[f]} AS {f}' for f in fields)})")
 

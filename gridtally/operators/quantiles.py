@@ -1,7 +1,7 @@
-"""Exact quantiles of columns too large for one task.
+"""Exact quantiles without gathering a column.
 
 `percentile` keeps every distinct value in one task's memory, and `percentile_approx` is not exact.
-For large columns, an approximate sketch only proposes cut points; exact counts on both sides of them
+An approximate sketch only proposes cut points; exact counts on both sides of them
 tell which part holds the wanted value. Rounds go on until that part is small, and it alone is then
 sorted. However good or bad the sketch, the answer is exact, and all that travels are counts and cuts.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A part with at most this many values is sorted in one task.
-PART_ROWS = 500_000
+PART_ROWS = 100_000
 CUTS = 200
 
 
@@ -132,22 +132,17 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of several columns, interpolated linearly; nulls and NaN are left out.
 
-    Runs jobs: one count; `percentile` for columns small enough for it; for larger ones a few
-    narrowing rounds and one sort of what is left.
+    Runs jobs, the same at every size: one count; a narrowing round or, for very many rows, a few; one
+    sort of what is left.
     """
     df = df.select(*wanted)
     counts = df.agg(*[F.count(_number(c)).alias(c) for c in wanted]).first()
-    small = {c: list(p) for c, p in wanted.items() if 0 < counts[c] <= PART_ROWS}
-    large = {c: list(p) for c, p in wanted.items() if counts[c] > PART_ROWS}
+    filled = {c: list(p) for c, p in wanted.items() if counts[c]}
     found = {c: [None] * len(p) for c, p in wanted.items()}
-    if small:
-        found |= df.agg(*[F.percentile(_number(c), p).alias(c) for c, p in small.items()]).first().asDict()
-    if large:
-        found |= _of_large(df, large, counts.asDict())
-    return found
+    return found | (_at_ranks(df, filled, counts.asDict()) if filled else {})
 
 
-def _of_large(
+def _at_ranks(
     df: DataFrame, wanted: Mapping[str, list[float]], counts: Mapping[str, int]
 ) -> dict[str, list[float]]:
     parts: dict[tuple[str, int], _Part] = {}
@@ -156,8 +151,10 @@ def _of_large(
             place = p * (counts[column] - 1)
             for rank in {math.floor(place), math.ceil(place)}:
                 parts[column, rank] = _Part(column, rank, 0, counts[column])
-    while open_parts := [p for p in parts.values() if not p.settled]:
+    open_parts = list(parts.values())
+    while open_parts:
         _narrow(df, open_parts)
+        open_parts = [p for p in parts.values() if not p.settled]
     values = {key: p.low for key, p in parts.items() if p.low == p.high}
     rest = [p for key, p in parts.items() if key not in values]
     if rest:

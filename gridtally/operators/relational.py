@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridtally.operators.ordered import RANK, Series, tail
 from gridtally.schema import READING_ID, TS
 
-# Up to this many rows per group, Spark cuts each partition down before the shuffle.
-GROUP_LIMIT = 1000
-
-
 def union_history(past: DataFrame, future: DataFrame, origin: str | None = None) -> DataFrame:
     """Stack two frames by column name; a column missing on one side is null there.
 
@@ -47,14 +44,13 @@ def keep_ids(df: DataFrame, ids: DataFrame, key: str = READING_ID) -> DataFrame:
 def latest_n(
     df: DataFrame, n: int, order: Sequence[str] = (TS, READING_ID), by: Sequence[str] = ()
 ) -> DataFrame:
-    """The last n rows, of the whole frame or of each `by` group."""
-    newest_first = [F.col(c).desc() for c in order]
+    """The last n rows, of the whole frame or of each `by` group.
+
+    Groups are cut by position, so a group with most of the table is never sorted in one task.
+    """
     if not by:
-        return df.orderBy(*newest_first).limit(n)
-    if n > GROUP_LIMIT:
-        raise ValueError(f"at most {GROUP_LIMIT} rows per group; use positions for longer tails")
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*newest_first))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+        return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+    return tail(df, n, Series(keys=tuple(by), order=tuple(order))).drop(RANK)
 
 
 def top_k(df: DataFrame, col: str, k: int, tie: Sequence[str] = ()) -> DataFrame:
@@ -62,11 +58,20 @@ def top_k(df: DataFrame, col: str, k: int, tie: Sequence[str] = ()) -> DataFrame
 
 
 def pivot_counts(
-    df: DataFrame, rows: Sequence[str | Column], col: str, values: Sequence[str]
+    df: DataFrame, rows: Sequence[str | Column], col: str, values: Sequence[str], rest: str | None = None
 ) -> DataFrame:
-    """Count rows into one column per value, 0 where there are none."""
+    """Count rows into one column per value, 0 where there are none.
+
+    Rows with another value are counted in the column `rest`; without one they are an error. Nulls are
+    not counted.
+    """
     counts = [F.count_if(F.col(col) == v).alias(str(v)) for v in values]
-    return df.groupBy(*rows).agg(*counts)
+    other = F.col(col).isNotNull() & ~F.col(col).isin(*values)
+    if rest is not None:
+        return df.groupBy(*rows).agg(*counts, F.count_if(other).alias(rest))
+    message = F.concat(F.lit(f"{col} has a value that is not listed: "), F.max(F.when(other, F.col(col).cast("string"))))
+    first = F.when(F.count_if(other) > 0, F.raise_error(message).cast("long")).otherwise(F.count_if(F.col(col) == values[0]))
+    return df.groupBy(*rows).agg(first.alias(str(values[0])), *counts[1:])
 
 
 def argmin_column(df: DataFrame, cols: Sequence[str], name: str = "argmin") -> DataFrame:
@@ -84,6 +89,9 @@ def argmin_column(df: DataFrame, cols: Sequence[str], name: str = "argmin") -> D
 
 
 def align_predictions(frames: dict[str, DataFrame], key: str = READING_ID) -> DataFrame:
-    """Predictions of several models side by side, one column per model, matched by id."""
+    """Predictions of several models side by side, one column per model, matched by id.
+
+    An id that a model lacks has null there.
+    """
     named = [df.select(key, F.col("prediction").alias(name)) for name, df in frames.items()]
-    return reduce(lambda left, right: left.join(right, key), named)
+    return reduce(lambda left, right: left.join(right, key, "full"), named)

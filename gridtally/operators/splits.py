@@ -19,9 +19,12 @@ def kfold(folds: int = 5, key: str = READING_ID) -> Column:
 def random_split(
     df: DataFrame, share: float = 0.2, key: str = READING_ID
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and validation rows; every 1/share-th id validates."""
-    every = round(1 / share)
-    held_out = F.pmod(F.col(key), F.lit(every)) == 0
+    """Training and validation rows: an id validates if its md5, as a number from 0 to 1, is below `share`.
+
+    A row without an id trains.
+    """
+    drawn = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
+    held_out = F.coalesce(drawn < F.lit(share * 2**32), F.lit(False))
     return df.filter(~held_out), df.filter(held_out)
 
 

@@ -49,6 +49,11 @@ def _conform(df: DataFrame) -> DataFrame:
     )
 
 
+def _read_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """CSV with a header; a file whose header differs from the first file's is an error, not misread."""
+    return spark.read.csv(path, header=True, enforceSchema=False, **options)
+
+
 def read_readings(
     spark: SparkSession,
     path: str,
@@ -61,8 +66,8 @@ def read_readings(
     `start` (included) and `end` (excluded) also skip the month folders of a parquet table.
     """
     if fmt == "csv":
-        # Text first: headers vary between files, so names decide the types.
-        df = _conform(normalize_columns(spark.read.csv(path, header=True)))
+        # Text first: names decide the types.
+        df = _conform(normalize_columns(_read_csv(spark, path)))
     elif fmt == "parquet":
         df = normalize_columns(spark.read.parquet(path))
     else:
@@ -75,12 +80,12 @@ def read_readings(
 
 def read_csv_encoded(spark: SparkSession, path: str, encoding: str = "CP949") -> DataFrame:
     """CSV in a Korean code page; needs spark.sql.legacy.javaCharsets=true (see build_session)."""
-    return normalize_columns(spark.read.csv(path, header=True, encoding=encoding))
+    return normalize_columns(_read_csv(spark, path, encoding=encoding))
 
 
 def read_monthly_summary(spark: SparkSession, path: str) -> DataFrame:
     """Monthly totals; the month text becomes the first day of that month."""
-    df = normalize_columns(spark.read.csv(path, header=True))
+    df = normalize_columns(_read_csv(spark, path))
     return df.withColumns(
         {
             c: F.to_date(c, "yyyy-MM") if c == S.MONTH else F.col(c).cast("double")

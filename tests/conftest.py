@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from gridtally.session import build_session
+from gridtally.session import build_session, release_all
 
 
 @pytest.fixture(scope="session")
@@ -19,6 +19,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release_all(session)
     session.stop()
 
 
