@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from gridtally.llm.frequency import frequency_bitmaps, holds
 from gridtally.llm.hashing import mix, pieces, prefix_sums, substring_hashes, text_bytes
-from gridtally.session import materialize
 
 LENGTH = 50
 ANCHOR = 26
@@ -352,12 +351,13 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
         if owners:
             yield flush()
 
-    emitted = materialize(
-        docs.mapInArrow(emit, "kind int, bucket int, owners binary, records binary"), "suffixes"
-    )
+    emitted = docs.mapInArrow(emit, "kind int, bucket int, owners binary, records binary")
 
     def match(table: pa.Table) -> pa.Table:
         kind = table["kind"][0].as_py()
+        if kind == 2:
+            # spans that a task has settled by itself; their bucket is their part
+            return pa.table({"part": table["bucket"], "spans": table["records"]})
         dtype = STRING if kind else SUFFIX
         owners, records, n = [], [], 0
         for who, blob in zip(table["owners"], table["records"]):
@@ -372,11 +372,7 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
         found = list(zip(*_spans_by_part(spans, parts))) or [(), ()]
         return pa.table({"part": pa.array(found[0], pa.int32()), "spans": pa.array(found[1], pa.binary())})
 
-    matched = (
-        emitted.filter("kind < 2").groupBy("kind", "bucket").applyInArrow(match, "part int, spans binary")
-    )
-    direct = emitted.filter("kind = 2").select(F.col("bucket").alias("part"), F.col("records").alias("spans"))
-    return matched.unionByName(direct)
+    return emitted.groupBy("kind", "bucket").applyInArrow(match, "part int, spans binary")
 
 
 def part_count(rows: int) -> int:
