@@ -2,8 +2,8 @@
 
 Counting rows of single hashes would shuffle a multiple of the input. Instead each task sorts its
 hashes, adds up equal ones, and sends one packed array per bucket of the hash space; a bucket's task
-adds them up. What comes back to the driver and is broadcast is not the hashes but two bitmaps of 2**27
-bits (16 MB each), whatever the input: a hash is looked up by its top bits. A bit may be set by another
+adds them up. What comes back to the driver and is broadcast is not the hashes but two bitmaps of 2**26
+bits (8 MB each), whatever the input: a hash is looked up by its top bits. A bit may be set by another
 hash as well, so readers may use a bitmap only where a false yes costs time and changes no result.
 """
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITMAP_BITS = 27
+BITMAP_BITS = 26
 FLUSH = 4_000_000
 
 Hashes = Callable[[pa.RecordBatch], Iterator[np.ndarray]]

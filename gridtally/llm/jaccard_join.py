@@ -38,7 +38,7 @@ PERCENT = 80
 FREQUENT = 16
 # Set sizes at which the number of groups changes; sizes near a limit are indexed on both sides.
 FIRST_TIER, TIER_FACTOR = 26, 16
-STAR_ROUNDS = 3
+STAR_ROUNDS = 6
 
 _SIGNATURE = "n_shingles long, set_a long, set_b long, keys array<long>"
 
