@@ -2,8 +2,8 @@
 
 Two equal strings of 50 bytes hold the same anchor: the substring of 26 bytes with the least hash among
 their 25. So only suffixes that begin at anchors are indexed, about one in thirteen, and of those only the
-ones whose anchor occurs in two documents or more. With each suffix goes the text around the anchor, 24
-bytes to either side, which is all that a match of 50 bytes can need.
+ones whose anchor occurs in two documents or more. With each suffix goes the text of the strings that have
+it as their anchor, at most 24 bytes to either side, which is all that their matches can need.
 
 Suffixes are dealt into buckets by their anchor. In a bucket, documents come in batches of ascending id.
 A batch's suffix array is sorted by anchor and following bytes, merge-scanned against every level of the
@@ -40,6 +40,8 @@ FLUSH = 1 << 20
 # Suffix pairs compared, and bytes of text searched for anchors, at a time.
 PAIRS = 1 << 18
 PIECE = 1 << 18
+# Effort of compressing what is shuffled.
+LEVEL = 9
 
 SUFFIX = np.dtype(
     [
@@ -61,7 +63,7 @@ SPAN = np.dtype([("key", "<i8"), ("start", "<u4"), ("end", "<u4")])
 
 def pack(rows: np.ndarray) -> bytes:
     raw = rows.tobytes()
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+    return len(raw).to_bytes(8, "little") + (pa.Codec("zstd", LEVEL).compress(raw, asbytes=True) if raw else b"")
 
 
 def unpack(blob: bytes, kind: np.dtype) -> np.ndarray:
@@ -69,6 +71,41 @@ def unpack(blob: bytes, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob[8:], size, codec="zstd", asbytes=True) if size else b"", kind)
 
 
+def pack_suffixes(rows: np.ndarray) -> bytes:
+    """Suffixes column by column, each distinct surrounding once and without bytes that it has not."""
+    _, first, place = np.unique(_codes(rows), return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    kinds, column = rows[first[order]], np.arange(SIDE)
+    steps = [np.diff(x.astype(np.int64), prepend=0).astype("<i4") for x in (number[place], rows["owner"], rows["at"])]
+    texts = [kinds[side][column < kinds[n][:, None]] for side, n in (("left", "before"), ("right", "after"))]
+    head = np.array([len(rows), len(kinds)], "<u8").view(np.uint8)
+    return pack(np.concatenate([head, *(np.ascontiguousarray(x).view(np.uint8) for x in (
+        *steps, kinds["anchor"], kinds["before"], kinds["after"], *texts))]))
+
+
+def unpack_suffixes(blob: bytes) -> np.ndarray:
+    raw = unpack(blob, np.dtype("u1")).tobytes()
+    n, m = np.frombuffer(raw, "<u8", 2).tolist()
+    at, columns = 16, []
+    for kind, size in (("<i4", n), ("<i4", n), ("<i4", n), ("<u8", m), ("u1", m), ("u1", m)):
+        columns.append(np.frombuffer(raw, kind, size, at))
+        at += columns[-1].nbytes
+    kinds, column = np.zeros(m, SUFFIX), np.arange(SIDE)
+    kinds["anchor"], kinds["before"], kinds["after"] = columns[3:]
+    for side, size in (("left", "before"), ("right", "after")):
+        there = column < kinds[size][:, None]
+        text = np.zeros(there.shape, np.uint8)
+        text[there] = np.frombuffer(raw, "u1", int(kinds[size].sum(dtype=np.int64)), at)
+        kinds[side] = text
+        at += int(there.sum())
+    place, owner, start = (np.cumsum(c, dtype=np.int64) for c in columns[:3])
+    rows = kinds[place]
+    rows["owner"], rows["at"] = owner, start
+    return rows
+
+
 def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     """The least or greatest of every `width` neighbours."""
     have = 1
@@ -78,33 +115,47 @@ def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return pick(x[: len(x) - (width - have)], x[width - have :]) if width > have else x
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the anchors of several documents, one after another in `data`, and the anchors' hashes.
+def anchors(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the anchors of several documents, one after another in `data`, the anchors' hashes, and of
+    every string of 50 bytes the least hash in it, with SIDE zeros at both ends; 0 if it crosses documents.
 
     A place is an anchor if it has the least hash in one of the strings of 50 bytes that it lies in; of
     equal hashes all count. Strings do not cross documents.
     """
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(2 * SIDE, np.uint64)
     places = np.arange(len(data) - ANCHOR + 1)
     hashes = substring_hashes(sums, places, places + ANCHOR)
     least = _sliding(hashes, SIDE + 1, np.minimum)
     ends = np.repeat(offsets[1:], np.diff(offsets))[: len(least)]
     least[places[: len(least)] + LENGTH > ends] = 0
     edge = np.zeros(SIDE, np.uint64)
-    chosen = _sliding(np.concatenate((edge, least, edge)), SIDE + 1, np.maximum) == hashes
-    return places[chosen], hashes[chosen]
+    least = np.concatenate((edge, least, edge))
+    chosen = _sliding(least, SIDE + 1, np.maximum) == hashes
+    return places[chosen], hashes[chosen], least
+
+
+def reach(at: np.ndarray, hashes: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes before and after each anchor that the strings with this anchor take up.
+
+    Equal strings have the same anchor, so an anchor need only be compared within its own strings.
+    """
+    before, after = np.zeros(len(at), np.uint8), np.zeros(len(at), np.uint8)
+    views = np.lib.stride_tricks.sliding_window_view(least, SIDE + 1) if len(at) else least
+    for i in range(0, len(at), PAIRS):
+        mine = views[at[i : i + PAIRS]] == hashes[i : i + PAIRS, None]
+        before[i : i + PAIRS] = SIDE - mine.argmax(axis=1)
+        after[i : i + PAIRS] = SIDE - mine[:, ::-1].argmax(axis=1)
+    return before, after
 
 
 def surrounded(
-    data: np.ndarray, offsets: np.ndarray, at: np.ndarray, hashes: np.ndarray, row: np.ndarray
+    data: np.ndarray, offsets: np.ndarray, at: np.ndarray, hashes: np.ndarray, row: np.ndarray, least: np.ndarray
 ) -> np.ndarray:
     """Suffix records of anchors: where each begins in its document and the bytes to both sides of it."""
     out = np.zeros(len(at), SUFFIX)
-    start, end = offsets[row], offsets[row + 1]
-    out["anchor"], out["at"] = hashes, at - start
-    out["before"] = np.minimum(at - start, SIDE)
-    out["after"] = np.minimum(end - at - ANCHOR, SIDE)
+    out["anchor"], out["at"] = hashes, at - offsets[row]
+    out["before"], out["after"] = reach(at, hashes, least)
     padded = np.concatenate((np.zeros(SIDE, np.uint8), data, np.zeros(SIDE, np.uint8)))
     views = np.lib.stride_tricks.sliding_window_view(padded, SIDE)
     column = np.arange(SIDE)
@@ -264,19 +315,30 @@ def _ranked(owners: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def _dealt(kind: int, bucket: np.ndarray, owners: np.ndarray, rows: np.ndarray, out: list[tuple]) -> None:
     """Pack records into one row per bucket, each with the owners that it needs."""
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for chosen in np.split(order, cuts) if len(order) else []:
+    for chosen in _runs(bucket, order):
         mine = rows[chosen]
         used, place = np.unique(mine["owner"], return_inverse=True)
         mine["owner"] = place.reshape(-1)
-        out.append((kind, int(bucket[chosen[0]]), pack(owners[used]), pack(mine)))
+        out.append((kind, int(bucket[chosen[0]]), pack(owners[used]), pack(mine) if kind else pack_suffixes(mine)))
+
+
+def _runs(values: np.ndarray, order: np.ndarray) -> list[np.ndarray]:
+    """`order`, which sorts `values`, cut where the value changes."""
+    return np.split(order, np.flatnonzero(np.diff(values[order])) + 1) if len(order) else []
 
 
 def _spans_by_part(spans: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
     part = np.mod(spans["key"], parts)
     order = np.argsort(part, kind="stable")
-    cuts = np.flatnonzero(np.diff(part[order])) + 1
-    return [(int(part[c[0]]), pack(spans[c])) for c in (np.split(order, cuts) if len(order) else [])]
+    return [(int(part[c[0]]), pack(spans[c])) for c in _runs(part, order)]
+
+
+def _stream(batch: pa.RecordBatch) -> bytes:
+    """A batch as a compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
@@ -290,7 +352,7 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
     def counted(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for part in pieces(batch, "text", PIECE):
             data, offsets = text_bytes(part.column("text"))
-            at, hashes = anchors(data, offsets, prefix_sums(data))
+            at, hashes, _ = anchors(data, offsets, prefix_sums(data))
             row = np.searchsorted(offsets, at, "right") - 1
             order = np.lexsort((hashes, row))
             hashes, row = hashes[order], row[order]
@@ -324,19 +386,20 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
             for part in pieces(batch, "text", PIECE):
                 data, offsets = text_bytes(part.column("text"))
                 sums = prefix_sums(data)
-                at, hashes = anchors(data, offsets, sums)
+                at, hashes, least = anchors(data, offsets, sums)
                 use = holds(shared, hashes)
                 at, hashes = at[use], hashes[use]
                 row = np.searchsorted(offsets, at, "right") - 1
                 often = holds(hot, hashes)
-                mine = surrounded(data, offsets, at[~often], hashes[~often], row[~often])
+                mine = surrounded(data, offsets, at[~often], hashes[~often], row[~often], least)
                 mine["owner"] = row[~often] + n
-                # every string of 50 bytes around a hot anchor
-                start = (at[often][:, None] - np.arange(SIDE + 1)).reshape(-1)
-                where = np.repeat(row[often], SIDE + 1)
-                inside = (start >= offsets[where]) & (start + LENGTH <= offsets[where + 1])
-                start, place = np.unique(start[inside], return_index=True)
-                where = where[inside][place]
+                # every string of 50 bytes with a hot anchor
+                before, after = (x.astype(np.int64) for x in reach(at[often], hashes[often], least))
+                n_strings = before + after - SIDE + 1
+                opens = np.repeat(np.cumsum(n_strings) - n_strings, n_strings)
+                start = np.repeat(at[often] - before, n_strings) + np.arange(len(opens)) - opens
+                start, place = np.unique(start, return_index=True)
+                where = np.repeat(row[often], n_strings)[place]
                 string = np.zeros(len(start), STRING)
                 string["hash"] = substring_hashes(sums, start, start + LENGTH)
                 string["owner"], string["at"] = where + n, start - offsets[where]
@@ -358,11 +421,10 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
         if kind == 2:
             # spans that a task has settled by itself; their bucket is their part
             return pa.table({"part": table["bucket"], "spans": table["records"]})
-        dtype = STRING if kind else SUFFIX
         owners, records, n = [], [], 0
         for who, blob in zip(table["owners"], table["records"]):
             mine = unpack(who.as_py(), OWNER)
-            rows = unpack(blob.as_py(), dtype).copy()
+            rows = unpack(blob.as_py(), STRING).copy() if kind else unpack_suffixes(blob.as_py())
             rows["owner"] += np.uint32(n)
             n += len(mine)
             owners.append(mine), records.append(rows)
@@ -403,13 +465,28 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     keyed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), key.alias("key"))
     keyed = keyed.withColumn("part", F.pmod("key", F.lit(parts)).cast("int"))
 
+    def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch.column("part").to_numpy()
+            order = np.argsort(part, kind="stable")
+            out = [(int(part[c[0]]), _stream(batch.take(pa.array(c)))) for c in _runs(part, order)]
+            if out:
+                of_part, blobs = zip(*out)
+                yield pa.RecordBatch.from_pydict(
+                    {"part": pa.array(of_part, pa.int32()), "documents": pa.array(blobs, pa.binary())}
+                )
+
     def cut(documents: pa.Table, found: pa.Table) -> pa.Table:
         spans = [unpack(b.as_py(), SPAN) for b in found["spans"]] if found.num_rows else []
         spans = _joined(np.concatenate(spans)) if spans else np.zeros(0, SPAN)
+        return pa.concat_tables(
+            [cut_rows(pa.ipc.open_stream(blob.as_buffer()).read_all(), spans) for blob in documents["documents"]]
+        )
+
+    def cut_rows(documents: pa.Table, spans: np.ndarray) -> pa.Table:
         keys = documents["key"].to_numpy()
         low, high = np.searchsorted(spans["key"], keys, "left"), np.searchsorted(spans["key"], keys, "right")
-        rows = documents["row"].combine_chunks()
-        rows = rows.chunk(0) if isinstance(rows, pa.ChunkedArray) else rows
+        (rows,) = documents["row"].chunks
         columns = dict(zip(names, rows.flatten()))
         new: dict[str, list] = {n: [] for n in added}
         texts = []
@@ -430,7 +507,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         return pa.table(columns | {n: pa.array(v, kinds[added[n]]) for n, v in new.items()})
 
     return (
-        keyed.groupBy("part")
+        keyed.mapInArrow(by_part, "part int, documents binary")
+        .groupBy("part")
         .cogroup(spans.groupBy("part"))
         .applyInArrow(cut, schema)
     )
