@@ -32,10 +32,10 @@ LENGTH = 50
 ANCHOR = 26
 SIDE = LENGTH - ANCHOR
 # Anchors in this many documents or more are matched by string hashes instead.
-HOT_ANCHOR = 128
+HOT_ANCHOR = 1024
 # Suffixes of a bucket that make up a batch.
 BATCH = 1 << 15
-# Suffixes a task gathers before it sends them to their buckets.
+# Suffixes a task gathers before it sends them to their buckets; a string counts as a quarter of one.
 FLUSH = 1 << 20
 # Suffix pairs compared, and bytes of text searched for anchors, at a time.
 PAIRS = 1 << 18
@@ -407,7 +407,7 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
                 who["id"], who["key"] = part.column("doc_id").to_numpy(), part.column("key").to_numpy()
                 owners.append(who), suffixes.append(mine), strings.append(string)
                 n += part.num_rows
-                held += len(mine) + len(string)
+                held += len(mine) + len(string) // 4
                 if held >= FLUSH:
                     yield flush()
                     held, n = 0, 0
@@ -438,8 +438,11 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
 
 
 def part_count(rows: int) -> int:
-    """Groups of documents that are cut together, about two thousand each."""
-    return max(8, -(-rows // 2000))
+    """Groups of documents that are cut together, about eight thousand each, and buckets of suffixes.
+
+    A task sends each group one packed record: fewer groups make longer records, which compress better.
+    """
+    return max(8, -(-rows // 8000))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
