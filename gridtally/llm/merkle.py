@@ -1,7 +1,8 @@
 """Merkle-tree fingerprints of texts, in SQL functions only.
 
-Leaves are pieces of text up to a line's end or a mark of punctuation; a paragraph is a line; a paragraph
-whose hash is a multiple of four ends a section, so an edit moves no other section's limits. A fingerprint
+Leaves are pieces of text up to a line's end or a mark of punctuation; a longer piece is cut further, at words
+and within long words at characters that are chosen by a hash, so that an edit moves no cut far away, and
+wherever that leaves too much, as in periodic text, at a fixed length. A paragraph is a line; a paragraph whose hash is a multiple of four ends a section, so an edit moves no other section's limits. A fingerprint
 reads `root|section;section;…`, a section `hash#leaf.leaf,leaf`, with `,` between paragraphs. Equal roots
 mean equal texts; where roots differ, sections whose hash the other tree lacks hold the edits, and in them
 the leaves that it lacks.
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 from gridtally.session import materialize
 
 SECTION = 4
+# Pieces, and words in them, of more characters are cut further: after one word in WORDS, one character in CHARACTERS.
+LONG, WORDS, CHARACTERS = 64, 4, 32
+# Characters of a leaf at most, white space and marks of punctuation included.
+MOST = 256
 
 
 def _digest(value: Column) -> Column:
@@ -22,11 +27,43 @@ def _digest(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(F.xxhash64(value).bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
 
 
+def _bounded(piece: Column) -> Column:
+    """The parts that a long piece is cut into; a cut is a zero character, which stays with its part."""
+
+    def cut_one_in(n: int, *hashed: Column) -> Column:
+        return F.when(F.pmod(F.xxhash64(*hashed), F.lit(n)) == 0, "\0").otherwise("")
+
+    def cut_inside(word: Column) -> Column:
+        # a list of one list, so that the word is taken apart once
+        return F.array_join(
+            F.flatten(
+                F.transform(
+                    F.array(F.split(word, "")),
+                    lambda s: F.transform(s, lambda c, i: F.concat(c, cut_one_in(CHARACTERS, c, F.get(s, i - 1)))),
+                )
+            ),
+            "",
+        )
+
+    words = F.transform(
+        F.split(piece, r"(?<=\s)"),
+        lambda w: F.concat(F.when(F.length(w) > LONG, cut_inside(w)).otherwise(w), cut_one_in(WORDS, w)),
+    )
+    marked = F.regexp_replace(F.array_join(words, ""), rf"([^\x00]{{{MOST}}})(?=[^\x00])", "$1\0")
+    return F.split(marked, r"(?<=\x00)(?=[\s\S])")
+
+
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text, null counting as empty."""
 
     def paragraph(line: Column) -> Column:
-        leaves = F.array_join(F.transform(F.split(line, r"(?<=[.!?,;:|] )"), _digest), ".")
+        leaves = F.array_join(
+            F.transform(
+                F.split(line, r"(?<=[.!?,;:|] )|(?<=[。！？，、；：])"),
+                lambda p: F.when(F.length(p) > LONG, F.array_join(F.transform(_bounded(p), _digest), ".")).otherwise(_digest(p)),
+            ),
+            ".",
+        )
         return F.concat(leaves, F.when(F.pmod(F.xxhash64(leaves), F.lit(SECTION)) == 0, ";").otherwise(","))
 
     whole = F.coalesce(text, F.lit(""))

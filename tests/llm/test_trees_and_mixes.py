@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridtally.llm.curriculum import SCHEDULES, assign_positions, source_targets, time_due, training_order, word_count
 from gridtally.llm.inner_topk import inner_top_k, whole_vectors
-from gridtally.llm.merkle import edited_fingerprints, edits, fingerprint, likeness
+from gridtally.llm.merkle import edited_fingerprints, edits, fingerprint, leaves, likeness
 from gridtally.llm.preference_format import format_preferences
 
 
@@ -66,6 +66,27 @@ def test_edits_are_located(spark):
     assert r.same == [] and len(r.e) == 1 and len(r.e[0].leaves) == 1 and r.near > 0.95
 
 
+def test_every_long_text_has_bounded_leaves(spark, documents):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(600)]
+    texts = {
+        "words": " ".join(words), "code": "".join(words), "cjk": "".join(chr(0x4E00 + i) for i in rng.integers(0, 5000, 3000)),
+        "marks": "。".join(words), "symbols": "".join(rng.choice(list("#=+*<>~^"), 3000)), "table": "\t".join(words), "period": "word " * 800,
+    }
+    for name, text in texts.items():
+        n = len(text)
+        df = spark.createDataFrame([(text, text[: n - n // 4] + "other ends " + words[0] * 9, text[: n // 2] + "!" + text[n // 2 :])], "a string, b string, c string")
+        a, b, c = df.select(*[fingerprint(F.col(x)) for x in "abc"]).first()
+        prints = spark.createDataFrame([(a, b, c)], "a string, b string, c string")
+        r = prints.select(leaves(F.col("a")).alias("all"), likeness(F.col("a"), F.col("b")).alias("cut"), likeness(F.col("a"), F.col("c")).alias("put")).first()
+        assert len(r.all) >= n / 256 and r.cut > 0.3, (name, len(r.all), r.cut)
+        if name != "period":
+            e = prints.select(edits(F.col("a"), F.col("c")).alias("e")).first().e
+            assert r.put > 0.9 and 0 < sum(len(x.leaves) for x in e) <= 5, (name, r.put, e)
+    long = {r.doc_id for r in documents.collect() if len(r.text or "") >= 100}
+    assert min(r.near_edited for r in edited_fingerprints(documents).collect() if r.doc_id in long) > 0.05
+
+
 def test_targets_fill_up_by_weight(spark):
     def level(sizes):
         weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
