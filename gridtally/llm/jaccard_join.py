@@ -14,7 +14,10 @@ it only decides how long the index's rows per key get.
 
 A key that many texts share is not expanded into all their pairs. It names one of its texts as pivot and the
 others are compared with it exactly; texts in the same component need no further comparison. When few pairs
-are left between a key's components they are compared one by one, so no link is lost.
+are left between a key's components they are compared one by one, so no link that joins components is lost.
+
+Links inside a component are counted afterwards: its different texts are dealt into blocks, and every two blocks
+are compared whole, so a text's number of links is exact and no pair is ever a row.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ FREQUENT = 16
 # Set sizes at which the number of groups changes; sizes near a limit are indexed on both sides.
 FIRST_TIER, TIER_FACTOR = 26, 16
 STAR_ROUNDS = 6
+# Texts and bytes of a block whose links are counted at once, and tokens that are multiplied at a time.
+BLOCK_TEXTS, BLOCK_BYTES, TOKENS = 256, 1 << 20, 4096
 
 _SIGNATURE = "n_shingles long, set_a long, set_b long, keys array<long>"
 
@@ -107,8 +112,9 @@ def signatures(
                 for tokens in shingle_sets(part.column(text), words):
                     found = index_keys(tokens, holds(often, tokens), holds(shared, tokens), percent)
                     sizes.append(len(tokens))
-                    first.append(tokens.sum(dtype=np.uint64))
-                    second.append(mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
+                    one, two = _set_hashes(tokens)
+                    first.append(one)
+                    second.append(two)
                     keys.append(found)
                     ends.append(ends[-1] + len(found))
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
@@ -227,6 +233,77 @@ def _link_texts(postings: DataFrame, texts: DataFrame, percent: int, words: int)
     return labels
 
 
+def _set_hashes(tokens: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """Two hashes of a whole set."""
+    return tokens.sum(dtype=np.uint64), mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+
+
+def links_between(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each two of the sets (sorted tokens) are linked, by products of their 0-1 rows."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    tokens, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    # a token of one set alone is in no intersection
+    several = uses > 1
+    row, column = row[several[column]], (np.cumsum(several) - 1)[column][several[column]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    inner = np.zeros((len(sets), len(sets)), np.int64)
+    for low in range(0, int(several.sum()), TOKENS):
+        a, b = np.searchsorted(column, (low, low + TOKENS))
+        ones = np.zeros((len(sets), TOKENS), np.float32)
+        ones[row[a:b], column[a:b] - low] = 1
+        inner += (ones @ ones.T).astype(np.int64)
+    linked = (100 * inner >= percent * (sizes[:, None] + sizes[None, :] - inner)) & (inner > 0)
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def _link_counts(labels: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
+    """Every class of a component with its number of linked classes: (set_a, set_b, n_shingles, n_links)."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                sets = list(shingle_sets(part.column("text"), words))
+                hashes = np.array([_set_hashes(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+                sizes = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, sizes, pa.array(hashes[:, 0].copy()), pa.array(hashes[:, 1].copy())],
+                    names=["node", "text", "component", "n_shingles", "set_a", "set_b"],
+                )
+
+    identity = ["set_a", "set_b", "n_shingles"]
+    signed = texts.join(labels, "node").select("node", "text", "component").mapInArrow(
+        sign, "node long, text string, component long, n_shingles long, set_a long, set_b long"
+    )
+    one_each = signed.join(classes.withColumnRenamed("class_id", "node"), [*identity, "node"], "left_semi")
+    one_each = materialize(one_each.dropDuplicates(identity), "grouped")
+    blocks = one_each.groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
+    dealt = (
+        one_each.join(blocks, "component")
+        .withColumn("block", F.pmod(F.xxhash64(*identity), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", *identity, "text")
+    )
+
+    def count(rows: pa.Table) -> pa.Table:
+        sets = [s for batch in rows.to_batches() for part in pieces(batch, "text") for s in shingle_sets(part.column("text"), words)]
+        linked = links_between(sets, percent)
+        node, block = rows.column("node").to_numpy(), rows.column("block").to_numpy()
+        linked &= node[:, None] != node[None, :]
+        if rows.column("one")[0] != rows.column("two")[0]:
+            linked &= block[:, None] != block[None, :]
+        return rows.select(identity).append_column("n_links", pa.array(linked.sum(axis=1).astype(np.int64)))
+
+    counted = dealt.groupBy("component", "one", "two").applyInArrow(
+        count, "set_a long, set_b long, n_shingles long, n_links long"
+    )
+    return counted.groupBy(*identity).agg(F.sum("n_links").alias("n_links"))
+
+
 def jaccard_components(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -234,17 +311,19 @@ def jaccard_components(
     percent: int = PERCENT,
     words: int = SHINGLE_WORDS,
     frequent: int = FREQUENT,
+    links: bool = True,
 ) -> DataFrame:
-    """Every row's id with `n_shingles`, `class_id` and `component_id`.
+    """Every row's id with `n_shingles`, `class_id`, `component_id` and, with `links`, `n_links`.
 
     Texts are cut into words at ASCII white space, A-Z in lower case. A text's set holds its distinct runs
     of `words` words; a shorter text's whole sequence is its only element; a text that is null, empty or
     without words has an empty set (`n_shingles` 0) and no links. Two texts link when
     100 * intersection >= percent * union. `class_id` is the least id with exactly the same set,
-    `component_id` the least id that links lead to, the row's own included.
+    `component_id` the least id that links lead to, the row's own included. `n_links` is the number of different
+    sets that the row's set links to; sets of the same class id, that is of one document, do not count.
 
     Ids are whole numbers. Rows that share an id count as one document and pool their links; each gets
-    its row. A row without an id gets its set size and null for both classes. An empty table gives an
+    its row. A row without an id gets its set size and null for the rest. An empty table gives an
     empty result. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
@@ -299,10 +378,15 @@ def jaccard_components(
     if labels is not None:
         members = members.join(labels.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
         component = F.coalesce("component", "class_id", "node")
+        if links:
+            counts = _link_counts(labels, classes, texts, percent, words)
+            members = members.join(counts, ["set_a", "set_b", "n_shingles"], "left")
     known = F.col("node").isNotNull()
+    n_links = F.coalesce("n_links", F.lit(0)) if labels is not None and links else F.lit(0)
     return members.select(
         F.col("node").alias(doc_id),
         "n_shingles",
         F.when(known, own).alias("class_id"),
         F.when(known, component).alias("component_id"),
+        *([F.when(known, n_links.cast("long")).alias("n_links")] if links else []),
     )

@@ -45,6 +45,20 @@ def test_groups_of_near_copies_lose_no_link(spark, frequent):
     assert jaccard_rows(df, frequent=frequent) == sorted((k, *v) for k, v in brute.jaccard_components(rows).items())
 
 
+def test_links_inside_components_are_counted(spark, monkeypatch):
+    import gridtally.llm.jaccard_join as module
+
+    monkeypatch.setattr(module, "BLOCK_TEXTS", 16)
+    rows = near_copies()
+    rows += [(3000 + i, t) for i, t in rows[:5]] + [(4000, None), (4001, " ")]
+    sets = {i: frozenset(brute.shingles(t)) for i, t in rows}
+    distinct = {s for s in sets.values() if s}
+    want = {s: sum(100 * len(s & o) >= 80 * len(s | o) for o in distinct if o != s) for s in distinct}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.n_links for r in jaccard_components(df).collect()}
+    assert max(got.values()) > 2 and got == {i: want.get(s, 0) for i, s in sets.items()}
+
+
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(11)
     for n in (3, 7, 20, 21, 26, 30, 33, 100, 415, 420, 600, 900):
