@@ -9,6 +9,7 @@ from gridtally.llm.curriculum import assign_positions
 from gridtally.llm.inner_topk import inner_top_k, whole_vectors
 from gridtally.llm.jaccard_join import jaccard_components
 from gridtally.llm.language_id import accepted, fit_languages, identify, learnable
+from gridtally.llm.lexical_search import lexical_search
 from gridtally.llm.merkle import edited_fingerprints
 from gridtally.llm.ordinal_quality import drawn_ratings, fit_grades, grade_texts
 from gridtally.llm.preference_format import format_preferences
@@ -93,6 +94,10 @@ def op10_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 OP8_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
@@ -141,6 +146,38 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
+OP11_SQL = """
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM documents
+), counts AS (
+  SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+), sizes AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term) t, totals
+), asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM benchmark) q
+  GROUP BY item_id, term
+), gains AS (
+  SELECT c.doc_id, c.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))) AS gain
+  FROM counts c JOIN sizes s ON c.doc_id = s.doc_id JOIN weights w ON c.term = w.term, totals
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * gain) AS BIGINT) AS score
+  FROM asked JOIN gains ON asked.term = gains.term GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -152,9 +189,11 @@ QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_vector_best_fit": op10_vector_best_fit,
+    "op11_lexical_search": op11_lexical_search,
 }
 
 SQL = {
     "op8_exact_topk": OP8_SQL,
     "op9_curriculum_mix": OP9_SQL,
+    "op11_lexical_search": OP11_SQL,
 }
