@@ -16,6 +16,7 @@ from gridtally.llm.preference_format import format_preferences
 from gridtally.llm.suffix_dedup import remove_repeats
 from gridtally.llm.token_files import read_token_files, write_token_files
 from gridtally.llm.vector_packing import pack_documents
+from gridtally.llm.whitening import by_component, whiten, whole_entries
 from gridtally.session import scratch_path
 
 
@@ -98,6 +99,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return by_component(whiten(whole_entries(_table(spark, sf_dir, "embeddings"))))
+
+
 OP8_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
@@ -190,6 +195,7 @@ QUERIES = {
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_vector_best_fit": op10_vector_best_fit,
     "op11_lexical_search": op11_lexical_search,
+    "op12_whitening": op12_whitening,
 }
 
 SQL = {
