@@ -259,7 +259,7 @@ def directions(r: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     a, b = a / norm, b / norm
     # backward stable: smaller than the rounding of the reflections
     a = np.where(np.abs(a) < EPS, np.where(a < 0, -EPS, EPS), a)
-    cuts = [0, *(np.flatnonzero(np.abs(b) <= EPS) + 1).tolist(), len(a)]
+    cuts = [0, *(np.flatnonzero(np.abs(b) <= len(a) * EPS) + 1).tolist(), len(a)]
     pairs: list[tuple[float, int, int]] = []
     for lo, hi in zip(cuts, cuts[1:]):
         pairs += [(v, lo, hi) for v in dqds(a[lo:hi], b[lo : hi - 1]).tolist()]
@@ -272,7 +272,9 @@ def directions(r: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         z, size = twisted(a[lo:hi], b[lo : hi - 1], value)
         near = [c[lo:hi] for c, v, at in columns if at == lo and abs(v - value) <= 1e-5 * value]
         best = None
-        for i in np.argsort(size, kind="stable"):
+        order = np.argsort(size, kind="stable")
+        # only columns that solve the equation lie in the space
+        for i in order[size[order] <= max(1e-12 * value, 2 * size[order[0]])]:
             x = z[:, i]
             for _ in range(2):
                 for y in near:
