@@ -11,6 +11,7 @@ from gridtally.llm.jaccard_join import jaccard_components
 from gridtally.llm.language_id import accepted, fit_languages, identify, learnable
 from gridtally.llm.lexical_search import lexical_search
 from gridtally.llm.merkle import edited_fingerprints
+from gridtally.llm.mixture_packing import pack_mixture
 from gridtally.llm.ordinal_quality import drawn_ratings, fit_grades, grade_texts
 from gridtally.llm.preference_format import format_preferences
 from gridtally.llm.suffix_dedup import remove_repeats
@@ -103,6 +104,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_component(whiten(whole_entries(_table(spark, sf_dir, "embeddings"))))
 
 
+def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_mixture(_table(spark, sf_dir, "documents"))
+
+
 OP8_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
@@ -196,6 +201,7 @@ QUERIES = {
     "op10_vector_best_fit": op10_vector_best_fit,
     "op11_lexical_search": op11_lexical_search,
     "op12_whitening": op12_whitening,
+    "op13_mixture_packing": op13_mixture_packing,
 }
 
 SQL = {

@@ -16,7 +16,6 @@ from tests.llm.conftest import odd_texts
 
 def plain(name):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
