@@ -96,8 +96,9 @@ def likeness(one: Column, other: Column) -> Column:
 
 
 def edits(one: Column, other: Column) -> Column:
-    """Where the first text differs: sections that the other lacks, each with its place from 0 and the
-    places of its leaves, from 0 in the section, that the other lacks. Equal roots: none."""
+    """Where the first text differs: sections that hold leaves the other lacks, each with its place from 0
+    and the places of these leaves, from 0 in the section. Equal roots: none. Leaves that only the other
+    has are found the other way round."""
     theirs = leaves(other)
     branch = F.transform(sections(one), lambda s, i: F.struct(i.alias("section"), s.alias("branch")))
     differing = F.filter(branch, lambda b: ~F.array_contains(sections(other), b["branch"]))
@@ -114,6 +115,8 @@ def edits(one: Column, other: Column) -> Column:
             ).alias("leaves"),
         ),
     )
+    # an edit may open or close a section beside it, in which nothing else differs
+    found = F.filter(found, lambda s: F.size(s["leaves"]) > 0)
     return F.when(root(one) == root(other), F.slice(found, 1, 0)).otherwise(found)
 
 
