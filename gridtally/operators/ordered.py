@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtally.schema import METER, READING_ID, TS
 from gridtally.session import materialize
@@ -118,19 +119,73 @@ _CARRIED = {"mean": ("sum",), "std": ("sum", "dev"), "max": ("max",), "min": ("m
 RANK = "_rank"
 
 
+# Calendar units from coarse to fine, as whole numbers that grow with time.
+_UNITS: dict[str, Callable[[Column], Column]] = {
+    "month": lambda ts: F.year(ts) * 12 + F.month(ts),
+    "day": lambda ts: F.unix_date(ts.cast("date")),
+    "hour": lambda ts: F.unix_date(ts.cast("date")) * 24 + F.hour(ts),
+}
+# Rows of one series and calendar unit that one task may sort.
+UNIT_ROWS = 1 << 20
+
+
+def _same(keys: Sequence[str]) -> Column:
+    """Equal keys, with nulls equal too; the other side's have an underscore before their names."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+
+
+def calendar_index(df: DataFrame, series: Series = READINGS, unit: str = "month") -> DataFrame:
+    """For every series and calendar unit: `unit`, its `rows`, its first instant `start`, and how many rows come `after`.
+
+    Only keys and times are read, and rows are counted before they are shuffled. A null time is the
+    oldest, in a unit of its own.
+    """
+    lead = F.col(series.order[0])
+    counts = df.groupBy(*series.keys, _UNITS[unit](lead).alias("unit")).agg(F.count("*").alias("rows"), F.min(lead).alias("start"))
+    later = Window.partitionBy(*(series.keys or [F.lit(0)])).orderBy(F.col("unit").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("after", F.coalesce(F.sum("rows").over(later), F.lit(0)))
+
+
 def tail(df: DataFrame, rows: int, series: Series = READINGS) -> DataFrame:
     """The last rows of every series, numbered in `_rank` from the newest, 1.
 
-    Rows are found by their positions: however long the tail and however large a series, no task holds
-    more than a range of the sorted rows.
+    A calendar index tells from which month on each series is needed. The earliest of these instants goes
+    to the file scan as a filter, and only the months needed are numbered, each from the count of the rows
+    after it. If one series has more than `UNIT_ROWS` rows in a month, days of these months are looked
+    at, then hours. Only the indexes are written. Series that are not ordered by time, and hours that hold
+    more, are numbered by their positions: no task ever holds more than a range of sorted rows.
     """
+    order = series.order
+    if not isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return _tail_by_position(df, rows, series)
+    lead = F.col(order[0])
+    for unit, number in _UNITS.items():
+        index = calendar_index(df, series, unit).filter(F.col("after") < rows)
+        index = materialize(
+            index.select(*[F.col(k).alias(f"_{k}") for k in series.keys], *[F.col(c).alias(f"_of_{c}") for c in ("unit", "rows", "start", "after")]),
+            "calendar",
+        )
+        found = index.agg(F.max("_of_rows").alias("most"), F.min("_of_start").cast("string").alias("start"), F.count_if(F.col("_of_start").isNull()).alias("undated")).first()
+        # a literal of the column's own type is tested in the scan
+        if found.start is not None and not found.undated:
+            df = df.filter(lead >= F.lit(found.start).cast(df.schema[order[0]].dataType))
+        here = number(lead).eqNullSafe(F.col("_of_unit"))
+        needed = df.join(index, _same(series.keys) & here if series.keys else here)
+        if (found.most or 0) <= UNIT_ROWS:
+            newest = Window.partitionBy(*series.keys, "_of_unit").orderBy(*[F.col(c).desc() for c in order])
+            ranked = needed.select(*df.columns, (F.row_number().over(newest) + F.col("_of_after")).alias(RANK))
+            return ranked.filter(F.col(RANK) <= rows)
+        df = needed.select(*df.columns)
+    return _tail_by_position(df, rows, series)
+
+
+def _tail_by_position(df: DataFrame, rows: int, series: Series) -> DataFrame:
     place, last = "_place", "_last"
     placed = with_position(df, series, place)
     ends = placed.groupBy(*series.keys).agg(F.max(place).alias(last))
     if series.keys:
         ends = materialize(ends.select(*[F.col(k).alias(f"_{k}") for k in series.keys], last), "ends")
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in series.keys])
-        placed = placed.join(ends, same).drop(*[f"_{k}" for k in series.keys])
+        placed = placed.join(ends, _same(series.keys)).drop(*[f"_{k}" for k in series.keys])
     else:
         placed = placed.withColumn(last, ends.scalar())
     return placed.withColumn(RANK, F.col(last) - F.col(place) + 1).filter(F.col(RANK) <= rows).drop(place, last)
