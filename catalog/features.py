@@ -22,7 +22,7 @@ from catalog.registry import query
 from gridtally.operators import encoding, future, ordered, outliers
 from gridtally.operators.ordered import over_blocks, with_position
 from gridtally.operators.splits import kfold
-from gridtally.plans.training import seasonal_difference
+from gridtally.plans.seasonal import seasonal_difference
 
 _ORDER = "PARTITION BY meter_id ORDER BY ts, reading_id"
 

@@ -18,13 +18,13 @@ from catalog.inputs import (
 )
 from catalog.registry import query
 from gridtally.functions.calendar import calendar_parts
-from gridtally.operators import evaluate, isolation, splits
+from gridtally.operators import evaluate, isolation, splits, timefolds
 from gridtally.operators.encoding import assemble, fit_labels, fit_robust, label_encode
 from gridtally.operators.ordered import with_position
 from gridtally.operators.pricing import unit_price
 from gridtally.operators.relational import top_k
-from gridtally.plans import training
-from gridtally.plans.forecast import Settings, feature_tables, forecast, forecast_measures
+from gridtally.plans import seasonal, training
+from gridtally.plans.forecast import Settings, feature_tables, forecast, forecast_measures, forecast_with_scores
 from gridtally.schema import MEASURES
 from gridtally.session import materialize, scratch_path
 
@@ -461,32 +461,179 @@ def saved_model(spark, sf_dir):
     return rounded(out.select("reading_id", "prediction"), 1, "prediction")
 
 
+_CHANGES = (
+    "lagged AS (SELECT *, lag(cost_krw) OVER s + lag(cost_krw, 24) OVER s - lag(cost_krw, 25) OVER s AS base FROM readings "
+    "WINDOW s AS (PARTITION BY meter_id ORDER BY ts, reading_id)),\n"
+    "changes AS (SELECT *, cost_krw - base AS w, lag(cost_krw - base) OVER s AS w1 FROM lagged "
+    "WINDOW s AS (PARTITION BY meter_id ORDER BY ts, reading_id)),\n"
+    "long AS (SELECT regr_slope(w, w1) AS b, regr_intercept(w, w1) AS a FROM changes WHERE ts < TIMESTAMP '2024-12-01 00:00:00'),\n"
+    "surprises AS (SELECT *, lag(w - a - b * w1) OVER s AS e1 FROM changes, long "
+    "WINDOW s AS (PARTITION BY meter_id ORDER BY ts, reading_id)),\n"
+    "fitted AS (SELECT regr_slope(w, e1) AS d, regr_intercept(w, e1) AS c FROM surprises WHERE ts < TIMESTAMP '2024-12-01 00:00:00')"
+)
+
+
+@query(
+    "seasonal_surprises_one_lag",
+    with_readings(
+        f"SELECT reading_id, {snap('base + c + d * e1', 2)} AS prediction FROM surprises, fitted",
+        _CHANGES,
+    ),
+)
+def seasonal_surprises_one_lag(spark, sf_dir):
+    """One lag in either fit, so that plain regressions say the same."""
+    placed = with_position(readings(spark, sf_dir).select("reading_id", "meter_id", "ts", "cost_krw"))
+    known = F.col("ts") < F.lit("2024-12-01").cast("timestamp_ntz")
+    model = seasonal.fit_seasonal(placed, "cost_krw", ar=(), ma=(1,), long=(1,), train=known)
+    out = seasonal.one_step(placed, model)
+    return snapped(out.select("reading_id", "prediction"), 2, "prediction")
+
+
+def _seasonal(spark, sf_dir):
+    """A model with surprises and an input, fitted on the readings before the forecast."""
+    rows = readings(spark, sf_dir).select("reading_id", "meter_id", "ts", "cost_krw", "usage_kwh")
+    known = F.col("ts") < F.lit("2024-12-01").cast("timestamp_ntz")
+    placed = materialize(with_position(rows), "placed")
+    return placed, known, seasonal.fit_seasonal(placed, "cost_krw", ["usage_kwh"], train=known)
+
+
+@query("seasonal_arma")
+def seasonal_arma(spark, sf_dir):
+    placed, known, model = _seasonal(spark, sf_dir)
+    return evaluate.metrics(seasonal.one_step(placed, model).filter(~known), "cost_krw", ["prediction"])
+
+
+@query("seasonal_arma_ahead")
+def seasonal_arma_ahead(spark, sf_dir):
+    """A month of quarter hours, as far as the input is known."""
+    placed, known, model = _seasonal(spark, sf_dir)
+    return seasonal.ahead(placed.filter(known), model, 2976, placed.filter(~known))
+
+
 @query("seasonal_ar")
 def seasonal_ar(spark, sf_dir):
     placed = with_position(
         readings(spark, sf_dir).select("reading_id", "meter_id", "ts", "cost_krw", "usage_kwh")
     )
     known = F.col("ts") < F.lit("2024-12-01").cast("timestamp_ntz")
-    out = training.seasonal_ar(placed, "cost_krw", ["usage_kwh"], train=known)
+    out = seasonal.seasonal_ar(placed, "cost_krw", ["usage_kwh"], train=known)
     return evaluate.metrics(out.filter(~known), "cost_krw", ["prediction"])
 
 
 @query("seasonal_ar_ahead")
 def seasonal_ar_ahead(spark, sf_dir):
     known = train(spark, sf_dir).select("reading_id", "meter_id", "ts", "cost_krw")
-    return training.seasonal_ar_ahead(with_position(known), "cost_krw", steps=96)
+    return seasonal.seasonal_ar_ahead(with_position(known), "cost_krw", steps=2976)
+
+
+_BLOCKS = 24
+_BLOCKED = (
+    "blocked AS (SELECT *, len(list_filter(range(1, "
+    f"{_BLOCKS}), lambda i: position >= n * i // {_BLOCKS})) AS block FROM placed, (SELECT count(*) AS n FROM readings)),\n"
+    "own AS (SELECT work_type, block, sum(cost_krw) AS s, count(*) AS c FROM blocked GROUP BY 1, 2),\n"
+    "overall AS (SELECT block, sum(sum(s)) OVER w / sum(sum(c)) OVER w AS mean FROM own GROUP BY block "
+    "WINDOW w AS (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),\n"
+    "run AS (SELECT work_type, block, sum(s) OVER w AS s, coalesce(sum(c) OVER w, 0) AS c FROM own "
+    "WINDOW w AS (PARTITION BY work_type ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"
+)
+
+
+@query(
+    "target_encode_by_time",
+    with_readings(
+        "SELECT reading_id, "
+        + snap(
+            "CASE WHEN c > 0 THEN mean * (1 - 1 / (1 + exp(10 - c))) + s / c * (1 / (1 + exp(10 - c))) ELSE mean END", 3
+        )
+        + " AS work_type_te FROM blocked JOIN run USING (work_type, block) JOIN overall USING (block)",
+        _ORDERED,
+        _BLOCKED,
+    ),
+)
+def target_encode_by_time(spark, sf_dir):
+    df = _placed(spark, sf_dir, "work_type", "cost_krw")
+    edges = timefolds.even_edges(df.count(), _BLOCKS)
+    out = timefolds.target_encode_by_time(df, "work_type", "cost_krw", edges)
+    return snapped(out.select("reading_id", "work_type_te"), 3, "work_type_te")
+
+
+_TIME_FOLDS = (
+    "folds AS (SELECT CAST(i AS INTEGER) AS fold, n - 5 * (n // 6) + i * (n // 6) AS train_end "
+    "FROM (SELECT count(*) AS n FROM readings), (SELECT unnest(range(5)) AS i)),\n"
+    "trained AS (SELECT fold, placed.* FROM placed JOIN folds ON position < train_end),\n"
+    "quartiles AS (SELECT fold, quantile_cont(cost_krw, 0.25) AS q1, quantile_cont(cost_krw, 0.75) AS q3 FROM trained GROUP BY 1)"
+)
+
+
+def _folded(spark, sf_dir, *cols):
+    df = materialize(_placed(spark, sf_dir, *cols), "placed")
+    return df, splits.time_folds(df.count(), 5)
+
+
+@query(
+    "fold_statistics",
+    with_readings(
+        f"SELECT fold, {snap('q1 - 1.5 * (q3 - q1)', 3)} AS low, {snap('q3 + 1.5 * (q3 - q1)', 3)} AS high, "
+        f"{snap('quantile_cont(usage_kwh, 0.5)', 4)} AS usage_median, "
+        f"{snap('quantile_cont(usage_kwh, 0.75) - quantile_cont(usage_kwh, 0.25)', 4)} AS usage_width, "
+        f"{snap('avg(pf_lag_pct)', 6)} AS pf_mean, {snap('stddev_pop(pf_lag_pct)', 6)} AS pf_std, "
+        f"{snap('min(reactive_lag_kvarh)', 4)} AS reactive_low, "
+        f"{snap('max(reactive_lag_kvarh) - min(reactive_lag_kvarh)', 4)} AS reactive_span "
+        "FROM trained JOIN quartiles USING (fold) GROUP BY fold, q1, q3",
+        _ORDERED,
+        _TIME_FOLDS,
+    ),
+)
+def fold_statistics(spark, sf_dir):
+    """Outlier bounds, medians and scalings of every growing training set."""
+    df, folds = _folded(spark, sf_dir, *MEASURES)
+    bounds = timefolds.fold_bounds(df, "cost_krw", folds)
+    medians = timefolds.fold_medians(df, ["usage_kwh"], folds)
+    families = {"numeric": ["usage_kwh"], "categorical": ["pf_lag_pct"], "lag": ["reactive_lag_kvarh"]}
+    scalings = timefolds.fold_scalings(df, families, folds)
+    names = ["low", "high", "usage_median", "usage_width", "pf_mean", "pf_std", "reactive_low", "reactive_span"]
+    rows = [
+        (
+            f.number, *b, m["usage_kwh"], s.width["usage_kwh"], s.center["pf_lag_pct"], s.width["pf_lag_pct"],
+            s.center["reactive_lag_kvarh"], s.width["reactive_lag_kvarh"],
+        )
+        for f, b, m, s in zip(folds, bounds, medians, scalings)
+    ]
+    out = spark.createDataFrame(rows, "fold int, " + ", ".join(f"{n} double" for n in names))
+    out = snapped(snapped(out, 3, "low", "high"), 6, "pf_mean", "pf_std")
+    return snapped(out, 4, "usage_median", "usage_width", "reactive_low", "reactive_span")
+
+
+@query(
+    "fold_outliers",
+    with_readings(
+        "SELECT reading_id, cost_krw BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS usual FROM placed JOIN quartiles "
+        "ON fold = greatest(0, (SELECT count(*) FROM folds WHERE train_end <= position) - 1)",
+        _ORDERED,
+        _TIME_FOLDS,
+    ),
+)
+def fold_outliers(spark, sf_dir):
+    """Each reading judged by the quartiles of the readings before its fold."""
+    df, folds = _folded(spark, sf_dir, "cost_krw")
+    usual = timefolds.inside_bounds("cost_krw", folds, timefolds.fold_bounds(df, "cost_krw", folds))
+    return df.select("reading_id", usual.alias("usual"))
 
 
 @query("forecast")
 def forecast_query(spark, sf_dir):
-    settings = Settings(rounds=3, trees=3, depth=4, folds=2)
-    return forecast(train(spark, sf_dir), to_forecast(spark, sf_dir), settings)
+    return forecast(train(spark, sf_dir), to_forecast(spark, sf_dir))
+
+
+@query("forecast_scores")
+def forecast_scores(spark, sf_dir):
+    settings = Settings(refit=False, outliers="iqr", combine="weighted")
+    return forecast_with_scores(train(spark, sf_dir), to_forecast(spark, sf_dir), settings)[1]
 
 
 @query("forecast_measures")
 def forecast_measures_query(spark, sf_dir):
-    settings = Settings(rounds=2, depth=3)
-    return forecast_measures(train(spark, sf_dir), to_forecast(spark, sf_dir), settings)
+    return forecast_measures(train(spark, sf_dir), to_forecast(spark, sf_dir))
 
 
 @query("forecast_features")

@@ -356,6 +356,11 @@ def pct_change(col: str, n: int) -> Ordered:
     return Ordered(n, lambda w: F.try_divide(F.col(col), F.lag(col, n).over(w)) - 1)
 
 
+def pct_change_before(col: str, n: int) -> Ordered:
+    """Relative change of the row before against n rows before it; null where that value is 0."""
+    return Ordered(n + 1, lambda w: F.try_divide(F.lag(col, 1).over(w), F.lag(col, n + 1).over(w)) - 1)
+
+
 def diff(col: str, n: int) -> Ordered:
     return Ordered(n, lambda w: F.col(col) - F.lag(col, n).over(w))
 

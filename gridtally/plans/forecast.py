@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.functions.calendar import (
@@ -16,22 +17,23 @@ from gridtally.functions.calendar import (
     quarter_index,
 )
 from gridtally.operators.encoding import (
+    Scaling,
     assemble,
     clip_floor,
-    fit_families,
     fit_labels,
     fit_medians,
     fit_target_means,
     impute,
     label_encode,
     log_target,
+    replace_nonfinite,
     target_encode,
-    target_encode_oof,
     unlog,
 )
-from gridtally.operators.evaluate import ensemble_weights, mean_ensemble, weighted_ensemble
+from gridtally.operators.evaluate import ensemble_weights, mean_ensemble, metrics, weighted_ensemble
 from gridtally.operators.filters import feature_families
 from gridtally.operators.future import lags_across
+from gridtally.operators.isolation import isolation_filter
 from gridtally.operators.ordered import (
     POSITION,
     READINGS,
@@ -40,12 +42,19 @@ from gridtally.operators.ordered import (
     Series,
     lags,
     over_blocks,
+    pct_change_before,
     rolling_before,
     with_position,
 )
-from gridtally.operators.outliers import iqr_filter
 from gridtally.operators.pricing import unit_price
-from gridtally.operators.splits import kfold, time_folds
+from gridtally.operators.splits import Fold, time_folds
+from gridtally.operators.timefolds import (
+    even_edges,
+    fold_bounds,
+    fold_scalings,
+    inside_bounds,
+    target_encode_by_time,
+)
 from gridtally.plans.training import (
     boosted_trees,
     fit_all,
@@ -75,13 +84,31 @@ CATEGORICAL = (
 )
 
 
+# How far a rank may be off when features are scaled, as a share of the rows.
+SCALE_ERROR = 1e-4
+
+
 @dataclass(frozen=True)
 class Settings:
+    """What a forecast is made of.
+
+    `outliers`: rows that no model is fitted on, by the target's quartiles ("iqr"), by isolation
+    ("isolation"), by both ("combined") or none. `blocks` per fold are the steps in which category means
+    learn of the past. `held_out` is the last share of the training rows, which the scores are taken on;
+    with `refit` the models that predict have seen it as well.
+    """
+
     target: str = COST
     lags: tuple[int, ...] = (1, 24, 168)
     windows: tuple[int, ...] = (24, 168)
-    folds: int = 3
-    target_folds: int = 5
+    medians: tuple[int, ...] = (24,)
+    changes: tuple[int, ...] = (1, 24)
+    folds: int = 5
+    blocks: int = 4
+    outliers: str = "combined"
+    contamination: float = 0.1
+    held_out: float = 0.2
+    refit: bool = True
     combine: str = "stack"
     rounds: int = 10
     trees: int = 10
@@ -105,35 +132,99 @@ def row_features(df: DataFrame) -> DataFrame:
 
 
 def past_features(settings: Settings) -> dict[str, Ordered | Rolling]:
-    """Lags of the target and statistics of the rows strictly before: no row sees its own target."""
+    """Lags of the target, and statistics and changes of the rows strictly before: no row sees its own target."""
+    target = settings.target
     statistics = {
-        f"{settings.target}_rolling_{s}_{w}": rolling_before(settings.target, w, s)
+        f"{target}_rolling_{s}_{w}": rolling_before(target, w, s)
         for w in settings.windows
         for s in ("mean", "std", "max", "min")
     }
-    return {**lags([settings.target], settings.lags), **statistics}
+    statistics |= {f"{target}_rolling_median_{w}": rolling_before(target, w, "median") for w in settings.medians}
+    changes = {f"{target}_pct_change_{n}": pct_change_before(target, n) for n in settings.changes}
+    return {**lags([target], settings.lags), **statistics, **changes}
 
 
-def feature_tables(
-    train: DataFrame, future: DataFrame, settings: Settings = Settings()
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Training and future rows with one vector of scaled features each; the names in order."""
+@dataclass(frozen=True)
+class Prepared:
+    """Training rows in their order of time and future rows, with unscaled features.
+
+    `fits` tells the training rows that models may be fitted on; the last of `folds` is the held-out share.
+    """
+
+    known: DataFrame
+    ahead: DataFrame
+    names: list[str]
+    keep: list[str]
+    measured: list[str]
+    fits: Column
+    folds: list[Fold]
+
+    @property
+    def families(self) -> dict[str, list[str]]:
+        return feature_families(self.names, CATEGORICAL)
+
+    def scaled(self, df: DataFrame, scaling: Scaling, *more: str) -> DataFrame:
+        """The rows with one vector of scaled features."""
+        values = [scaling.scaled(c).alias(c) for c in self.names]
+        return assemble(df.select(*self.keep, *more, *values), self.names).drop(*self.names)
+
+    def whole(self) -> tuple[DataFrame, DataFrame]:
+        """All rows that may be fitted on, and the future rows, scaled alike."""
+        everything = Fold(len(self.folds), self.folds[-1].end, self.folds[-1].end, self.folds[-1].end)
+        (scaling,) = fold_scalings(self.known, self.families, [everything], self.fits, SCALE_ERROR)
+        known = self.scaled(self.known.filter(self.fits), scaling, *self.measured, "label", POSITION)
+        return known, self.scaled(self.ahead, scaling)
+
+    def frames(self) -> list[tuple[DataFrame, DataFrame]]:
+        """For each fold the rows to fit on and the rows to predict, scaled as the rows to fit on are."""
+        scalings = fold_scalings(self.known, self.families, self.folds, self.fits, SCALE_ERROR)
+        return [
+            tuple(self.scaled(df, scaling, "label") for df in (fold.train(self.known).filter(self.fits), fold.validation(self.known)))
+            for fold, scaling in zip(self.folds, scalings)
+        ]
+
+
+def prepare(train: DataFrame, future: DataFrame, settings: Settings = Settings()) -> Prepared:
+    """Features, outliers and encodings, such that a row's values rest on earlier rows only.
+
+    Rows without their lags, and those before the first step of the category means, are not trained on.
+    The target's quartiles that judge a row are those of the rows before its fold. Isolation looks at
+    the features of all training rows, never at the target, and only keeps rows out of the fits.
+    """
     target, past = settings.target, past_features(settings)
+    changes = [c for c in past if "_pct_change_" in c]
     known = over_blocks(with_position(train, settings.series), past, settings.series).drop(POSITION)
-    known = known.dropna(subset=[target, *past])
+    known = known.dropna(subset=[target, *[c for c in past if c not in changes]])
     ahead = lags_across(train, future, past, settings.series)
-    # written before the quartiles are looked for, so that the windows run once
-    known, ahead = materialize(row_features(known), "past"), row_features(ahead)
-    fit_on = known = iqr_filter(known, target)
+    # written with positions before anything is fitted, so that the windows run once
+    known = replace_nonfinite(row_features(known), changes)
+    known, ahead = with_position(known, Series(keys=(), order=(TS, READING_ID))), row_features(ahead)
+    known = materialize(known, "past")
+
+    rows = known.count()
+    cut = int(rows * (1 - settings.held_out))
+    folds = [*time_folds(cut, settings.folds), Fold(settings.folds, cut, cut, rows)]
+    if settings.outliers not in ("combined", "iqr", "isolation", "none"):
+        raise ValueError(f"outliers must be combined, iqr, isolation or none, not {settings.outliers!r}")
+    kept = F.lit(True)
+    if settings.outliers in ("combined", "iqr"):
+        kept = inside_bounds(target, folds, fold_bounds(known, target, folds))
+    known = known.withColumn("_fits", kept)
+    if settings.outliers in ("combined", "isolation"):
+        inputs = [c for c in (*MEASURES, "hour", "unit_price") if c != target and c in known.columns]
+        usual = isolation_filter(known, inputs, settings.contamination).select(F.col(POSITION).alias("_usual"))
+        known = known.join(usual, F.col(POSITION) == F.col("_usual"), "left")
+        known = known.withColumn("_fits", F.col("_fits") & F.col("_usual").isNotNull()).drop("_usual")
     for col in CODED:
-        codes = fit_labels(fit_on, col)
+        codes = fit_labels(known, col)
         known, ahead = label_encode(known, codes, col), label_encode(ahead, codes, col)
+    # every fold and the held-out share begin at an edge
+    edges = sorted({*even_edges(rows, settings.blocks * (settings.folds + 1)), *[f.start for f in folds]})
+    fits = F.col("_fits")
     for col in TARGET_CODED:
-        # a training row's category mean comes from other rows, a future row's from all of them
-        known = target_encode_oof(known, col, target, kfold(settings.target_folds))
-        means = fit_target_means(fit_on, col, target)
-        ahead = target_encode(ahead, means, col, fit_on.agg(F.avg(target)).scalar())
-
+        means = fit_target_means(known.filter(fits), col, target)
+        known = target_encode_by_time(known, col, target, edges, use=fits)
+        ahead = target_encode(ahead, means, col, known.filter(fits).agg(F.avg(target)).scalar())
     names = [
         *CATEGORICAL,
         *cyclic_parts(TS),
@@ -142,14 +233,21 @@ def feature_tables(
         *past,
     ]
     known = materialize(known.withColumn("label", log_target(target)), "known")
-    ahead = materialize(impute(ahead, fit_medians(known, list(past))), "ahead")
-    scaling = fit_families(known, feature_families(names, CATEGORICAL))
+    known = known.withColumn("_fits", fits & reduce(lambda a, b: a & b, [F.col(f"{c}_te").isNotNull() for c in TARGET_CODED]))
+    known = replace_nonfinite(known, [f"{c}_te" for c in TARGET_CODED])
+    ahead = impute(ahead, fit_medians(known.filter(fits), list(past)))
+    ahead = materialize(replace_nonfinite(ahead, list(past)), "ahead")
     keep = list(dict.fromkeys([READING_ID, *settings.series.keys, TS, WORK_TYPE]))
     measured = [m for m in dict.fromkeys([target, *MEASURES]) if m in train.columns]
-    scaled = [scaling.scaled(c).alias(c) for c in names]
-    known = assemble(known.select(*keep, *measured, "label", *scaled), names)
-    ahead = assemble(ahead.select(*keep, *scaled), names)
-    return known.drop(*names), ahead.drop(*names), names
+    return Prepared(known, ahead, names, keep, measured, fits, folds)
+
+
+def feature_tables(
+    train: DataFrame, future: DataFrame, settings: Settings = Settings()
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Training rows to fit on and future rows with one vector of scaled features each; the names in order."""
+    ready = prepare(train, future, settings)
+    return (*ready.whole(), ready.names)
 
 
 def base_models(settings: Settings) -> dict:
@@ -173,20 +271,46 @@ def combine(
     raise ValueError(f"how must be stack, mean or weighted, not {how!r}")
 
 
-def forecast(
+def forecast_with_scores(
     train: DataFrame, future: DataFrame, settings: Settings = Settings()
-) -> DataFrame:
-    """Predicted target of every future row, by several models over growing time folds."""
-    known, ahead, _ = feature_tables(train, future, settings)
-    known = with_position(known, Series(keys=(), order=(TS, READING_ID)))
+) -> tuple[DataFrame, DataFrame]:
+    """Predicted target of every future row, and scores: `part` ("fold 0", ..., "held out"), `model`, errors, R².
+
+    Base models predict growing time folds, each fitted on the rows before it, and at last the held-out
+    share; what combines them is fitted on the folds, and scored, as `combined`, on the held-out share alone.
+    """
+    ready = prepare(train, future, settings)
     models = base_models(settings)
-    folds = time_folds(known.count(), settings.folds)
-    oof, _ = oof_predictions(known, models, folds, [READING_ID, "label"])
-    singles = predict_all(ahead, fit_all(known, models))
+    names = list(models)
+    *frames, last = ready.frames()
+    oof, _ = oof_predictions(ready.known, models, frames, [READING_ID, "label"])
     oof = materialize(oof, "oof")
-    out = combine(oof, singles, list(models), "label", settings.combine, "logged")
+    fitted = fit_all(last[0], models)
+    held_out = materialize(
+        combine(oof, predict_all(last[1], fitted).select(READING_ID, "label", *names), names, "label", settings.combine, "combined"), "held-out"
+    )
+    scores = metrics(oof.withColumn("part", F.concat(F.lit("fold "), "fold")), "label", names, ["part"], logged=True)
+    scores = scores.unionByName(
+        metrics(held_out.withColumn("part", F.lit("held out")), "label", [*names, "combined"], ["part"], logged=True)
+    )
+    known, ahead = ready.whole()
+    if settings.refit:
+        fitted = fit_all(known, models)
+        oof = oof.unionByName(held_out.select(READING_ID, "label", F.lit(settings.folds).alias("fold"), *names))
+    else:
+        # the future scaled as the rows that the models have seen
+        scaling = fold_scalings(ready.known, ready.families, ready.folds[-1:], ready.fits, SCALE_ERROR)[0]
+        ahead = ready.scaled(ready.ahead, scaling)
+    out = combine(oof, predict_all(ahead, fitted), names, "label", settings.combine, "logged")
     out = out.withColumn("prediction", unlog("logged"))
-    return clip_floor(out, "prediction").select(READING_ID, "prediction")
+    return clip_floor(out, "prediction").select(READING_ID, "prediction"), scores
+
+
+def forecast(
+    train: DataFrame, future: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """Predicted target of every future row, by several models over growing time folds."""
+    return forecast_with_scores(train, future, settings)[0]
 
 
 def forecast_measures(

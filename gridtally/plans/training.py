@@ -13,10 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.operators.evaluate import metrics
-from gridtally.operators.future import tail
-from gridtally.operators.ordered import READINGS, Ordered, Series, over_blocks
 from gridtally.operators.splits import Fold
-from gridtally.schema import READING_ID
 
 FEATURES = "features"
 
@@ -176,98 +173,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def seasonal_difference(col: str, season: int = 24, back: int = 0) -> Ordered:
-    """Change from row to row of the change over one season, `back` rows ago."""
-
-    def over(w) -> Column:
-        def at(n: int) -> Column:
-            return F.lag(col, n + back).over(w) if n + back else F.col(col)
-
-        return (at(0) - at(1)) - (at(season) - at(season + 1))
-
-    return Ordered(season + 1 + back, over)
-
-
-def _with_ar_inputs(df: DataFrame, col: str, season: int, series: Series) -> DataFrame:
-    """Add the differenced series, its value one row and one season ago, and what to add back."""
-
-    def before(w) -> Column:
-        last, season_ago, older = (F.lag(col, n).over(w) for n in (1, season, season + 1))
-        return last + season_ago - older
-
-    parts = {
-        "_change": seasonal_difference(col, season),
-        "_ar_1": seasonal_difference(col, season, 1),
-        "_ar_season": seasonal_difference(col, season, season),
-        "_before": Ordered(season + 1, before),
-    }
-    return over_blocks(df, parts, series)
-
-
-def seasonal_ar(
-    df: DataFrame,
-    col: str,
-    exog: Sequence[str] = (),
-    season: int = 24,
-    train: Column | None = None,
-    series: Series = READINGS,
-) -> DataFrame:
-    """One-step forecasts by regression of the differenced series on its own lags.
-
-    The series is differenced by row and by season, regressed on its value one row and one season
-    ago and on `exog`, and the forecast change is added back. `df` needs positions; `train` tells
-    the rows to fit on.
-    """
-    inputs = ["_ar_1", "_ar_season", *exog]
-    assembler = VectorAssembler(inputCols=inputs, outputCol="_inputs", handleInvalid="skip")
-    ready = assembler.transform(_with_ar_inputs(df, col, season, series))
-    known = ready.filter(F.col("_change").isNotNull())
-    model = ridge("_change", 0.0).setFeaturesCol("_inputs").setPredictionCol("_expected")
-    fitted = model.fit(known if train is None else known.filter(train))
-    return (
-        fitted.transform(ready)
-        .withColumn("prediction", F.col("_expected") + F.col("_before"))
-        .drop("_change", "_ar_1", "_ar_season", "_before", "_inputs", "_expected")
-    )
-
-
-def seasonal_ar_ahead(
-    df: DataFrame, col: str, steps: int, season: int = 24, series: Series = READINGS
-) -> DataFrame:
-    """Forecasts `steps` rows beyond the end of every series, each built on the ones before it.
-
-    `df` needs positions. A series that is too short to be differenced twice is left out.
-    """
-    inputs = ["_ar_1", "_ar_season"]
-    assembler = VectorAssembler(inputCols=inputs, outputCol="_inputs", handleInvalid="skip")
-    known = _with_ar_inputs(df, col, season, series).filter(F.col("_change").isNotNull())
-    model = ridge("_change", 0.0).setFeaturesCol("_inputs").fit(assembler.transform(known))
-    recent, seasonal = (float(c) for c in model.coefficients)
-    need = 2 * season + 1
-
-    def step(past: Column, _: Column) -> Column:
-        def at(n: int) -> Column:
-            return F.element_at(past, -n)
-
-        def change(n: int) -> Column:
-            return at(n) - at(n + 1) - at(n + season) + at(n + season + 1)
-
-        following = at(1) + at(season) - at(season + 1) + float(model.intercept)
-        return F.array_append(past, following + change(1) * recent + change(season) * seasonal)
-
-    ends = (
-        tail(df.select(*series.keys, *series.order, F.col(col).cast("double").alias("_y")), need, series)
-        .groupBy(*series.keys)
-        .agg(F.sort_array(F.collect_list(F.struct(*series.order, "_y")))["_y"].alias("_past"))
-        .filter(F.size("_past") == need)
-    )
-    whole = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("_past"), step)
-    return ends.select(*series.keys, F.posexplode(F.slice(whole, need + 1, steps))).select(
-        *series.keys, (F.col("pos") + 1).alias("step"), F.col("col").alias("prediction")
-    )
-
-
-def submission(df: DataFrame, prediction: str = "prediction") -> DataFrame:
-    return df.select(READING_ID, prediction)

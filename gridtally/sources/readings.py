@@ -118,7 +118,3 @@ def read_to_forecast(spark: SparkSession, path: str, fmt: str = "csv") -> DataFr
     """Rows that wait for a forecast: id, time and work type, without measures."""
     df = read_readings(spark, path, fmt)
     return df.select(*[c for c in S.TO_FORECAST_SCHEMA.fieldNames() if c in df.columns])
-
-
-def is_text(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, T.StringType)

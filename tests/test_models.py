@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridtally.operators import isolation, splits
 from gridtally.operators.ordered import Series, with_position
 from gridtally.operators.report import baseline
-from gridtally.plans import training
+from gridtally.plans import seasonal, training
 from gridtally.plans.forecast import combine
 from gridtally.session import scratch_path
 from gridtally.streaming import live
@@ -108,7 +108,7 @@ def test_seasonal_ar_follows_a_regular_series(spark):
         (F.col("id") % 24 * 5 + F.col("id") * 0.5 + F.pmod(F.xxhash64("id"), F.lit(7))).alias("y"),
     )
     df = df.withColumn("ts", F.col("ts") + F.make_dt_interval(mins=(F.col("reading_id") * 15).cast("int")))
-    out = training.seasonal_ar(with_position(df), "y").toPandas()
+    out = seasonal.seasonal_ar(with_position(df), "y").toPandas()
     assert len(out) == 400 - 49
     assert np.abs(out["prediction"] - out["y"]).mean() < 6
 
@@ -120,7 +120,7 @@ def test_seasonal_ar_continues_a_regular_series(spark):
     )
     df = df.withColumn("y", F.col("t") % 24 * 5 + F.col("t") * 0.5 + F.col("meter_id") * 100)
     line = Series(("meter_id",), ("t",))
-    out = training.seasonal_ar_ahead(with_position(df, line), "y", 60, series=line).toPandas()
+    out = seasonal.seasonal_ar_ahead(with_position(df, line), "y", 60, series=line).toPandas()
     t = out["step"] + 199
     assert len(out) == 120
     np.testing.assert_allclose(out["prediction"], t % 24 * 5 + t * 0.5 + out["meter_id"] * 100, rtol=1e-6)
