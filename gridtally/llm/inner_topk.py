@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.session import materialize
@@ -30,15 +30,20 @@ LEADING = 24
 def whole_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(vec_id, x): floor(scale * component), as whole numbers.
 
-    Left out are rows without an id and vectors that are null, or hold null, NaN or infinite components.
+    Left out are rows without an id and vectors that are null, or hold null, NaN or infinite components. A
+    number from 2^53 on, which doubles do not tell from its neighbours, is an error.
     """
     x = F.col(embedding).cast("array<double>")
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return df.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & finite).select(
-        F.col(vec_id).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * float(scale))).alias("x")
+        F.col(vec_id).cast("long").alias("vec_id"), F.transform(x, lambda v: _whole(v * float(scale))).alias("x")
     )
 
 
+def _whole(v: Column) -> Column:
+    return F.when(F.abs(v) < float(1 << 53), F.floor(v)).otherwise(F.raise_error(F.lit("a component is beyond the whole numbers of doubles")))
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     """Rows of a list column as a matrix; shorter vectors are filled up with zeros."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -104,6 +109,11 @@ def _unpacked(ids: bytes, x: bytes, width: int) -> tuple[np.ndarray, np.ndarray]
     return ids, np.frombuffer(x, np.int64).reshape(len(ids), width)
 
 
+def _longest(rotated: np.ndarray) -> float:
+    """The largest length of any row."""
+    return float(np.sqrt((rotated**2).sum(axis=1)).max(initial=0.0))
+
+
 def _best(
     q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, least: np.ndarray, basis: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,16 +128,23 @@ def _best(
     slack = 1.0 + 1e-9 * np.sqrt((rq**2).sum(axis=1))[:, None] * np.sqrt((rx**2).sum(axis=1))[None, :]
     may = (bound + slack >= least[:, None]) & (ids[None, :] != q_ids[:, None])
     i, j = np.nonzero(may)
-    score = np.empty(len(i), np.int64)
+    largest = _longest(rq) * _longest(rx)
+    if largest >= float(1 << 62):
+        # sums may not fit 64 bits: whole numbers of Python, of which only the best have to fit
+        q, x = q.astype(object), x.astype(object)
+    score = np.empty(len(i), q.dtype)
     for a in range(0, len(i), 1 << 16):
         score[a : a + (1 << 16)] = (q[i[a : a + (1 << 16)]] * x[j[a : a + (1 << 16)]]).sum(axis=1)
     reach = score >= least[i]
     i, j, score = i[reach], j[reach], score[reach]
-    order = np.lexsort((ids[j], -score, i))
+    order = np.lexsort((ids[j], -score, i)) if score.dtype != object else np.array(sorted(range(len(i)), key=lambda n: (i[n], -score[n], ids[j[n]])), int)
     i, j, score = i[order], j[order], score[order]
     first = np.searchsorted(i, i, "left")
     top = np.arange(len(i)) - first < k
-    return i[top], j[top], score[top]
+    best = score[top]
+    if len(best) and score.dtype == object and max(abs(s) for s in best.tolist()) >= 1 << 63:
+        raise OverflowError("a score is beyond 64 bits")
+    return i[top], j[top], best.astype(np.int64)
 
 
 def inner_top_k(
@@ -141,7 +158,8 @@ def inner_top_k(
 
     A query is not its own candidate: rows of its id do not count. Ties go to the smaller id. With fewer
     than k candidates all come back; without any, or without queries, none. Repeated rows of an id are
-    candidates each; as queries they count once. Missing components count as zero.
+    candidates each; as queries they count once. Missing components count as zero. A score among the best of
+    any two blocks that does not fit 64 bits is an error.
     """
     spark = vectors.sparkSession
     queries = queries.dropDuplicates(["vec_id"])

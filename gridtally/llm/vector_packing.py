@@ -27,6 +27,8 @@ END_ID = 2
 LENGTH = 1024
 # Pieces that are packed together.
 BLOCK = 8192
+# Bytes of text that are encoded at a time.
+PART_BYTES = 1 << 22
 
 _PIECE = (
     "piece int, start long, length long, ids_crc32 long, sequence_id long, `offset` long"
@@ -104,7 +106,12 @@ def best_fit(lengths: Sequence[int], capacity: Capacity) -> tuple[np.ndarray, np
     bins = _Open(limits, np.array(capacity.weights), capacity.rule)
     sequence, before = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     least = float(lengths.min()) if len(lengths) else 0.0
-    for i in np.argsort(-lengths, kind="stable").tolist():
+    # a piece that fills a sequence is alone in it
+    full = np.flatnonzero(lengths == capacity.tokens)
+    sequence[full], before[full] = np.arange(len(full)), 0
+    bins.made = len(full)
+    rest = np.flatnonzero(lengths != capacity.tokens)
+    for i in rest[np.argsort(-lengths[rest], kind="stable")].tolist():
         sequence[i], before[i] = bins.place(demands[i], least)
     return sequence, before, bins.made
 
@@ -139,7 +146,7 @@ def pack_documents(
     path = path or tokenizer_path(TOKENIZER)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, keeps_space).encode
+        words = encoder(path, keeps_space)
         base = TaskContext.get().partitionId() << 36
         waiting: list[tuple] = []
 
@@ -164,13 +171,14 @@ def pack_documents(
             waiting.clear()
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        tail = np.array([end_id], np.uint32).tobytes()
         for batch in batches:
-            for part in pieces(batch, "text"):
-                for owner, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist())):
-                    ids += tail
-                    for i, (start, n) in enumerate(_cut(len(ids) // 4, capacity.tokens)):
-                        mine = ids[4 * start : 4 * (start + n)]
+            for part in pieces(batch, "text", PART_BYTES):
+                ids, offsets = words.arrays(part.column("text"))
+                raw = np.insert(ids, offsets[1:], end_id).astype("<u4").tobytes()
+                ends = (offsets + np.arange(len(offsets))).tolist()
+                for owner, a, b in zip(part.column("doc_id").to_pylist(), ends[:-1], ends[1:]):
+                    for i, (start, n) in enumerate(_cut(b - a, capacity.tokens)):
+                        mine = raw[4 * (a + start) : 4 * (a + start + n)]
                         waiting.append((owner, i, start, n, zlib.crc32(mine), mine if with_ids else None))
                     if len(waiting) >= BLOCK:
                         yield flush()

@@ -110,3 +110,17 @@ def test_hot_term_and_long_text(spark):
     raw = ("ab cd-éé " * 1_500_000).encode()
     parts = list(terms_of(raw))
     assert len(parts) == 2 and sum(map(len, parts)) == 4_500_000 and {w for p in parts for w in p} == {b"ab", b"cd", "éé".encode()}
+
+
+def test_products_beyond_64_bits(spark):
+    from gridtally.llm.inner_topk import inner_top_k, whole_vectors
+
+    def found(rows):
+        vectors = whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        return inner_top_k(vectors, vectors.filter("vec_id = 0"), 2)
+
+    big = [(0, [3e6, 1.0]), (1, [2e6, 0.0]), (2, [-3e12, 5.0]), (3, [1e6, 7.0])]
+    assert [(r.vec_id, r.score) for r in found(big).orderBy("rank").collect()] == [(1, 3 * 2 * 10**12 * 1024**2), (3, 3 * 10**12 * 1024**2 + 7 * 1024**2)]
+    for rows in ([(0, [3e12, 1.0]), (1, [3e12, 1.0])], [(0, [1e300]), (1, [1.0])]):
+        with pytest.raises(Exception, match="beyond"):
+            found(rows).collect()
