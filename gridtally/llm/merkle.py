@@ -1,11 +1,13 @@
 """Merkle-tree fingerprints of texts, in SQL functions only.
 
-Leaves are pieces of text up to a line's end or a mark of punctuation; a longer piece is cut further, at words
-and within long words at characters that are chosen by a hash, so that an edit moves no cut far away, and
-wherever that leaves too much, as in periodic text, at a fixed length. A paragraph is a line; a paragraph whose hash is a multiple of four ends a section, so an edit moves no other section's limits. A fingerprint
-reads `root|section;section;…`, a section `hash#leaf.leaf,leaf`, with `,` between paragraphs. Equal roots
-mean equal texts; where roots differ, sections whose hash the other tree lacks hold the edits, and in them
-the leaves that it lacks.
+Leaves are pieces of text up to a line's end, a mark of punctuation, or a word that ends in one of a few letters;
+a piece that is still long is cut further, at words and within long words at characters that are chosen by
+a hash, so that an edit moves no cut far away, and wherever that leaves too much, as in periodic text, at a
+fixed length. A paragraph is a line; a paragraph whose hash is a multiple of four ends a section, so an edit
+moves no other section's limits. A fingerprint reads `root|section;section;…`, a section
+`hash#leaf.leaf,leaf`, with `,` between paragraphs; the root is a hash of the paragraphs' hashes, which are
+of full length. Equal roots mean equal texts; where roots differ, sections whose hash the other tree lacks
+hold the edits, and in them the leaves that it lacks.
 """
 
 from __future__ import annotations
@@ -16,10 +18,12 @@ from pyspark.sql import functions as F
 from gridtally.session import materialize
 
 SECTION = 4
-# Pieces, and words in them, of more characters are cut further: after one word in WORDS, one character in CHARACTERS.
+# Pieces of more than MOST characters are cut after one word in WORDS, words of more than LONG after one character in CHARACTERS.
 LONG, WORDS, CHARACTERS = 64, 4, 32
 # Characters of a leaf at most, white space and marks of punctuation included.
 MOST = 256
+# Where leaves end: after a mark and a space, after a full-width mark, and after about one word in six.
+ENDS = r"(?<=[.!?,;:|] )|(?<=[。！？，、；：])|(?<=[agiouyzéíóñüß0-4%$]\s)"
 
 
 def _digest(value: Column) -> Column:
@@ -59,18 +63,20 @@ def fingerprint(text: Column) -> Column:
     def paragraph(line: Column) -> Column:
         leaves = F.array_join(
             F.transform(
-                F.split(line, r"(?<=[.!?,;:|] )|(?<=[。！？，、；：])"),
-                lambda p: F.when(F.length(p) > LONG, F.array_join(F.transform(_bounded(p), _digest), ".")).otherwise(_digest(p)),
+                F.split(line, ENDS),
+                lambda p: F.when(F.length(p) > MOST, F.array_join(F.transform(_bounded(p), _digest), ".")).otherwise(_digest(p)),
             ),
             ".",
         )
         return F.concat(leaves, F.when(F.pmod(F.xxhash64(leaves), F.lit(SECTION)) == 0, ";").otherwise(","))
 
     whole = F.coalesce(text, F.lit(""))
-    body = F.array_join(F.transform(F.split(whole, r"(?<=\n)"), paragraph), "")
+    lines = F.split(whole, r"(?<=\n)")
+    body = F.array_join(F.transform(lines, paragraph), "")
     sections = F.split(F.regexp_replace(body, "[,;]$", ""), ";")
     branches = F.array_join(F.transform(sections, lambda s: F.concat(_digest(s), F.lit("#"), s)), ";")
-    return F.concat(F.md5(F.concat(whole, F.lit("\0"), body)), F.lit("|"), branches)
+    trunk = F.md5(F.array_join(F.transform(lines, lambda line: F.md5(line)), ""))
+    return F.concat(trunk, F.lit("|"), branches)
 
 
 def root(print_: Column) -> Column:
@@ -157,7 +163,9 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
 
     Null texts are empty. Rows without an id come first. Rows that share an id are ordered by a hash of
     their texts; equal rows count once in the order and all come back. A single document follows itself.
-    Other columns are ignored; an empty table gives no rows.
+    Other columns are ignored; an empty table gives no rows. `next_id` is the id of the next document.
+
+    Both joins deal the same columns of the documents out by the same key, so texts are shuffled once.
     """
     base = docs.select(
         F.col(doc_id).alias("given"),
@@ -179,6 +187,7 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         .select(
             F.col("for_id").alias("id"),
             F.col("for_key").alias("key"),
+            F.col("given").alias("next_id"),
             F.expr("substring(text, 1, quarter)").alias("head"),
             fingerprint(F.col("text")).alias("next_fingerprint"),
         )
@@ -191,10 +200,12 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         "text",
         edited.alias("edited"),
         "next_fingerprint",
+        "next_id",
     )
     prints = own.select(
         "given",
         "n_chars",
+        "next_id",
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
         fingerprint(F.col("text")).alias("fingerprint"),
         fingerprint(F.col("edited")).alias("edited_fingerprint"),
@@ -208,4 +219,5 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        "next_id",
     )
