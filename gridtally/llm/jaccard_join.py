@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -133,9 +134,16 @@ def signatures(
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets overlap enough, by their whole texts."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    """Those of the pairs (a, b) whose sets overlap enough, by their whole texts; a written copy.
+
+    Only texts that some pair names leave their place: the list of them is written first, so that its size
+    on file tells the planner whether it is small enough to go to the texts.
+    """
+    ends = [materialize(pairs.select(F.col(c).alias("node")).distinct(), "ends") for c in ("a", "b")]
+    left, right = (
+        texts.join(end, "node", "left_semi").select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+        for c, end in zip(("a", "b"), ends)
+    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,9 +165,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> D
                         keep.append(bool(len(x) and len(y) and 100 * (len(merged) - union) >= percent * union))
                     yield half.select(["a", "b"]).filter(pa.array(keep))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        compare, "a long, b long"
-    )
+    compared = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    found = materialize(compared.mapInArrow(compare, "a long, b long"), "edges")
+    release(*ends)
+    return found
 
 
 def _fits(x: str, y: str, percent: int):
@@ -190,8 +199,10 @@ def _link_texts(postings: DataFrame, texts: DataFrame, percent: int, words: int)
     their texts with one pivot, and come back in the next round with what is then left. After
     `STAR_ROUNDS` rounds every key is finished.
     """
-    labels = edges = done = None
+    labels = None
+    edges, done = [], []
     open_ = postings.withColumn("component", F.col("node"))
+    copy = None
     for turn in range(STAR_ROUNDS + 1):
         keys = materialize(_cross_pairs(open_), "keys")
         finish = (F.col("pairs") <= 2 * F.col("texts")) if turn < STAR_ROUNDS else F.lit(True)
@@ -206,30 +217,32 @@ def _link_texts(postings: DataFrame, texts: DataFrame, percent: int, words: int)
         wide = open_.join(keys.filter(~finish).select("key"), "key")
         last = turn == STAR_ROUNDS or keys.filter(~finish).isEmpty()
         if not last:
-            wide = materialize(wide, "open")
+            wide = materialize(wide, "wide")
             pivot = F.min_by(F.struct("node", "n", "component"), F.xxhash64(F.lit(turn), "node"))
             pivots = wide.groupBy("key").agg(pivot.alias("pivot"))
             star = wide.join(pivots, "key").filter(
                 (F.col("component") != F.col("pivot.component")) & _fits("n", "pivot.n", percent)
             )
             found = found.unionByName(star.select(*_pair("node", "pivot.node"))).distinct()
-        if done is not None:
-            found = found.join(done, ["a", "b"], "left_anti")
+        if done:
+            found = found.join(reduce(DataFrame.unionByName, done), ["a", "b"], "left_anti")
         tried = materialize(found, "tried")
-        new = materialize(_verified(tried, texts, percent, words), "edges")
+        done.append(tried)
+        new = _verified(tried, texts, percent, words)
+        edges.append(new)
         if not new.isEmpty():
-            edges = new if edges is None else edges.unionByName(new)
-            labels = components(edges)
+            labels = components(reduce(DataFrame.unionByName, edges))
+        release(keys, *([copy] if copy is not None else []))
         if last:
-            return labels
-        done = tried if done is None else done.unionByName(tried)
+            break
         open_ = wide
         if labels is not None:
             open_ = wide.drop("component").join(labels, "node", "left")
             open_ = open_.withColumn("component", F.coalesce("component", "node"))
-        open_ = materialize(open_, "open")
-        # only texts of keys that are still open are compared again
-        texts = materialize(texts.join(open_.select("node").distinct(), "node", "left_semi"), "texts")
+        copy = open_ = materialize(open_, "open")
+        release(wide)
+    # the components are a copy of their own
+    release(*done, *edges)
     return labels
 
 
@@ -381,12 +394,14 @@ def jaccard_components(
         if links:
             counts = _link_counts(labels, classes, texts, percent, words)
             members = members.join(counts, ["set_a", "set_b", "n_shingles"], "left")
+    # what is still read are the signatures, the components and the texts of linked classes, all copies
+    release(postings, texts)
     known = F.col("node").isNotNull()
     n_links = F.coalesce("n_links", F.lit(0)) if labels is not None and links else F.lit(0)
     return members.select(
         F.col("node").alias(doc_id),
         "n_shingles",
-        F.when(known, own).alias("class_id"),
         F.when(known, component).alias("component_id"),
+        F.when(known, own).alias("class_id"),
         *([F.when(known, n_links.cast("long")).alias("n_links")] if links else []),
     )
