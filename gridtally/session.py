@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Only for local sessions that name no folder: there, driver and executors are one process.
 LOCAL_FOLDER = "file:/tmp/checkpoints/gridtally"
 
+_passing: list[list[str]] = []
+
 
 def build_session(app: str = "gridtally", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators expect; `conf` wins over the defaults."""
@@ -51,13 +55,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     planner decide whether a join side is small enough to broadcast. `release` removes it.
     """
     path = scratch_path(df.sparkSession, label)
+    for made in _passing:
+        made.append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that `scratch_path` has named; one that is gone is no matter."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -65,9 +72,22 @@ def _delete(spark: SparkSession, path: str) -> None:
 def release(*frames: DataFrame) -> None:
     """Remove copies made by `materialize`; nothing that still reads them may be run afterwards."""
     for df in frames:
-        _delete(df.sparkSession, df._scratch_path)
+        remove(df.sparkSession, df._scratch_path)
+
+
+@contextmanager
+def passing_copies(spark: SparkSession) -> Iterator[None]:
+    """Copies that `materialize` makes inside are removed at the end; results must be written by then."""
+    made: list[str] = []
+    _passing.append(made)
+    try:
+        yield
+    finally:
+        _passing[:] = [paths for paths in _passing if paths is not made]
+        for path in made:
+            remove(spark, path)
 
 
 def release_all(spark: SparkSession) -> None:
     """Remove every copy this application has made, once its results have been read."""
-    _delete(spark, scratch_root(spark))
+    remove(spark, scratch_root(spark))
