@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.inputs import (
@@ -21,8 +22,10 @@ from catalog.inputs import (
 from catalog.registry import query
 from gridtally.operators import encoding, future, ordered, outliers
 from gridtally.operators.ordered import over_blocks, with_position
+from gridtally.operators.runs import SortedRuns
 from gridtally.operators.splits import kfold
 from gridtally.plans.seasonal import seasonal_difference
+from gridtally.session import scratch_path
 
 _ORDER = "PARTITION BY meter_id ORDER BY ts, reading_id"
 
@@ -48,6 +51,26 @@ def position(spark, sf_dir):
     return _placed(spark, sf_dir).select("reading_id", "position")
 
 
+@query(
+    "position_appended",
+    with_readings(
+        f"SELECT reading_id, row_number() OVER ({_ORDER}) - 1 AS position FROM readings"
+    ),
+)
+def position_appended(spark, sf_dir):
+    """All readings in four appends: two spans of time, the one between them, and late rows of all of them."""
+    df = readings(spark, sf_dir).select("reading_id", "meter_id", "ts", "cost_krw")
+    late = F.col("reading_id") % 50 == 0
+    months = df.select(F.trunc("ts", "month").alias("month")).distinct()
+    span = months.select("month", F.ntile(3).over(Window.orderBy("month")).alias("span"))
+    parted = df.withColumn("month", F.trunc("ts", "month")).join(span, "month").drop("month")
+    runs = SortedRuns(spark, scratch_path(spark, "runs"))
+    for number in (1, 3, 2):
+        runs.append(parted.filter((F.col("span") == number) & ~late).drop("span"))
+    runs.append(df.filter(late))
+    return runs.positions().select("reading_id", "position")
+
+
 LAGS = (1, 2, 6, 12, 24, 48, 96, 168, 336)
 
 

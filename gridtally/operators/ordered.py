@@ -35,16 +35,20 @@ class Series:
 READINGS = Series()
 
 
-def with_position(df: DataFrame, series: Series = READINGS, name: str = POSITION) -> DataFrame:
+def with_position(
+    df: DataFrame, series: Series = READINGS, name: str = POSITION, partition_rows: int | None = None
+) -> DataFrame:
     """Add every row's place in its series, from 0.
 
     One range-partitioned sort, whose result is written to the shared folder: row numbers within
     its partitions then stay fixed. The partitions' row counts, at most one row per partition and
-    series, are summed up to the number of rows before each partition.
+    series, are summed up to the number of rows before each partition. With `partition_rows`, rows are
+    counted first and a task sorts about that many; otherwise the session's shuffle partitions hold.
     """
     cols = [*series.keys, *series.order]
+    parts = [max(1, -(-df.count() // partition_rows))] if partition_rows else []
     laid = materialize(
-        df.repartitionByRange(*cols)
+        df.repartitionByRange(*parts, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("_slot", F.monotonically_increasing_id()),
         "sorted",

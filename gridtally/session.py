@@ -69,6 +69,13 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with stars, on any file system that Spark reads."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [str(f.getPath()) for f in found or []]
+
+
 def release(*frames: DataFrame) -> None:
     """Remove copies made by `materialize`; nothing that still reads them may be run afterwards."""
     for df in frames:
