@@ -25,7 +25,7 @@ from gridtally.operators.ordered import over_blocks, with_position
 from gridtally.operators.runs import SortedRuns
 from gridtally.operators.splits import kfold
 from gridtally.plans.seasonal import seasonal_difference
-from gridtally.session import scratch_path
+from gridtally.session import materialize, scratch_path
 
 _ORDER = "PARTITION BY meter_id ORDER BY ts, reading_id"
 
@@ -388,6 +388,37 @@ def sequences_with_current(spark, sf_dir):
     return _shown(out, "cost_krw")
 
 
+_LONG = 672
+
+
+@query(
+    "sequences_672",
+    with_readings(
+        f"SELECT reading_id, cost_krw, {_LONG} AS steps, first_value(usage_kwh) OVER s AS usage_first, last_value(usage_kwh) OVER s AS usage_last, "
+        "max(usage_kwh) OVER s AS usage_max, min(usage_kwh) OVER s AS usage_min, first_value(pf_lag_pct) OVER s AS pf_first, "
+        "last_value(pf_lag_pct) OVER s AS pf_last FROM readings "
+        f"WINDOW s AS ({_ORDER} ROWS BETWEEN {_LONG} PRECEDING AND 1 PRECEDING) QUALIFY count(*) OVER s = {_LONG}"
+    ),
+)
+def sequences_672(spark, sf_dir):
+    """A week of quarter hours before each reading, cut out of stored blocks."""
+    placed = _placed(spark, sf_dir, *_INPUTS, "cost_krw")
+    blocks = materialize(ordered.sequence_blocks(placed, _INPUTS, "cost_krw"), "blocks")
+    seq = F.col("sequence")
+    usage = seq["usage_kwh"]
+    return ordered.cut_sequences(blocks, _INPUTS, _LONG, "cost_krw").select(
+        "reading_id",
+        "cost_krw",
+        F.size(seq).alias("steps"),
+        usage[0].alias("usage_first"),
+        F.element_at(usage, -1).alias("usage_last"),
+        F.array_max(usage).alias("usage_max"),
+        F.array_min(usage).alias("usage_min"),
+        seq[0]["pf_lag_pct"].alias("pf_first"),
+        F.element_at(seq, -1)["pf_lag_pct"].alias("pf_last"),
+    )
+
+
 _FUTURE_INPUTS = (
     "both_rows AS (SELECT meter_id, reading_id, ts, usage_kwh, pf_lag_pct FROM readings)"
 )

@@ -393,6 +393,58 @@ def sequences(
     return out.filter(F.size("sequence") == steps).select(*keep, "sequence")
 
 
+def sequence_blocks(
+    df: DataFrame, features: Sequence[str], target: str | None = None, series: Series = READINGS, block_rows: int = 1024
+) -> DataFrame:
+    """Every row once, `block_rows` consecutive ones of a series to an array `rows`; the form to store long sequences in.
+
+    `cut_sequences` makes the sequences from it. A stored sequence would repeat all its steps in every row.
+    """
+    fields = dict.fromkeys([POSITION, *series.order, *features, *([target] if target else [])])
+    row = F.struct(*[F.col(c) for c in fields])
+    block = F.floor(F.col(POSITION) / block_rows).alias("block")
+    return df.groupBy(*series.keys, block).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+
+
+def cut_sequences(
+    blocks: DataFrame,
+    features: Sequence[str],
+    steps: int,
+    target: str | None = None,
+    include_current: bool = False,
+    series: Series = READINGS,
+) -> DataFrame:
+    """The sequences of `sequences`, cut out of `sequence_blocks` as they are read.
+
+    A block gets the last `steps` rows of the block before it; blocks must have at least that many rows,
+    otherwise an error is raised where one is met. Rows with fewer than `steps` rows before them are dropped.
+    """
+    before = blocks.select(
+        *[F.col(k).alias(f"_{k}") for k in series.keys],
+        (F.col("block") + 1).alias("_block"),
+        F.slice("rows", F.greatest(F.size("rows") - steps, F.lit(0)) + 1, steps).alias("_carried"),
+    )
+    same = F.col("block") == F.col("_block")
+    if series.keys:
+        same = same & _same(series.keys)
+    short = F.raise_error(F.lit(f"blocks must hold {steps} rows or more"))
+    # every block but the first has a full one before it
+    carried = F.when(F.col("block") == 0, F.slice("rows", 1, 0)).when(F.size("_carried") < steps, short).otherwise(F.col("_carried"))
+    both = blocks.join(before, same, "left").select(*series.keys, F.concat(carried, "rows").alias("all"), F.size(carried).alias("at"))
+    ends = both.filter(F.size("all") > steps - include_current)
+    first = F.greatest(F.col("at") + 1, F.lit(steps + 1 - include_current))
+    # only numbers are exploded; the steps of a row are cut out of its block
+    spread = ends.select("*", F.explode(F.sequence(first, F.size("all"))).alias("end"))
+    own = F.element_at("all", F.col("end"))
+    steps_of = F.slice("all", F.col("end") - (steps - include_current), steps)
+    keep = [c for c in dict.fromkeys([*series.order, POSITION, *([target] if target else [])]) if c not in series.keys]
+    return spread.select(
+        *series.keys,
+        *[own[c].alias(c) for c in keep],
+        F.transform(steps_of, lambda r: F.struct(*[r[f].alias(f) for f in features])).alias("sequence"),
+    )
+
+
 def augment_sequences(df: DataFrame, copies: int, noise: float, seed: int = 42) -> DataFrame:
     """The sequences and noisy copies of them, as arrays of values; copy 0 is the original.
 

@@ -210,3 +210,17 @@ def test_id_is_added_only_when_missing(spark):
     assert out["x"].tolist() == [1.0, 3.0] and out["id"].tolist() == [0, 1]
     assert ordered.ensure_id(out_df := df.withColumn("id", F.lit(7)), ["x"]) is out_df
     assert isinstance(out, pd.DataFrame)
+
+
+def test_sequences_cut_out_of_blocks_are_the_same(spark):
+    rows = [(i, None if i % 5 == 4 else i % 3, float(i), -float(i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "t long, k int, x double, y double")
+    series = ordered.Series(("k",), ("t",))
+    placed = ordered.with_position(df, series)
+    blocks = ordered.sequence_blocks(placed, ["x", "y"], "x", series, block_rows=8)
+    assert blocks.agg(F.sum(F.size("rows"))).first()[0] == 120
+    for steps, current in ((8, False), (8, True), (5, False), (1, True)):
+        plain = ordered.sequences(placed, ["x", "y"], steps, "x", current, series).collect()
+        cut = ordered.cut_sequences(blocks, ["x", "y"], steps, "x", current, series).collect()
+        shown = [{(r.k, r.t, r.position, r.x, tuple(map(tuple, r.sequence))) for r in found} for found in (plain, cut)]
+        assert len(plain) == len(cut) and shown[0] == shown[1] and plain
