@@ -645,6 +645,56 @@ def forecast_features(spark, sf_dir):
 
 
 _ISOLATION_INPUTS = ["usage_kwh", "reactive_lag_kvarh", "hour"]
+_TREES, _SAMPLED, _SEED = 100, 256, 42
+
+
+def _isolation_sql(select, features, key="reading_id"):
+    """The trees grown and walked level by level; `judged` holds every reading with its score.
+
+    Each tree takes the 256 readings with the least draws of all, whose digest is that of the key and
+    of the number 0, as no reading is repeated.
+    """
+    sample = f"(SELECT least({_SAMPLED}, count(*)) FROM readings)"
+    mean = "CASE WHEN {0} < 2 THEN 0 WHEN {0} = 2 THEN 1 ELSE 2 * (ln({0} - 1) + 0.5772156649015329) - 2 * ({0} - 1) / {0} END"
+    values = "[" + ", ".join(f"CAST({f} AS DOUBLE)" for f in features) + "]"
+    lows, highs = (
+        "[" + ", ".join(f"{extreme}(x[{i + 1}])" for i in range(len(features))) + "]" for extreme in ("min", "max")
+    )
+    depth = 8
+    ctes = [
+        f"inputs AS (SELECT *, {values} AS x, md5(md5(CAST({key} AS VARCHAR)) || '#0') AS digest FROM readings)",
+        f"trees AS (SELECT unnest(range({_TREES})) AS tree)",
+        "points_0 AS MATERIALIZED (SELECT tree, 1 AS node, x FROM inputs, trees QUALIFY row_number() OVER (PARTITION BY tree ORDER BY "
+        "(CAST('0x' || substr(digest, 1, 8) AS BIGINT) + tree * CAST('0x' || substr(digest, 9, 8) AS BIGINT)) % 4294967291, "
+        f"md5(CAST({key} AS VARCHAR))) <= {_SAMPLED})",
+    ]
+    for d in range(depth + 1):
+        ctes += [
+            f"sizes_{d} AS (SELECT tree, node, count(*) AS n, {lows} AS low, {highs} AS high, md5('{_SEED}|' || tree || '|' || node) AS digest "
+            f"FROM points_{d} GROUP BY 1, 2)",
+            f"open_{d} AS (SELECT *, CASE WHEN {d} < ceil(log2(greatest({sample}, 2))) "
+            f"THEN list_filter(range({len(features)}), lambda i: high[i + 1] > low[i + 1]) ELSE [] END AS able FROM sizes_{d})",
+            f"chosen_{d} AS (SELECT *, CASE WHEN len(able) > 0 THEN able[CAST('0x' || substr(digest, 1, 8) AS BIGINT) % len(able) + 1] ELSE -1 END AS feature, "
+            f"low[feature + 1] + CAST('0x' || substr(digest, 9, 13) AS BIGINT) / 4503599627370496.0::DOUBLE * (high[feature + 1] - low[feature + 1]) AS cut FROM open_{d})",
+            f"nodes_{d} AS MATERIALIZED (SELECT tree, node, feature, CASE WHEN cut >= high[feature + 1] THEN low[feature + 1] ELSE cut END AS threshold, "
+            f"CAST(round(({d} + {mean.format('n')}) * 1000000) AS BIGINT) AS path FROM chosen_{d})",
+            f"points_{d + 1} AS MATERIALIZED (SELECT tree, 2 * node + CAST(x[feature + 1] > threshold AS INTEGER) AS node, x "
+            f"FROM points_{d} JOIN nodes_{d} USING (tree, node) WHERE feature >= 0)",
+        ]
+    ctes.append("walk_0 AS (SELECT row_key, tree, 1 AS node, x FROM (SELECT {0} AS row_key, x FROM inputs), trees)".format(key))
+    for d in range(depth):
+        ctes.append(
+            f"walk_{d + 1} AS (SELECT row_key, tree, CASE WHEN feature >= 0 THEN 2 * node + CAST(x[feature + 1] > threshold AS INTEGER) ELSE node END AS node, x "
+            f"FROM walk_{d} JOIN nodes USING (tree, node))"
+        )
+    every = " UNION ALL ".join(f"SELECT * FROM nodes_{d}" for d in range(depth + 1))
+    ctes.insert(-depth - 1, f"nodes AS MATERIALIZED ({every})")
+    ctes += [
+        f"lengths AS (SELECT row_key, sum(path) AS path FROM walk_{depth} JOIN nodes USING (tree, node) GROUP BY 1)",
+        f"judged AS MATERIALIZED (SELECT inputs.*, pow(2.0, -(path / 1000000.0::DOUBLE / {_TREES} / ({mean.format(sample)}))) AS isolation_score "
+        f"FROM inputs JOIN lengths ON {key} = row_key)",
+    ]
+    return with_readings(select, *ctes)
 
 
 def _with_hour(spark, sf_dir):
@@ -653,27 +703,40 @@ def _with_hour(spark, sf_dir):
     )
 
 
+_KEPT = "isolation_score <= (SELECT quantile_cont(isolation_score, 0.9) FROM judged)"
+_SQL_INPUTS = ["usage_kwh", "reactive_lag_kvarh", "hour(ts)"]
+
+
 @query(
     "isolation_filter_repeated_ids",
-    with_readings("SELECT meter_id, count(*) - 1 AS kept_or_dropped FROM readings GROUP BY 1"),
+    _isolation_sql(f"SELECT reading_id AS row_key, meter_id, round(isolation_score, 9) AS score FROM judged WHERE {_KEPT}", _SQL_INPUTS[:2]),
 )
 def isolation_filter_repeated_ids(spark, sf_dir):
-    """Every id stands for many rows; each row is judged by itself and none is multiplied."""
+    """Every id stands for all rows; each row is judged by itself and none is multiplied."""
     df = readings(spark, sf_dir).select(
-        "meter_id", F.lit(7).cast("long").alias("reading_id"), "usage_kwh", "reactive_lag_kvarh"
+        F.col("reading_id").alias("row_key"), "meter_id", F.lit(7).cast("long").alias("reading_id"), "usage_kwh", "reactive_lag_kvarh"
     )
-    inputs = ["usage_kwh", "reactive_lag_kvarh"]
-    kept = isolation.isolation_filter(df, inputs)
-    dropped = df.count() - kept.count()
-    share = F.lit(abs(dropped / df.count() - 0.1) < 0.01)
-    return df.groupBy("meter_id").agg((F.count("*") - F.when(share, 1).otherwise(0)).alias("kept_or_dropped"))
+    kept = isolation.isolation_filter(df, _ISOLATION_INPUTS[:2], by=["row_key"])
+    return kept.select("row_key", "meter_id", F.round("isolation_score", 9).alias("score"))
 
 
-@query("isolation_filter")
+@query(
+    "isolation_filter",
+    _isolation_sql(f"SELECT reading_id, round(isolation_score, 9) AS score FROM judged WHERE {_KEPT}", _SQL_INPUTS),
+)
 def isolation_filter(spark, sf_dir):
-    return isolation.isolation_filter(_with_hour(spark, sf_dir), _ISOLATION_INPUTS)
+    kept = isolation.isolation_filter(_with_hour(spark, sf_dir), _ISOLATION_INPUTS, by=["reading_id"])
+    return kept.select("reading_id", F.round("isolation_score", 9).alias("score"))
 
 
-@query("combined_filter")
+@query(
+    "combined_filter",
+    _isolation_sql(
+        f"SELECT reading_id, round(isolation_score, 9) AS score FROM judged, (SELECT quantile_cont(cost_krw, 0.25) AS q1, "
+        f"quantile_cont(cost_krw, 0.75) AS q3 FROM readings) WHERE {_KEPT} AND cost_krw BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)",
+        _SQL_INPUTS,
+    ),
+)
 def combined_filter(spark, sf_dir):
-    return isolation.combined_filter(_with_hour(spark, sf_dir), "cost_krw", _ISOLATION_INPUTS)
+    kept = isolation.combined_filter(_with_hour(spark, sf_dir), "cost_krw", _ISOLATION_INPUTS, by=["reading_id"])
+    return kept.select("reading_id", F.round("isolation_score", 9).alias("score"))

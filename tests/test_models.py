@@ -1,6 +1,7 @@
 """Properties of models, outlier trees and streams."""
 
 import datetime as dt
+import hashlib
 
 import numpy as np
 import pytest
@@ -145,6 +146,33 @@ def test_isolation_finds_the_far_points(spark):
     assert nodes["tree"].nunique() == isolation.TREES
 
 
+def test_isolation_draws_repeated_rows_one_by_one(spark, monkeypatch):
+    """A third of the rows are equal; every tree has the 256 rows of the least draws, copies told apart."""
+    monkeypatch.setattr(isolation, "COPY_ROWS", 64)
+    ids = [*range(600), *[7] * 300]
+    df = spark.createDataFrame([(i, float(i % 50), None if i == 3 else i / 7) for i in ids], "reading_id int, a double, b double")
+    nodes = isolation.fit_isolation(df, ["a", "b"], trees=5, by=["reading_id"])
+    draws, seen = [], {}
+    for i in ids:
+        seen[i] = seen.get(i, -1) + 1
+        name = hashlib.md5(str(i).encode()).hexdigest()
+        digest = hashlib.md5(f"{name}#{seen[i]}".encode()).hexdigest()
+        draws.append((int(digest[:8], 16), int(digest[8:16], 16), name, seen[i], i))
+    for tree in range(5):
+        least = sorted(draws, key=lambda d: ((d[0] + tree * d[1]) % isolation.DRAWS, *d[2:4]))[:256]
+        points = np.array([[d[4] % 50, 0 if d[4] == 3 else d[4] / 7] for d in least], float)
+        want = sorted(isolation._grow(points, 42, tree))
+        assert sorted(nodes[nodes["tree"] == tree].itertuples(index=False, name=None)) == want
+    assert set(nodes[nodes["node"] == 1]["rows"]) == {256}
+
+
+def test_isolation_of_few_odd_and_no_rows(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 1.0), (2, None), (3, float("nan")), (4, float("inf"))], "reading_id int, a double")
+    assert isolation.isolation_filter(df, ["a"], contamination=0.0).count() == 5
+    assert set(isolation.fit_isolation(df, ["a"], trees=3).query("node == 1")["rows"]) == {5}
+    assert isolation.isolation_scores(df.limit(0), isolation.fit_isolation(df.limit(0), ["a"]), ["a"]).count() == 0
+
+
 def readings(spark, path, files):
     """One reading an hour; every file is one micro-batch."""
     start = dt.datetime(2024, 11, 1)
