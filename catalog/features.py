@@ -137,9 +137,9 @@ def rolling(spark, sf_dir):
     return _added(spark, sf_dir, values)
 
 
-@query("rolling_median", _rolling_sql(("median",), (6, 24, 96)))
+@query("rolling_median", _rolling_sql(("median",), WINDOWS))
 def rolling_median(spark, sf_dir):
-    return _added(spark, sf_dir, ordered.rollings("cost_krw", (6, 24, 96), ("median",)))
+    return _added(spark, sf_dir, ordered.rollings("cost_krw", WINDOWS, ("median",)))
 
 
 @query(

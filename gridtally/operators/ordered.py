@@ -13,6 +13,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,6 +118,20 @@ class Rolling:
         return out
 
 
+@dataclass(frozen=True)
+class Median:
+    """Median of the values in `rows` rows that end `shift` rows back; null until `need` of them have values."""
+
+    col: str
+    rows: int
+    shift: int
+    need: int
+
+    @property
+    def reach(self) -> int:
+        return self.rows - 1 + self.shift
+
+
 # What a run must carry for each statistic; every run also carries its count of values.
 _CARRIED = {"mean": ("sum",), "std": ("sum", "dev"), "max": ("max",), "min": ("min",)}
 
@@ -285,9 +301,79 @@ def _add_rolling(df: DataFrame, values: Mapping[str, Rolling], window: WindowSpe
     )
 
 
+class _Ranks:
+    """Order statistics of any stretch of a block's values, in as many steps as their number has bits.
+
+    A wavelet matrix: from the highest bit of the ranks to the lowest, values with a 0 go before those with
+    a 1, and counts of zeros lead a stretch from one level to the next. All stretches move together.
+    """
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.values = np.sort(values)
+        ranks = np.empty(len(values), np.int64)
+        ranks[np.argsort(values, kind="stable")] = np.arange(len(values))
+        self.levels = []
+        for bit in reversed(range(len(values).bit_length())):
+            ones = ranks >> bit & 1 == 1
+            self.levels.append((bit, np.concatenate([[0], np.cumsum(~ones)])))
+            ranks = np.concatenate([ranks[~ones], ranks[ones]])
+
+    def smallest(self, low: np.ndarray, high: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """The k-th smallest value, from 0, of each stretch from `low` to before `high`."""
+        rank = np.zeros(len(k), np.int64)
+        for bit, zeros in self.levels:
+            first, last = zeros[low], zeros[high]
+            up = k >= last - first
+            k = np.where(up, k - (last - first), k)
+            low = np.where(up, zeros[-1] + low - first, first)
+            high = np.where(up, zeros[-1] + high - last, last)
+            rank += up.astype(np.int64) << bit
+        return self.values[rank]
+
+
+def _medians(values: pa.ChunkedArray, wanted: Mapping[str, Median]) -> dict[str, pa.Array]:
+    """Medians at every row of a block whose rows are in order; NaN is the largest value."""
+    values = values.combine_chunks().cast(pa.float64())
+    known = values.is_valid().to_numpy(zero_copy_only=False)
+    ranks = _Ranks(values.drop_null().to_numpy(zero_copy_only=False))
+    before = np.concatenate([[0], np.cumsum(known)])
+    out = {}
+    for name, v in wanted.items():
+        end = np.maximum(np.arange(len(known)) + 1 - v.shift, 0)
+        low, high = before[np.maximum(end - v.rows, 0)], before[end]
+        enough = high - low >= max(v.need, 1)
+        low, high = low[enough], high[enough]
+        a = ranks.smallest(low, high, (high - low - 1) // 2)
+        b = ranks.smallest(low, high, (high - low) // 2)
+        result = np.zeros(len(known))
+        result[enough] = np.where(a == b, a, 0.5 * a + 0.5 * b)
+        out[name] = pa.array(result, mask=~enough)
+    return out
+
+
+def _add_medians(df: DataFrame, values: Mapping[str, Median], keys: Sequence[str]) -> DataFrame:
+    """Rolling medians of one block at a time; what is grouped are the rows of a block and no more.
+
+    A sliding frame sorts its rows again for every row. Here a row costs the logarithm of the block, whatever
+    the window.
+    """
+
+    def add(block: pa.Table) -> pa.Table:
+        block = block.sort_by(POSITION)
+        for col in dict.fromkeys(v.col for v in values.values()):
+            wanted = {n: v for n, v in values.items() if v.col == col}
+            for name, result in _medians(block[col], wanted).items():
+                block = block.append_column(name, result)
+        return block
+
+    by_col = [n for col in dict.fromkeys(v.col for v in values.values()) for n, v in values.items() if v.col == col]
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in by_col]])
+    return df.groupBy(*keys, "_block").applyInArrow(add, schema)
+
+
 def over_blocks(
     df: DataFrame,
-    values: Mapping[str, Ordered | Rolling],
+    values: Mapping[str, Ordered | Rolling | Median],
     series: Series = READINGS,
     block_rows: int | None = None,
 ) -> DataFrame:
@@ -306,11 +392,11 @@ def over_blocks(
     if rolled:
         spread = _add_rolling(spread, rolled, window)
     direct = [v.over(window).alias(n) for n, v in values.items() if isinstance(v, Ordered)]
-    return (
-        spread.select("*", *direct)
-        .filter(F.col("_block") == own)
-        .select(*df.columns, *values)
-    )
+    spread = spread.select("*", *direct)
+    medians = {n: v for n, v in values.items() if isinstance(v, Median)}
+    if medians:
+        spread = _add_medians(spread, medians, series.keys)
+    return spread.filter(F.col("_block") == own).select(*df.columns, *values)
 
 
 def lag(col: str, n: int) -> Ordered:
@@ -324,33 +410,28 @@ def lags(cols: Sequence[str], steps: Sequence[int]) -> dict[str, Ordered]:
 STATISTICS = ("mean", "std", "max", "min", "median")
 
 
-def _rolling(col: str, rows: int, statistic: str, shift: int, need: int) -> Ordered | Rolling:
+def _rolling(col: str, rows: int, statistic: str, shift: int, need: int) -> Rolling | Median:
     if statistic not in STATISTICS:
         raise ValueError(f"statistic must be one of {STATISTICS}, not {statistic!r}")
-    if statistic != "median":
-        return Rolling(col, rows, statistic, shift, need)
-
-    def over(w: WindowSpec) -> Column:
-        frame = w.rowsBetween(1 - rows - shift, -shift)
-        return F.when(F.count(col).over(frame) >= need, F.percentile(col, 0.5).over(frame))
-
-    return Ordered(rows - 1 + shift, over)
+    if statistic == "median":
+        return Median(col, rows, shift, need)
+    return Rolling(col, rows, statistic, shift, need)
 
 
-def rolling(col: str, rows: int, statistic: str) -> Ordered | Rolling:
+def rolling(col: str, rows: int, statistic: str) -> Rolling | Median:
     """Statistic of the row and the ones before it; null until there are `rows` values."""
     return _rolling(col, rows, statistic, 0, rows)
 
 
 def rollings(
     col: str, windows: Sequence[int], statistics: Sequence[str] = STATISTICS
-) -> dict[str, Ordered | Rolling]:
+) -> dict[str, Rolling | Median]:
     return {f"{col}_rolling_{s}_{w}": rolling(col, w, s) for w in windows for s in statistics}
 
 
 def rolling_before(
     col: str, rows: int, statistic: str, need: int | None = None
-) -> Ordered | Rolling:
+) -> Rolling | Median:
     """Statistic of the rows before the current one, from a quarter of them (at least 10) on."""
     return _rolling(col, rows, statistic, 1, max(rows // 4, 10) if need is None else need)
 

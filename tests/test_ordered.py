@@ -1,5 +1,7 @@
 """Positions, blocks and quantiles against plain computation."""
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -224,3 +226,31 @@ def test_sequences_cut_out_of_blocks_are_the_same(spark):
         cut = ordered.cut_sequences(blocks, ["x", "y"], steps, "x", current, series).collect()
         shown = [{(r.k, r.t, r.position, r.x, tuple(map(tuple, r.sequence))) for r in found} for found in (plain, cut)]
         assert len(plain) == len(cut) and shown[0] == shown[1] and plain
+
+
+@pytest.mark.parametrize("shift, need", [(0, 5), (1, 2)])
+def test_medians_equal_plain_windows(spark, shift, need):
+    """Nulls, ties, NaN, an all-null series and windows across block borders."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for key in (1, 2, 3):
+        for i in range(90):
+            x = None if key == 3 or rng.random() < 0.2 else float(rng.integers(0, 9))
+            rows.append((key, i, float("nan") if x == 8 else x, f"é{i}", dt.datetime(2024, 1, 1)))
+    df = spark.createDataFrame(rows, "key int, position long, x double, name string, at timestamp")
+    values = {f"m{w}": ordered.Median("x", w, shift, need) for w in (1, 5, 24)}
+    values["back"] = ordered.lag("x", 1)
+    out = ordered.over_blocks(df, values, ordered.Series(("key",), ("position",)), block_rows=25)
+    assert out.columns == ["key", "position", "x", "name", "at", *values]
+    found = {(r.key, r.position): r for r in out.collect()}
+    assert len(found) == len(rows)
+    for key, i, x, name, at in rows:
+        assert (found[key, i].name, found[key, i].at) == (name, at)
+        for w in (1, 5, 24):
+            end = i + 1 - shift
+            part = [r[2] for r in rows if r[0] == key and end - w <= r[1] < end and r[2] is not None]
+            part.sort(key=lambda v: (v != v, v))
+            want = None
+            if part and len(part) >= need:
+                want = 0.5 * part[(len(part) - 1) // 2] + 0.5 * part[len(part) // 2]
+            assert repr(found[key, i][f"m{w}"]) == repr(want)
