@@ -23,7 +23,7 @@ def _arriving(spark, sf_dir):
 
 def _published(spark, running, keys):
     path = scratch_path(spark, "published")
-    live.publish(running, path, scratch_path(spark, "stream-state")).awaitTermination()
+    live.publish(running, path, scratch_path(spark, "stream-state"), keys, fold_every=2).awaitTermination()
     return live.current(spark, path, keys)
 
 

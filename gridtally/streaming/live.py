@@ -1,16 +1,17 @@
 """Live figures from a stream of readings.
 
 Running figures are kept by update-mode aggregations: every micro-batch publishes only the groups
-it changed, under its own batch folder, so a repeated batch overwrites itself. `current` merges
-what was published into one row per group, and the last step of a figure (a share, the progress
+it changed, under its own batch folder, so a repeated batch overwrites itself. Every so many batches
+are folded into a snapshot. `current` merges what was published into one row per group, and the last step of a figure (a share, the progress
 against a baseline) is an ordinary query over that small table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,8 +27,10 @@ from gridtally.schema import (
     USAGE,
     WORK_TYPE,
 )
+from gridtally.session import folders, remove
 
 BATCH = "batch"
+SNAPSHOT = "snapshot"
 
 
 def stream_readings(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -51,11 +54,38 @@ def accumulate(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Stre
     )
 
 
-def publish(running: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Publish the groups each micro-batch changes."""
+def publish(
+    running: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str] = (),
+    fold_every: int = 16,
+    expired: Column | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Publish the groups each micro-batch changes.
+
+    With the `keys` of the groups, every `fold_every`-th batch also writes a snapshot, the newest row of every
+    group. Rows for which `expired` is true are left out of it (a null keeps them), so groups may end.
+    Batches and snapshots before the last snapshot but one are removed: what a reader has just listed stays for
+    another `fold_every` batches, and the folder never holds more than two snapshots and twice that many
+    batches. A batch that is run again writes the same folders again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if not keys or (batch_id + 1) % fold_every:
+            return
+        newest = current(spark, path, keys, before=batch_id)
+        if expired is not None:
+            newest = newest.filter(~F.coalesce(expired, F.lit(False)))
+        newest.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={batch_id}")
+        kept = batch_id - fold_every
+        for kind, last in ((BATCH, kept), (SNAPSHOT, kept - 1)):
+            for number in _finished(spark, path, kind):
+                if number <= last:
+                    remove(spark, f"{path}/{kind}={number}")
 
     return (
         running.writeStream.outputMode("update")
@@ -66,9 +96,28 @@ def publish(running: DataFrame, path: str, checkpoint: str, **trigger) -> Stream
     )
 
 
-def current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest published row of every group."""
-    log = spark.read.parquet(path)
+def _finished(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the batches or snapshots that have been written to their end."""
+    found = folders(spark, f"{path}/{kind}=*/_SUCCESS")
+    return sorted(int(f.rsplit("/", 2)[1].partition("=")[2]) for f in found)
+
+
+def current(spark: SparkSession, path: str, keys: Sequence[str], before: int | None = None) -> DataFrame:
+    """The newest published row of every group: the last snapshot and the batches after it.
+
+    `before` leaves out snapshots of this batch or later ones. Groups with null keys are groups, too.
+    """
+    base = max((n for n in _finished(spark, path, SNAPSHOT) if before is None or n < before), default=-1)
+    parts = [f"{path}/{BATCH}={n}" for n in _finished(spark, path, BATCH) if n > base]
+    tables = []
+    if parts:
+        tables.append(spark.read.option("basePath", path).parquet(*parts))
+    if base >= 0:
+        snapshot = spark.read.parquet(f"{path}/{SNAPSHOT}={base}")
+        tables.append(snapshot.withColumn(BATCH, F.lit(base)))
+    if not tables:
+        raise ValueError(f"nothing is published in {path}")
+    log = reduce(DataFrame.unionByName, tables)
     values = [c for c in log.columns if c not in (*keys, BATCH)]
     newest = F.max_by(F.struct(*values), F.col(BATCH)).alias("_newest")
     return log.groupBy(*keys).agg(newest).select(*keys, "_newest.*")

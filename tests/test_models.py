@@ -209,3 +209,21 @@ def test_latest_card_is_the_newest_reading(spark):
     live.publish(running, out, scratch_path(spark, "state")).awaitTermination()
     cards = live.current(spark, out, ["meter_id"]).orderBy("meter_id").collect()
     assert [(c.meter_id, c.usage_kwh) for c in cards] == [(0, 18.0), (1, 19.0)]
+
+
+def test_batches_are_folded_into_a_snapshot(spark):
+    """Many batches, late files among them: figures stay right, old batches go, expired days end."""
+    path, out, state = (scratch_path(spark, name) for name in ("in", "out", "state"))
+    hours = [range(24 * i, 24 * i + 24) for i in (0, 1, 3, 2, 4, 1, 5, 6, 7)]
+    for i in range(0, len(hours), 3):
+        readings(spark, path, hours[i : i + 3])
+        days = live.daily_totals(live.stream_readings(spark, path))
+        ended = F.col("day") < F.lit("2024-11-02").cast("date")
+        live.publish(days, out, state, ["day"], fold_every=2, expired=ended).awaitTermination()
+        found = {r.day.day: r.usage for r in live.current(spark, out, ["day"]).collect()}
+        seen = [h for part in hours[: i + 3] for h in part]
+        want = {d + 1: float(sum(h for h in seen if h // 24 == d)) for d in range(1, 8) if d in {h // 24 for h in seen}}
+        assert found == want
+    assert live._finished(spark, out, live.SNAPSHOT) == [5, 7]
+    assert live._finished(spark, out, live.BATCH) == [6, 7, 8]
+    assert live.current(spark, out, ["day"], before=7).count() == 7
