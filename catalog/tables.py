@@ -48,6 +48,25 @@ def read_readings_csv(spark, sf_dir):
     return files.read_readings(spark, path, "csv")
 
 
+@query(
+    "read_readings_csv_mixed_headers",
+    with_readings(
+        "SELECT reading_id, ts, work_type, usage_kwh, CASE WHEN reading_id % 3 = 0 THEN carbon_tco2 END AS carbon_tco2, cost_krw FROM readings"
+    ),
+)
+def read_readings_csv_mixed_headers(spark, sf_dir):
+    """One folder, three headers: other names, another order, and a column that most files lack."""
+    path = scratch_path(spark, "mixed-csv")
+    df, third = readings(spark, sf_dir), F.col("reading_id") % 3
+    _file_frame(spark, sf_dir).filter(F.col("id") % 3 == 0).write.csv(path, header=True)
+    swapped = df.filter(third == 1).select("cost_krw", "usage_kwh", F.col("ts").alias("datetime"), "work_type", F.col("reading_id").alias("id"))
+    swapped.write.mode("append").csv(path, header=True)
+    renamed = df.filter(third == 2).select("reading_id", "ts", F.col("cost_krw").alias("cost"), "work_type", F.col("usage_kwh").alias("power_usage"))
+    renamed.write.mode("append").csv(path, header=True, compression="gzip")
+    out = files.read_readings(spark, path, "csv")
+    return out.select("reading_id", "ts", "work_type", "usage_kwh", "carbon_tco2", "cost_krw")
+
+
 @query(
     "read_readings_months",
     with_readings(

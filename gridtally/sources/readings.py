@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,9 @@ from gridtally import schema as S
 from gridtally.functions.calendar import month_of
 from gridtally.operators.filters import time_range
 
+# Files whose headers the driver looks at together.
+HEADER_THREADS = 16
+
 
 def normalize_columns(df: DataFrame, names: dict[str, str] = S.HEADER_NAMES) -> DataFrame:
     """Give known headers their column names; the first of several aliases wins."""
@@ -49,9 +55,48 @@ def _conform(df: DataFrame) -> DataFrame:
     )
 
 
+def _files_by_header(spark: SparkSession, path: str, encoding: str) -> dict[str, list[str]]:
+    """The files below `path` by their first line; files without one hold no rows and are left out.
+
+    Only first lines are read, many files at a time, from any file system and codec that Spark reads.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(name: str) -> str | None:
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            codec = codecs.getCodec(file)
+            text = codec.createInputStream(stream) if codec else stream
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, encoding)).readLine()
+        finally:
+            stream.close()
+
+    files = spark.read.text(path).inputFiles()
+    with ThreadPool(HEADER_THREADS) as pool:
+        lines = pool.map(first_line, files)
+    groups: dict[str, list[str]] = {}
+    for file, line in sorted(zip(files, lines)):
+        if line is not None:
+            groups.setdefault(line.removeprefix("\ufeff").strip(), []).append(file)
+    return groups
+
+
 def _read_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """CSV with a header; a file whose header differs from the first file's is an error, not misread."""
-    return spark.read.csv(path, header=True, enforceSchema=False, **options)
+    """CSV with headers, as text, under the known column names.
+
+    Files may have their columns in another order, under other known names, or lack some: files with
+    equal first lines are read together and united by name, and a column that a file lacks is null.
+    """
+    groups = _files_by_header(spark, path, options.get("encoding", "UTF-8"))
+    if len(groups) < 2:
+        return normalize_columns(spark.read.csv(path, header=True, enforceSchema=False, **options))
+    # a folder's name=value parts stay columns
+    base = {} if any(c in path for c in "*?[{") else {"basePath": path}
+    reader = spark.read.options(header=True, enforceSchema=False, inferSchema=False, **base, **options)
+    tables = [normalize_columns(reader.csv([unquote(f) for f in files])) for files in groups.values()]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), tables)
 
 
 def read_readings(
@@ -67,7 +112,7 @@ def read_readings(
     """
     if fmt == "csv":
         # Text first: names decide the types.
-        df = _conform(normalize_columns(_read_csv(spark, path)))
+        df = _conform(_read_csv(spark, path))
     elif fmt == "parquet":
         df = normalize_columns(spark.read.parquet(path))
     else:
@@ -80,12 +125,12 @@ def read_readings(
 
 def read_csv_encoded(spark: SparkSession, path: str, encoding: str = "CP949") -> DataFrame:
     """CSV in a Korean code page; needs spark.sql.legacy.javaCharsets=true (see build_session)."""
-    return normalize_columns(_read_csv(spark, path, encoding=encoding))
+    return _read_csv(spark, path, encoding=encoding)
 
 
 def read_monthly_summary(spark: SparkSession, path: str) -> DataFrame:
     """Monthly totals; the month text becomes the first day of that month."""
-    df = normalize_columns(_read_csv(spark, path))
+    df = _read_csv(spark, path)
     return df.withColumns(
         {
             c: F.to_date(c, "yyyy-MM") if c == S.MONTH else F.col(c).cast("double")

@@ -201,3 +201,22 @@ def test_missing_time_is_an_error(spark, tmp_path):
     spark.createDataFrame([(1,)], "id int").write.csv(f"{tmp_path}/x", header=True)
     with pytest.raises(ValueError):
         files.read_readings(spark, f"{tmp_path}/x", "csv")
+
+
+def test_files_with_other_headers_are_read_by_name(spark, tmp_path):
+    """Another order, other names, a byte order mark, an empty file, folders that are columns, a blank in a name."""
+    for name, text in {
+        "month=1/a b.csv": "id,datetime,power_usage\n1,2024-01-01 00:15:00,1.5\n",
+        "month=2/b.csv": "\ufeff전력사용량(kWh),id,측정일시\n2.5,2,2024-02-01 00:15:00\n",
+        "month=2/c.csv": "id,datetime,cost\n3,2024-02-01 00:30:00,7\n",
+        "month=2/d.csv": "",
+    }.items():
+        file = tmp_path / "in" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(text, encoding="utf-8")
+    df = files.read_readings(spark, str(tmp_path / "in"), "csv")
+    assert values(df, "reading_id", "ts", "usage_kwh", "cost_krw", "month") == [
+        (1, at("2024-01-01 00:15:00"), 1.5, None, 1),
+        (2, at("2024-02-01 00:15:00"), 2.5, None, 2),
+        (3, at("2024-02-01 00:30:00"), None, 7.0, 2),
+    ]
