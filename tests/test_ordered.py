@@ -254,3 +254,36 @@ def test_medians_equal_plain_windows(spark, shift, need):
             if part and len(part) >= need:
                 want = 0.5 * part[(len(part) - 1) // 2] + 0.5 * part[len(part) // 2]
             assert repr(found[key, i][f"m{w}"]) == repr(want)
+
+
+def test_cut_sequences_choose_fields_once_for_a_block(spark):
+    """The stored steps are cut as they are; other fields, or another order, are chosen before they are cut."""
+    df = spark.createDataFrame([(i, i // 30, float(i), -float(i)) for i in range(60)], "t long, k int, x double, y double")
+    series = ordered.Series(("k",), ("t",))
+    placed = ordered.with_position(df, series)
+    blocks = ordered.materialize(ordered.sequence_blocks(placed, ["x", "y"], "x", series, block_rows=8), "blocks")
+    assert "steps" in blocks.columns
+    cut = ordered.cut_sequences(blocks, ["x", "y"], 5, "x", False, series)
+    assert "transform(" not in cut._jdf.queryExecution().analyzed().toString()
+    for features in (["y"], ["y", "x"]):
+        plain = ordered.sequences(placed, features, 5, "x", False, series).collect()
+        other = ordered.cut_sequences(blocks, features, 5, "x", False, series)
+        assert other.schema["sequence"].dataType.elementType.fieldNames() == features
+        assert sorted((r.k, r.t, tuple(map(tuple, r.sequence))) for r in plain) == sorted(
+            (r.k, r.t, tuple(map(tuple, r.sequence))) for r in other.collect()
+        )
+
+
+def test_ranks_of_a_column_share_a_sketch(spark, monkeypatch):
+    """Three quartiles are six ranks of one range: one sketch proposes their cuts."""
+    sketches = []
+    sketch = F.percentile_approx
+
+    def counted(*args):
+        sketches.append(args)
+        return sketch(*args)
+
+    monkeypatch.setattr(F, "percentile_approx", counted)
+    df = spark.range(1001).select(F.col("id").cast("double").alias("x"), (-F.col("id")).alias("y"))
+    found = quantiles.exact_quantiles(df, {"x": (0.25, 0.5, 0.75), "y": (0.1, 0.25)})
+    assert found == {"x": [250.0, 500.0, 750.0], "y": [-900.0, -750.0]} and len(sketches) == 2
