@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridtally.operators import timefolds
+from gridtally.operators import isolation, timefolds
 from gridtally.operators.ordered import POSITION, Series, with_position
 from gridtally.operators.splits import time_folds
 from gridtally.plans import seasonal
@@ -156,3 +156,25 @@ def test_prepared_rows_rest_on_the_past(spark, sf_dir):
         seen.append({r.reading_id: tuple(r[n] for n in names) + (r._fits,) for r in early.collect()})
     assert seen[0] and seen[0] == seen[1]
     assert [f.number for f in ready.folds] == [0, 1, 2] and ready.folds[-1].end == ready.known.count()
+
+
+def test_several_categories_are_encoded_from_the_rows_themselves(spark):
+    """As one by one, nulls among the categories; no column's means read the joins of another's."""
+    value = F.pmod(F.xxhash64("id"), F.lit(100)).cast("double")
+    third = F.when(F.col("id") % 3 > 0, F.col("id") % 3)
+    df = with_position(spark.range(300).select("id", third.alias("c"), (F.col("id") % 7).alias("d"), value.alias("y")), Series((), ("id",)))
+    edges = timefolds.even_edges(300, 5)
+    both = timefolds.target_encode_by_time(df, ["c", "d"], "y", edges)
+    chain = timefolds.target_encode_by_time(timefolds.target_encode_by_time(df, "c", "y", edges), "d", "y", edges)
+    got, want = ({r.id: (r.c, r.d, r.c_te, r.d_te) for r in x.collect()} for x in (both, chain))
+    assert got == want and len(got) == 300 and got[299][2] is not None
+    # the means are read from where they were written: nothing is added up again when the rows are
+    assert "Aggregate" not in both._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_isolation_marks_every_row(spark):
+    df = spark.range(400).select(F.col("id").alias("reading_id"), F.when(F.col("id") % 50 == 7, 1e6).otherwise(F.col("id") % 9).alias("x"))
+    scored, usual = isolation.isolation_marks(df, ["x"], 0.02)
+    kept = {r.reading_id for r in isolation.isolation_filter(df, ["x"], 0.02).collect()}
+    rows = scored.withColumn("usual", usual).collect()
+    assert len(rows) == 400 and {r.reading_id for r in rows if r.usual} == kept and 392 <= len(kept) < 400
