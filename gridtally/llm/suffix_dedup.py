@@ -2,7 +2,9 @@
 
 Two equal strings of 50 bytes hold the same anchor: the substring of 26 bytes with the least hash among
 their 25. So only suffixes that begin at anchors are indexed, about one in thirteen, and of those only the
-ones whose anchor occurs in two documents or more. With each suffix goes the text of the strings that have
+ones whose anchor occurs in two documents or more. A match goes on for 12 bytes at least to one side of its
+anchor: a side whose first 12 bytes no other document has beside this anchor is cut to 11, and a suffix with too
+little left for any match is not sent. With each other suffix goes the text of the strings that have
 it as their anchor, at most 24 bytes to either side, which is all that their matches can need.
 
 Suffixes are dealt into buckets by their anchor. In a bucket, documents come in batches of ascending id.
@@ -27,19 +29,24 @@ from pyspark.sql import functions as F
 
 from gridtally.llm.frequency import frequency_bitmaps, holds
 from gridtally.llm.hashing import mix, pieces, prefix_sums, substring_hashes, text_bytes
+from gridtally.session import text_batches
 
 LENGTH = 50
 ANCHOR = 26
 SIDE = LENGTH - ANCHOR
+# Bytes that every match has in common before its anchor or after it.
+NEAR = SIDE // 2
 # Anchors in this many documents or more are matched by string hashes instead.
 HOT_ANCHOR = 1024
 # Suffixes of a bucket that make up a batch.
 BATCH = 1 << 15
 # Suffixes a task gathers before it sends them to their buckets; a string counts as a quarter of one.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 # Suffix pairs compared, and bytes of text searched for anchors, at a time.
 PAIRS = 1 << 18
 PIECE = 1 << 18
+# Bytes of documents that are dealt out together; longer records compress better.
+DEALT = 1 << 25
 # Effort of compressing what is shuffled.
 LEVEL = 9
 
@@ -149,13 +156,42 @@ def reach(at: np.ndarray, hashes: np.ndarray, least: np.ndarray) -> tuple[np.nda
     return before, after
 
 
+def beside(
+    sums: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray
+) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Which anchors' strings reach NEAR bytes before them, and the hashes of these bytes with the anchor; the same after."""
+    left, right = np.flatnonzero(before >= NEAR), np.flatnonzero(after >= NEAR)
+    return (
+        (left, substring_hashes(sums, at[left] - NEAR, at[left] + ANCHOR)),
+        (right, substring_hashes(sums, at[right], at[right] + ANCHOR + NEAR)),
+    )
+
+
+def needed(
+    sums: np.ndarray, at: np.ndarray, hashes: np.ndarray, least: np.ndarray, near: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which anchors may have a match, and the bytes before and after these that it may take up.
+
+    `near` has the hashes from `beside` that two documents or more have. A match of NEAR bytes or more on a side has
+    that side's hash in common, so without it the side matters for less than NEAR; a match needs SIDE bytes in all.
+    """
+    reached = reach(at, hashes, least)
+    sides = []
+    for far, (place, found) in zip(reached, beside(sums, at, *reached)):
+        most = np.full(len(at), NEAR - 1, np.uint8)
+        most[place[holds(near, found)]] = SIDE
+        sides.append(np.minimum(far, most))
+    use = sides[0] + sides[1] >= SIDE
+    return use, sides[0][use], sides[1][use]
+
+
 def surrounded(
-    data: np.ndarray, offsets: np.ndarray, at: np.ndarray, hashes: np.ndarray, row: np.ndarray, least: np.ndarray
+    data: np.ndarray, offsets: np.ndarray, at: np.ndarray, hashes: np.ndarray, row: np.ndarray, before: np.ndarray, after: np.ndarray
 ) -> np.ndarray:
-    """Suffix records of anchors: where each begins in its document and the bytes to both sides of it."""
+    """Suffix records of anchors: where each begins in its document and the bytes before and after that it needs."""
     out = np.zeros(len(at), SUFFIX)
     out["anchor"], out["at"] = hashes, at - offsets[row]
-    out["before"], out["after"] = reach(at, hashes, least)
+    out["before"], out["after"] = before, after
     padded = np.concatenate((np.zeros(SIDE, np.uint8), data, np.zeros(SIDE, np.uint8)))
     views = np.lib.stride_tricks.sliding_window_view(padded, SIDE)
     column = np.arange(SIDE)
@@ -341,6 +377,13 @@ def _stream(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def _once_a_row(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Each row's distinct hashes."""
+    order = np.lexsort((hashes, row))
+    hashes, row = hashes[order], row[order]
+    return hashes[np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])))[: len(row)]]
+
+
 def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
     """Spans of bytes that an earlier document has, packed: (part, spans); `part` is `pmod(key, parts)`.
 
@@ -353,15 +396,25 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
         for part in pieces(batch, "text", PIECE):
             data, offsets = text_bytes(part.column("text"))
             at, hashes, _ = anchors(data, offsets, prefix_sums(data))
-            row = np.searchsorted(offsets, at, "right") - 1
-            order = np.lexsort((hashes, row))
-            hashes, row = hashes[order], row[order]
-            new = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])))[: len(row)]
-            yield hashes[new]
-
-    known = docs.sparkSession.sparkContext.broadcast(
-        frequency_bitmaps(docs.select("text"), counted, rows, HOT_ANCHOR)
-    )
+            yield _once_a_row(hashes, np.searchsorted(offsets, at, "right") - 1)
+
+    spark = docs.sparkSession
+    known = spark.sparkContext.broadcast(frequency_bitmaps(docs.select("text"), counted, rows, HOT_ANCHOR))
+
+    def counted_near(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        shared, hot = known.value
+        for part in pieces(batch, "text", PIECE):
+            data, offsets = text_bytes(part.column("text"))
+            sums = prefix_sums(data)
+            at, hashes, least = anchors(data, offsets, sums)
+            use = holds(shared, hashes) & ~holds(hot, hashes)
+            at, hashes = at[use], hashes[use]
+            (left, one), (right, two) = beside(sums, at, *reach(at, hashes, least))
+            row = np.searchsorted(offsets, at[np.concatenate((left, right))], "right") - 1
+            yield _once_a_row(np.concatenate((one, two)), row)
+
+    # only whether a hash is shared is of use here
+    sieve = spark.sparkContext.broadcast(frequency_bitmaps(docs.select("text"), counted_near, rows, HOT_ANCHOR)[0])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, hot = known.value
@@ -391,8 +444,10 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
                 at, hashes = at[use], hashes[use]
                 row = np.searchsorted(offsets, at, "right") - 1
                 often = holds(hot, hashes)
-                mine = surrounded(data, offsets, at[~often], hashes[~often], row[~often], least)
-                mine["owner"] = row[~often] + n
+                kept, before, after = needed(sums, at[~often], hashes[~often], least, sieve.value)
+                chosen = np.flatnonzero(~often)[kept]
+                mine = surrounded(data, offsets, at[chosen], hashes[chosen], row[chosen], before, after)
+                mine["owner"] = row[chosen] + n
                 # every string of 50 bytes with a hot anchor
                 before, after = (x.astype(np.int64) for x in reach(at[often], hashes[often], least))
                 n_strings = before + after - SIDE + 1
@@ -456,6 +511,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Every row comes back once. Rows that share an id are not matched with one another; a row without an
     id is not matched at all. Empty tables give empty results.
     """
+    text_batches(docs.sparkSession)
     rows = docs.count()
     parts = part_count(rows)
     added = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary", "kept_sha256": "string"}
@@ -469,15 +525,27 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     keyed = keyed.withColumn("part", F.pmod("key", F.lit(parts)).cast("int"))
 
     def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        waiting, held = [], 0
+
+        def dealt() -> pa.RecordBatch:
+            (batch,) = pa.Table.from_batches(waiting).combine_chunks().to_batches()
+            waiting.clear()
             part = batch.column("part").to_numpy()
             order = np.argsort(part, kind="stable")
-            out = [(int(part[c[0]]), _stream(batch.take(pa.array(c)))) for c in _runs(part, order)]
-            if out:
-                of_part, blobs = zip(*out)
-                yield pa.RecordBatch.from_pydict(
-                    {"part": pa.array(of_part, pa.int32()), "documents": pa.array(blobs, pa.binary())}
-                )
+            of_part, blobs = zip(*((int(part[c[0]]), _stream(batch.take(pa.array(c)))) for c in _runs(part, order)))
+            return pa.RecordBatch.from_pydict(
+                {"part": pa.array(of_part, pa.int32()), "documents": pa.array(blobs, pa.binary())}
+            )
+
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+                held += batch.nbytes
+                if held >= DEALT:
+                    yield dealt()
+                    held = 0
+        if waiting:
+            yield dealt()
 
     def cut(documents: pa.Table, found: pa.Table) -> pa.Table:
         spans = [unpack(b.as_py(), SPAN) for b in found["spans"]] if found.num_rows else []
