@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from gridtally.llm.components import components
 from gridtally.llm.frequency import frequency_bitmaps, holds, id_bitmap
 from gridtally.llm.hashing import mix, pieces, shingle_sets
-from gridtally.session import materialize, release
+from gridtally.session import materialize, release, text_batches
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -340,6 +340,7 @@ def jaccard_components(
     empty result. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     source = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
     rows = source.count()
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from gridtally.llm.hashing import pieces
 from gridtally.llm.tokens import encoder, tokenizer_path
+from gridtally.session import text_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -28,7 +29,7 @@ LENGTH = 1024
 # Pieces that are packed together.
 BLOCK = 8192
 # Bytes of text that are encoded at a time.
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 20
 
 _PIECE = (
     "piece int, start long, length long, ids_crc32 long, sequence_id long, `offset` long"
@@ -142,6 +143,7 @@ def pack_documents(
     rows without an id or with one that others have; an empty table gives no pieces. Other columns are
     ignored. A tighter attention capacity must still admit a full piece.
     """
+    text_batches(docs.sparkSession)
     capacity = capacity or Capacity()
     path = path or tokenizer_path(TOKENIZER)
 
