@@ -22,13 +22,19 @@ SECTION = 4
 LONG, WORDS, CHARACTERS = 64, 4, 32
 # Characters of a leaf at most, white space and marks of punctuation included.
 MOST = 256
-# Where leaves end: after a mark and a space, after a full-width mark, and after about one word in six.
-ENDS = r"(?<=[.!?,;:|] )|(?<=[。！？，、；：])|(?<=[agiouyzéíóñüß0-4%$]\s)"
+# Where leaves end: after a mark and a space, after a full-width mark, and after about one word in six. All of these
+# end in the characters that are looked for first, so most places take one look.
+ENDS = r"(?<=[\s。！？，、；：])(?:(?<=[.!?,;:|] )|(?<=[。！？，、；：])|(?<=[agiouyzéíóñüß0-4%$]\s))"
+
+
+def _digits(value: Column) -> Column:
+    """Eight hex digits, in capitals."""
+    return F.right(F.hex(F.xxhash64(value).bitwiseOR(F.lit(-(1 << 63)))), F.lit(8))
 
 
 def _digest(value: Column) -> Column:
     """Eight hex digits."""
-    return F.lpad(F.lower(F.hex(F.xxhash64(value).bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+    return F.lower(_digits(value))
 
 
 def _bounded(piece: Column) -> Column:
@@ -64,19 +70,25 @@ def fingerprint(text: Column) -> Column:
         leaves = F.array_join(
             F.transform(
                 F.split(line, ENDS),
-                lambda p: F.when(F.length(p) > MOST, F.array_join(F.transform(_bounded(p), _digest), ".")).otherwise(_digest(p)),
+                lambda p: F.when(F.length(p) > MOST, F.array_join(F.transform(_bounded(p), _digits), ".")).otherwise(_digits(p)),
             ),
             ".",
         )
-        return F.concat(leaves, F.when(F.pmod(F.xxhash64(leaves), F.lit(SECTION)) == 0, ";").otherwise(","))
+        # a list of one, so that the leaves are found once
+        return F.transform(
+            F.array(F.lower(leaves)),
+            lambda x: F.concat(x, F.when(F.pmod(F.xxhash64(x), F.lit(SECTION)) == 0, ";").otherwise(",")),
+        )[0]
 
-    whole = F.coalesce(text, F.lit(""))
-    lines = F.split(whole, r"(?<=\n)")
-    body = F.array_join(F.transform(lines, paragraph), "")
-    sections = F.split(F.regexp_replace(body, "[,;]$", ""), ";")
-    branches = F.array_join(F.transform(sections, lambda s: F.concat(_digest(s), F.lit("#"), s)), ";")
-    trunk = F.md5(F.array_join(F.transform(lines, lambda line: F.md5(line)), ""))
-    return F.concat(trunk, F.lit("|"), branches)
+    def tree(lines: Column) -> Column:
+        body = F.array_join(F.transform(lines, paragraph), "")
+        sections = F.split(F.regexp_replace(body, "[,;]$", ""), ";")
+        branches = F.array_join(F.transform(sections, lambda s: F.concat(_digest(s), F.lit("#"), s)), ";")
+        trunk = F.md5(F.array_join(F.transform(lines, lambda line: F.md5(line)), ""))
+        return F.concat(trunk, F.lit("|"), branches)
+
+    # the same for the lines
+    return F.transform(F.array(F.split(F.coalesce(text, F.lit("")), r"(?<=\n)")), tree)[0]
 
 
 def root(print_: Column) -> Column:
@@ -89,16 +101,18 @@ def sections(print_: Column) -> Column:
 
 def leaves(print_: Column) -> Column:
     """All leaf hashes, in order."""
-    return F.split(F.regexp_replace(F.substring(print_, 34, 1 << 30), "[0-9a-f]{8}#", ""), "[.,;]")
+    return F.flatten(F.transform(sections(print_), lambda s: F.split(F.translate(F.substring(s, 10, 1 << 30), ",", "."), r"\.")))
 
 
 def likeness(one: Column, other: Column) -> Column:
     """Share of distinct leaves that two fingerprints have in common, 1 for equal roots."""
-    a, b = leaves(one), leaves(other)
+    return _alike(root(one) == root(other), F.array_distinct(leaves(one)), F.array_distinct(leaves(other)))
+
+
+def _alike(equal: Column, a: Column, b: Column) -> Column:
+    """Likeness by distinct leaves."""
     common = F.size(F.array_intersect(a, b))
-    return F.when(root(one) == root(other), F.lit(1.0)).otherwise(
-        common / (F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)) - common)
-    )
+    return F.when(equal, F.lit(1.0)).otherwise(common / (F.size(a) + F.size(b) - common))
 
 
 def edits(one: Column, other: Column) -> Column:
@@ -211,13 +225,20 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         fingerprint(F.col("edited")).alias("edited_fingerprint"),
         "next_fingerprint",
     )
-    return prints.select(
+    # each text's leaves are taken from its fingerprint once
+    kinds = {c: f"{c}_leaves" for c in ("fingerprint", "edited_fingerprint", "next_fingerprint")}
+    listed = prints.withColumns({name: F.array_distinct(leaves(F.col(c))) for c, name in kinds.items()})
+
+    def near(other: str) -> Column:
+        return _alike(root(F.col("fingerprint")) == root(F.col(other)), F.col(kinds["fingerprint"]), F.col(kinds[other]))
+
+    return listed.select(
         F.col("given").alias(doc_id),
         "n_chars",
         "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        near("edited_fingerprint").alias("near_edited"),
+        near("next_fingerprint").alias("near_next"),
         "next_id",
     )
