@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from gridtally.llm.frequency import frequency_bitmaps, holds
 from gridtally.llm.hashing import mix, pieces, prefix_sums, substring_hashes, text_bytes
-from gridtally.session import text_batches
+from gridtally.session import materialize, passing_shuffles, text_batches
 
 LENGTH = 50
 ANCHOR = 26
@@ -78,8 +78,54 @@ def unpack(blob: bytes, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob[8:], size, codec="zstd", asbytes=True) if size else b"", kind)
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The numbers' bytes, all first ones, then all second ones: where few change, they compress to nothing."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T).reshape(-1)
+
+
+def _from_planes(raw: bytes, kind: str, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, "u1", n * size, at).reshape(size, n).T).view(kind).reshape(-1)
+
+
+def pack_owners(rows: np.ndarray) -> bytes:
+    """Documents' ids as steps, then their keys."""
+    return pack(np.concatenate([_planes(np.diff(rows["id"], prepend=np.int64(0))), np.ascontiguousarray(rows["key"]).view("u1")]))
+
+
+def unpack_owners(blob: bytes) -> np.ndarray:
+    raw = unpack(blob, np.dtype("u1")).tobytes()
+    rows = np.zeros(len(raw) // OWNER.itemsize, OWNER)
+    rows["id"] = np.cumsum(_from_planes(raw, "<i8", len(rows), 0))
+    rows["key"] = np.frombuffer(raw, "<i8", len(rows), 8 * len(rows))
+    return rows
+
+
+def pack_spans(rows: np.ndarray) -> bytes:
+    """Spans in order of their documents: each key once, the number of its spans, then their starts and lengths."""
+    key, n = np.unique(rows["key"], return_counts=True)
+    order = np.argsort(rows["key"], kind="stable")
+    start, end = rows["start"][order], rows["end"][order]
+    head = np.array([len(rows), len(key)], "<u8").view(np.uint8)
+    return pack(np.concatenate([head, key.view(np.uint8), *(_planes(x.astype("<u4")) for x in (n, start, end - start))]))
+
+
+def unpack_spans(blob: bytes) -> np.ndarray:
+    raw = unpack(blob, np.dtype("u1")).tobytes()
+    n, m = np.frombuffer(raw, "<u8", 2).tolist()
+    rows = np.zeros(n, SPAN)
+    rows["key"] = np.repeat(np.frombuffer(raw, "<i8", m, 16), _from_planes(raw, "<u4", m, 16 + 8 * m))
+    rows["start"] = _from_planes(raw, "<u4", n, 16 + 12 * m)
+    rows["end"] = rows["start"] + _from_planes(raw, "<u4", n, 16 + 12 * m + 4 * n)
+    return rows
+
+
 def pack_suffixes(rows: np.ndarray) -> bytes:
-    """Suffixes column by column, each distinct surrounding once and without bytes that it has not."""
+    """Suffixes column by column, each distinct surrounding once and without bytes that it has not.
+
+    Of an anchor's hash the upper 48 bits go: two anchors that agree in them match only if the same 24 bytes or more
+    stand beside both.
+    """
     _, first, place = np.unique(_codes(rows), return_index=True, return_inverse=True)
     order = np.argsort(first)
     number = np.empty(len(order), np.int64)
@@ -89,25 +135,25 @@ def pack_suffixes(rows: np.ndarray) -> bytes:
     texts = [kinds[side][column < kinds[n][:, None]] for side, n in (("left", "before"), ("right", "after"))]
     head = np.array([len(rows), len(kinds)], "<u8").view(np.uint8)
     return pack(np.concatenate([head, *(np.ascontiguousarray(x).view(np.uint8) for x in (
-        *steps, kinds["anchor"], kinds["before"], kinds["after"], *texts))]))
+        *(_planes(x) for x in steps), _planes(kinds["anchor"])[2 * len(kinds) :], kinds["before"], kinds["after"], *texts))]))
 
 
 def unpack_suffixes(blob: bytes) -> np.ndarray:
     raw = unpack(blob, np.dtype("u1")).tobytes()
     n, m = np.frombuffer(raw, "<u8", 2).tolist()
-    at, columns = 16, []
-    for kind, size in (("<i4", n), ("<i4", n), ("<i4", n), ("<u8", m), ("u1", m), ("u1", m)):
-        columns.append(np.frombuffer(raw, kind, size, at))
-        at += columns[-1].nbytes
+    steps = [_from_planes(raw, "<i4", n, 16 + 4 * n * i) for i in range(3)]
     kinds, column = np.zeros(m, SUFFIX), np.arange(SIDE)
-    kinds["anchor"], kinds["before"], kinds["after"] = columns[3:]
+    at = 16 + 12 * n
+    kinds["anchor"] = _from_planes(bytes(2 * m) + raw[at : at + 6 * m], "<u8", m, 0)
+    kinds["before"], kinds["after"] = np.frombuffer(raw, "u1", 2 * m, at + 6 * m).reshape(2, m)
+    at += 8 * m
     for side, size in (("left", "before"), ("right", "after")):
         there = column < kinds[size][:, None]
         text = np.zeros(there.shape, np.uint8)
         text[there] = np.frombuffer(raw, "u1", int(kinds[size].sum(dtype=np.int64)), at)
         kinds[side] = text
         at += int(there.sum())
-    place, owner, start = (np.cumsum(c, dtype=np.int64) for c in columns[:3])
+    place, owner, start = (np.cumsum(c, dtype=np.int64) for c in steps)
     rows = kinds[place]
     rows["owner"], rows["at"] = owner, start
     return rows
@@ -355,7 +401,7 @@ def _dealt(kind: int, bucket: np.ndarray, owners: np.ndarray, rows: np.ndarray,
         mine = rows[chosen]
         used, place = np.unique(mine["owner"], return_inverse=True)
         mine["owner"] = place.reshape(-1)
-        out.append((kind, int(bucket[chosen[0]]), pack(owners[used]), pack(mine) if kind else pack_suffixes(mine)))
+        out.append((kind, int(bucket[chosen[0]]), pack_owners(owners[used]), pack(mine) if kind else pack_suffixes(mine)))
 
 
 def _runs(values: np.ndarray, order: np.ndarray) -> list[np.ndarray]:
@@ -366,7 +412,7 @@ def _runs(values: np.ndarray, order: np.ndarray) -> list[np.ndarray]:
 def _spans_by_part(spans: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
     part = np.mod(spans["key"], parts)
     order = np.argsort(part, kind="stable")
-    return [(int(part[c[0]]), pack(spans[c])) for c in _runs(part, order)]
+    return [(int(part[c[0]]), pack_spans(spans[c])) for c in _runs(part, order)]
 
 
 def _stream(batch: pa.RecordBatch) -> bytes:
@@ -478,7 +524,7 @@ def repeated_spans(docs: DataFrame, rows: int) -> DataFrame:
             return pa.table({"part": table["bucket"], "spans": table["records"]})
         owners, records, n = [], [], 0
         for who, blob in zip(table["owners"], table["records"]):
-            mine = unpack(who.as_py(), OWNER)
+            mine = unpack_owners(who.as_py())
             rows = unpack(blob.as_py(), STRING).copy() if kind else unpack_suffixes(blob.as_py())
             rows["owner"] += np.uint32(n)
             n += len(mine)
@@ -518,7 +564,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
     key = F.xxhash64(F.col(doc_id).cast("long"), F.col(text))
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), key.alias("key"))
-    spans = repeated_spans(source.filter("doc_id is not null"), rows)
+    # a small copy: the suffixes' shuffle is gone before that of the documents begins
+    with passing_shuffles(docs.sparkSession):
+        spans = materialize(repeated_spans(source.filter("doc_id is not null"), rows), "spans")
     names = docs.columns
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + "".join(f", {n} {t}" for n, t in added.items())
     keyed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), key.alias("key"))
@@ -548,7 +596,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             yield dealt()
 
     def cut(documents: pa.Table, found: pa.Table) -> pa.Table:
-        spans = [unpack(b.as_py(), SPAN) for b in found["spans"]] if found.num_rows else []
+        spans = [unpack_spans(b.as_py()) for b in found["spans"]] if found.num_rows else []
         spans = _joined(np.concatenate(spans)) if spans else np.zeros(0, SPAN)
         return pa.concat_tables(
             [cut_rows(pa.ipc.open_stream(blob.as_buffer()).read_all(), spans) for blob in documents["documents"]]

@@ -4,12 +4,14 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from gridtally import session
 from gridtally.llm.frequency import BITMAP_BITS
 from gridtally.llm.hashing import prefix_sums, text_bytes
 from gridtally.llm.jaccard_join import jaccard_components
 from gridtally.llm.language_id import LanguageModel, identify
 from gridtally.llm.merkle import edited_fingerprints
-from gridtally.llm.suffix_dedup import NEAR, SIDE, anchors, beside, needed, reach, remove_repeats
+from gridtally.llm.suffix_dedup import NEAR, OWNER, SIDE, SPAN, SUFFIX, anchors, beside, needed, pack, pack_owners, pack_spans
+from gridtally.llm.suffix_dedup import pack_suffixes, reach, remove_repeats, unpack_owners, unpack_spans, unpack_suffixes
 from gridtally.llm.vector_packing import pack_documents
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -56,3 +58,32 @@ def test_only_anchors_that_may_match_are_sent(common, sent):
         assert use.any() == sent
         assert (before.astype(int) + after >= SIDE).all()
         assert ((before >= NEAR) | (after >= NEAR)).all()
+
+
+def test_packed_records_come_back_and_lose_their_repeats():
+    rng = np.random.default_rng(3)
+    owners = np.zeros(3000, OWNER)
+    owners["id"], owners["key"] = 10**12 + np.cumsum(rng.integers(1, 4, 3000)), rng.integers(-(2**63), 2**63, 3000)
+    assert (unpack_owners(pack_owners(owners)) == owners).all() and not len(unpack_owners(pack_owners(owners[:0])))
+    # a key costs its 8 bytes; 9.5 at least if ids go as they are
+    assert len(pack_owners(owners)) < 8.5 * len(owners)
+    spans = np.zeros(5000, SPAN)
+    spans["key"] = np.sort(rng.choice(owners["key"], 5000))
+    spans["start"] = rng.integers(0, 3000, 5000)
+    spans["end"] = spans["start"] + rng.integers(50, 400, 5000)
+    assert (unpack_spans(pack_spans(spans)) == spans).all() and not len(unpack_spans(pack_spans(spans[:0])))
+    assert len(pack_spans(spans)) < 0.85 * len(pack(spans))
+    rows = np.zeros(4000, SUFFIX)
+    rows["anchor"] = rng.integers(0, 2**48, 4000, np.uint64) << np.uint64(16)
+    rows["owner"] = np.sort(rng.integers(0, 500, 4000))
+    rows["at"], rows["before"], rows["after"] = rng.integers(0, 4000, 4000), SIDE, rng.integers(0, SIDE + 1, 4000)
+    rows["left"] = rng.integers(97, 123, (4000, SIDE))
+    rows["right"] = np.where(np.arange(SIDE) < rows["after"][:, None], rng.integers(97, 123, (4000, SIDE)), 0)
+    assert (unpack_suffixes(pack_suffixes(rows)) == rows).all() and not len(unpack_suffixes(pack_suffixes(rows[:0])))
+
+
+def test_shuffles_of_steps_go_and_the_setting_comes_back(spark):
+    before = spark.conf.get(session.SHUFFLES_GO, None)
+    with session.passing_shuffles(spark):
+        assert spark.conf.get(session.SHUFFLES_GO) == "true"
+    assert spark.conf.get(session.SHUFFLES_GO, None) == before
