@@ -16,6 +16,10 @@ A key that many texts share is not expanded into all their pairs. It names one o
 others are compared with it exactly; texts in the same component need no further comparison. When few pairs
 are left between a key's components they are compared one by one, so no link that joins components is lost.
 
+Before texts are fetched, a pair must pass its sketches. A sketch has a bit for each of 1024 cells, which says
+whether the set has an odd number of tokens there, so two sets differ in no fewer tokens than their sketches in bits.
+Pairs whose sketches differ in more bits than linked sets may in tokens are left out, without a loss.
+
 Links inside a component are counted afterwards: its different texts are dealt into blocks, and every two blocks
 are compared whole, so a text's number of links is exact and no pair is ever a row.
 """
@@ -28,13 +32,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.llm.components import components
 from gridtally.llm.frequency import frequency_bitmaps, holds, id_bitmap
 from gridtally.llm.hashing import mix, pieces, shingle_sets
-from gridtally.session import materialize, release, text_batches
+from gridtally.session import materialize, passing_shuffles, release, text_batches
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -43,10 +47,14 @@ FREQUENT = 16
 # Set sizes at which the number of groups changes; sizes near a limit are indexed on both sides.
 FIRST_TIER, TIER_FACTOR = 26, 16
 STAR_ROUNDS = 6
+# Pivots that link fewer than one in so many of their keys' texts are given up.
+FEW_LINKS = 100
+# Bits of a sketch, 64 to a word.
+SKETCH_BITS = 1024
 # Texts and bytes of a block whose links are counted at once, and tokens that are multiplied at a time.
 BLOCK_TEXTS, BLOCK_BYTES, TOKENS = 256, 1 << 20, 4096
 
-_SIGNATURE = "n_shingles long, set_a long, set_b long, keys array<long>"
+_SIGNATURE = "n_shingles long, set_a long, set_b long, sketch array<long>, keys array<long>"
 
 
 def _tiers(n: int, percent: int) -> Iterator[int]:
@@ -102,20 +110,21 @@ def index_keys(
 def signatures(
     docs: DataFrame, text: str, bitmaps: tuple[np.ndarray, np.ndarray], percent: int, words: int
 ) -> DataFrame:
-    """Set size, set hash and index keys of every row, beside its id column `node`."""
+    """Set size, set hash, sketch and index keys of every row, beside its id column `node`."""
     known = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, often = known.value
         for batch in batches:
             for part in pieces(batch, text):
-                sizes, first, second, keys, ends = [], [], [], [], [0]
+                sizes, first, second, sketches, keys, ends = [], [], [], [], [], [0]
                 for tokens in shingle_sets(part.column(text), words):
                     found = index_keys(tokens, holds(often, tokens), holds(shared, tokens), percent)
                     sizes.append(len(tokens))
                     one, two = _set_hashes(tokens)
                     first.append(one)
                     second.append(two)
+                    sketches.append(sketch(tokens))
                     keys.append(found)
                     ends.append(ends[-1] + len(found))
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
@@ -125,9 +134,13 @@ def signatures(
                         pa.array(sizes, pa.int64()),
                         pa.array(np.array(first, np.uint64).view(np.int64)),
                         pa.array(np.array(second, np.uint64).view(np.int64)),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(sketches) + 1) * (SKETCH_BITS // 64), pa.int32()),
+                            pa.array(np.concatenate(sketches) if sketches else np.zeros(0, np.int64)),
+                        ),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64))),
                     ],
-                    names=["node", "n_shingles", "set_a", "set_b", "keys"],
+                    names=["node", "n_shingles", "set_a", "set_b", "sketch", "keys"],
                 )
 
     return docs.select("node", text).mapInArrow(sign, f"node long, {_SIGNATURE}")
@@ -176,6 +189,18 @@ def _fits(x: str, y: str, percent: int):
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Of each cell whether an odd number of the tokens lies in it, 64 cells to a word."""
+    cells = np.bincount((tokens % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((cells & 1).astype(bool), bitorder="little").view(np.int64)
+
+
+def _near(x: str, y: str, n_x: str, n_y: str, percent: int):
+    """Whether two sketches allow the similarity; linked sets differ in (100 - p) / (100 + p) of their tokens at most."""
+    words = (F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH_BITS // 64))
+    return reduce(lambda a, b: a + b, words) * (100 + percent) <= (F.col(n_x) + F.col(n_y)) * (100 - percent)
+
+
 def _pair(x: str, y: str):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
@@ -192,30 +217,34 @@ def _cross_pairs(postings: DataFrame) -> DataFrame:
     )
 
 
-def _link_texts(postings: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame | None:
+def _link_texts(
+    postings: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int, words: int
+) -> DataFrame | None:
     """Components over the texts of an index (key, node, n): (node, component), or None without links.
 
     A key with few pairs left between components is finished by comparing them all. The others compare
     their texts with one pivot, and come back in the next round with what is then left. After
-    `STAR_ROUNDS` rounds every key is finished.
+    `STAR_ROUNDS` rounds, or when pivots hardly link any more texts, every key is finished. `sketches` has
+    (node, sketch, n) of every text; only pairs that pass them are compared, and in the last round only these are rows.
     """
     labels = None
     edges, done = [], []
     open_ = postings.withColumn("component", F.col("node"))
     copy = None
+    few = False
     for turn in range(STAR_ROUNDS + 1):
         keys = materialize(_cross_pairs(open_), "keys")
-        finish = (F.col("pairs") <= 2 * F.col("texts")) if turn < STAR_ROUNDS else F.lit(True)
+        all_ = few or turn == STAR_ROUNDS
+        finish = F.lit(True) if all_ else F.col("pairs") <= 2 * F.col("texts")
         one = open_.join(keys.filter(finish).select("key"), "key")
-        other = one.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "component")])
-        found = (
-            one.join(other, "key")
-            .filter((F.col("component") < F.col("component_2")) & _fits("n", "n_2", percent))
-            .select(*_pair("node", "node_2"))
-            .distinct()
-        )
+        use = F.col("component") < F.col("component_2")
+        if all_:
+            one = one.join(sketches, ["node", "n"])
+            use &= _near("sketch", "sketch_2", "n", "n_2", percent)
+        other = one.select("key", *[F.col(c).alias(f"{c}_2") for c in one.columns if c != "key"])
+        found = one.join(other, "key").filter(use & _fits("n", "n_2", percent)).select(*_pair("node", "node_2")).distinct()
         wide = open_.join(keys.filter(~finish).select("key"), "key")
-        last = turn == STAR_ROUNDS or keys.filter(~finish).isEmpty()
+        last = all_ or keys.filter(~finish).isEmpty()
         if not last:
             wide = materialize(wide, "wide")
             pivot = F.min_by(F.struct("node", "n", "component"), F.xxhash64(F.lit(turn), "node"))
@@ -226,7 +255,11 @@ def _link_texts(postings: DataFrame, texts: DataFrame, percent: int, words: int)
             found = found.unionByName(star.select(*_pair("node", "pivot.node"))).distinct()
         if done:
             found = found.join(reduce(DataFrame.unionByName, done), ["a", "b"], "left_anti")
-        tried = materialize(found, "tried")
+        sides = [sketches.select(*[F.col(c).alias(f"{c}_{e}") for c in sketches.columns]) for e in ("a", "b")]
+        for e, side in zip(("a", "b"), sides):
+            found = found.join(side.withColumnRenamed(f"node_{e}", e), e)
+        near = _near("sketch_a", "sketch_b", "n_a", "n_b", percent)
+        tried = materialize(found.filter(near).select("a", "b").distinct(), "tried")
         done.append(tried)
         new = _verified(tried, texts, percent, words)
         edges.append(new)
@@ -235,6 +268,7 @@ def _link_texts(postings: DataFrame, texts: DataFrame, percent: int, words: int)
         release(keys, *([copy] if copy is not None else []))
         if last:
             break
+        few = new.count() * FEW_LINKS < wide.count()
         open_ = wide
         if labels is not None:
             open_ = wide.drop("component").join(labels, "node", "left")
@@ -342,6 +376,15 @@ def jaccard_components(
     spark = docs.sparkSession
     text_batches(spark)
     source = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
+    with passing_shuffles(spark):
+        found = _components(spark, source, percent, words, frequent, links)
+    return found.withColumnRenamed("node", doc_id)
+
+
+def _components(
+    spark: SparkSession, source: DataFrame, percent: int, words: int, frequent: int, links: bool
+) -> DataFrame:
+    """`jaccard_components` of rows (node, text)."""
     rows = source.count()
 
     def sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -355,7 +398,7 @@ def jaccard_components(
         .groupBy("set_a", "set_b", "n_shingles")
         .agg(F.min("node").alias("class_id"))
     )
-    members = signed.drop("keys").join(classes, ["set_a", "set_b", "n_shingles"], "left")
+    members = signed.drop("keys", "sketch").join(classes, ["set_a", "set_b", "n_shingles"], "left")
     one_each = (
         signed.join(
             classes.select("set_a", "set_b", "n_shingles", F.col("class_id").alias("node")),
@@ -386,7 +429,14 @@ def jaccard_components(
         .mapInArrow(sift, "node long, text string"),
         "texts",
     )
-    labels = _link_texts(postings, texts, percent, words)
+    # rows that share an id are one node: each of its sketches may let a pair pass
+    sketches = materialize(
+        signed.join(postings.select("node").distinct(), "node", "left_semi")
+        .select("node", "sketch", F.col("n_shingles").alias("n"))
+        .distinct(),
+        "sketches",
+    )
+    labels = _link_texts(postings, texts, sketches, percent, words)
     own = F.coalesce("class_id", "node")
     component = own
     if labels is not None:
@@ -396,11 +446,11 @@ def jaccard_components(
             counts = _link_counts(labels, classes, texts, percent, words)
             members = members.join(counts, ["set_a", "set_b", "n_shingles"], "left")
     # what is still read are the signatures, the components and the texts of linked classes, all copies
-    release(postings, texts)
+    release(postings, sketches, texts)
     known = F.col("node").isNotNull()
     n_links = F.coalesce("n_links", F.lit(0)) if labels is not None and links else F.lit(0)
     return members.select(
-        F.col("node").alias(doc_id),
+        "node",
         "n_shingles",
         F.when(known, component).alias("component_id"),
         F.when(known, own).alias("class_id"),

@@ -5,9 +5,10 @@ import pyarrow as pa
 import pytest
 
 from gridtally import session
+from gridtally.llm import jaccard_join
 from gridtally.llm.frequency import BITMAP_BITS
 from gridtally.llm.hashing import prefix_sums, text_bytes
-from gridtally.llm.jaccard_join import jaccard_components
+from gridtally.llm.jaccard_join import jaccard_components, sketch
 from gridtally.llm.language_id import LanguageModel, identify
 from gridtally.llm.merkle import edited_fingerprints
 from gridtally.llm.suffix_dedup import NEAR, OWNER, SIDE, SPAN, SUFFIX, anchors, beside, needed, pack, pack_owners, pack_spans
@@ -82,6 +83,46 @@ def test_packed_records_come_back_and_lose_their_repeats():
     assert (unpack_suffixes(pack_suffixes(rows)) == rows).all() and not len(unpack_suffixes(pack_suffixes(rows[:0])))
 
 
+def test_sketches_of_linked_sets_pass(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for n in (1, 3, 10, 60, 500, 3000):
+        for _ in range(20):
+            one = rng.integers(0, 2**64, n, np.uint64)
+            other = np.concatenate((one[: max(1, round(n * rng.uniform(0.7, 1)))], rng.integers(0, 2**64, rng.integers(0, n // 4 + 1), np.uint64)))
+            common, union = len(np.intersect1d(one, other)), len(np.union1d(one, other))
+            rows.append((sketch(one).tolist(), sketch(other).tolist(), len(one), len(other), 100 * common >= 80 * union))
+        far = rng.integers(0, 2**64, n, np.uint64)
+        rows.append((sketch(one).tolist(), sketch(far).tolist(), n, n, n > 1000))
+    frame = spark.createDataFrame(rows, "x array<long>, y array<long>, n long, m long, linked boolean")
+    found = frame.select("linked", jaccard_join._near("x", "y", "n", "m", 80).alias("near")).collect()
+    assert any(r.linked for r in found)
+    assert all(r.near for r in found if r.linked)
+    # sets that have nothing in common
+    assert [r.near for r in found[20::21]] == [False] * 5 + [found[-1].near]
+
+
+def test_many_alike_texts_make_few_pairs(spark, monkeypatch):
+    """Texts that share passages but do not link: candidates no longer grow with the square of their number."""
+    rng = np.random.default_rng(2)
+    common = [f"c{i}" for i in range(60)]
+    texts = [" ".join(common[i % 20 : i % 20 + 40] + [f"u{x}" for x in rng.integers(0, 10**9, 60)]) for i in range(300)]
+    texts += [t + " one more word" for t in texts[:5]]
+    tried = []
+
+    def kept(df, label):
+        copy = session.materialize(df, label)
+        if label == "tried":
+            tried.append(copy.count())
+        return copy
+
+    monkeypatch.setattr(jaccard_join, "materialize", kept)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert found == {i: i if i < 300 else i - 300 for i in range(305)}
+    assert sum(tried) < 50
+
+
 def test_shuffles_of_steps_go_and_the_setting_comes_back(spark):
     before = spark.conf.get(session.SHUFFLES_GO, None)
     with session.passing_shuffles(spark):
