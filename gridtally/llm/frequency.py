@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BITMAP_BITS = 26
-FLUSH = 4_000_000
+# Hashes a task gathers before it adds them up; sorting and packing take some fifty bytes for each.
+FLUSH = 1 << 20
 
 Hashes = Callable[[pa.RecordBatch], Iterator[np.ndarray]]
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that are worked on at a time; every byte takes some 60 bytes of memory meanwhile.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _draw = np.random.default_rng(7_541)
 BYTE_CODE = _draw.integers(0, 2**64, 256, dtype=np.uint64)
