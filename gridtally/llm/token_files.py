@@ -29,6 +29,8 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 # Documents of a file; a task holds one shard at a time.
 FILE_DOCUMENTS = 8192
+# Bytes of text that are parted at a time: in larger parts more words are looked up once.
+PART_BYTES = 1 << 21
 # A pair is replaced while it occurs so often in a shard, for at most so many rounds.
 LEAST_COUNT = 24
 MOST_ROUNDS = 12
@@ -260,8 +262,8 @@ def write_token_files(
             return out
 
         for batch in batches:
-            for part in pieces(batch, "text"):
-                for owner, ids in zip(part.column("doc_id").to_pylist(), words.encode(part.column("text").to_pylist())):
+            for part in pieces(batch, "text", PART_BYTES):
+                for owner, ids in zip(part.column("doc_id").to_pylist(), words.encode(part.column("text"))):
                     if waiting and held + len(ids) // 4 > SHARD_IDS:
                         yield flush()
                     waiting.append((owner, ids))

@@ -13,8 +13,8 @@ import pyarrow.compute as pc
 
 from gridtally.llm.hashing import text_bytes
 
-# Strings whose ids a worker remembers, some 250 MB; beyond that it starts anew.
-REMEMBERED = 1_500_000
+# Strings whose ids a worker remembers, some 80 MB; beyond that it starts anew. An executor has a worker for each core.
+REMEMBERED = 400_000
 # Strings that are encoded in one text, with this word between them.
 TOGETHER = 512
 BETWEEN = "0"
@@ -225,9 +225,9 @@ class Encoder:
                 parts[i] = self._by_pieces(data[a:b], kind[a:b], np.array([0, b - a]))[0]
         return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64)))
 
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+    def encode(self, texts: Sequence[str | None] | pa.Array) -> list[bytes]:
         """Ids of each text as unsigned 32-bit integers, lowest byte first; null is empty."""
-        ids, offsets = self.arrays(pa.array(texts, pa.large_string()))
+        ids, offsets = self.arrays(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
         raw = ids.astype("<u4").tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 

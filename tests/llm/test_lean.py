@@ -7,12 +7,14 @@ import pytest
 from gridtally import session
 from gridtally.llm import jaccard_join
 from gridtally.llm.frequency import BITMAP_BITS
-from gridtally.llm.hashing import prefix_sums, text_bytes
+from gridtally.llm.hashing import pieces, prefix_sums, text_bytes
 from gridtally.llm.jaccard_join import jaccard_components, sketch
 from gridtally.llm.language_id import LanguageModel, identify
 from gridtally.llm.merkle import edited_fingerprints
 from gridtally.llm.suffix_dedup import NEAR, OWNER, SIDE, SPAN, SUFFIX, anchors, beside, needed, pack, pack_owners, pack_spans
 from gridtally.llm.suffix_dedup import pack_suffixes, reach, remove_repeats, unpack_owners, unpack_spans, unpack_suffixes
+from gridtally.llm.token_files import PART_BYTES, TOKENIZER
+from gridtally.llm.tokens import Encoder, tokenizer_path
 from gridtally.llm.vector_packing import pack_documents
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -128,3 +130,24 @@ def test_shuffles_of_steps_go_and_the_setting_comes_back(spark):
     with session.passing_shuffles(spark):
         assert spark.conf.get(session.SHUFFLES_GO) == "true"
     assert spark.conf.get(session.SHUFFLES_GO, None) == before
+
+
+def test_a_tokenizer_remembers_few_strings():
+    words = Encoder(tokenizer_path(TOKENIZER), False)
+    texts = [" ".join(f"w{chr(97 + i)}{chr(97 + j)}{chr(97 + k)}{a}{b}" for a in "abcdefghij" for b in "klmnopqrst") for i in range(26) for j in range(26) for k in range(7)]
+    assert len(texts) * 100 > 450_000
+    for at in range(0, len(texts), 500):
+        words.encode(texts[at : at + 500])
+        assert len(words.place) <= 400_000
+    # what was forgotten is encoded anew
+    assert words.encode(texts[:2]) == [words._whole([t])[0].tobytes() for t in texts[:2]]
+
+
+def test_token_files_look_a_word_up_once_in_many_texts():
+    words, asked = Encoder(tokenizer_path(TOKENIZER), False), []
+    places = words._places
+    words._places = lambda strings: asked.extend(strings) or places(strings)
+    batch = pa.RecordBatch.from_pydict({"text": ["some words and more of the same " * 40] * 1000})
+    found = [ids for part in pieces(batch, "text", PART_BYTES) for ids in words.encode(part.column("text"))]
+    assert asked.count("words") == 1
+    assert found == words.encode(batch.column("text").to_pylist())
