@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from gridtally.llm.components import components
 from gridtally.llm.frequency import frequency_bitmaps, holds, id_bitmap
 from gridtally.llm.hashing import mix, pieces, shingle_sets
+from gridtally.llm.tokens import drop_encoders
 from gridtally.session import materialize, passing_shuffles, release, text_batches
 
 SHINGLE_WORDS = 5
@@ -114,6 +115,7 @@ def signatures(
     known = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         shared, often = known.value
         for batch in batches:
             for part in pieces(batch, text):

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.llm.hashing import pieces
+from gridtally.llm.tokens import drop_encoders
 from gridtally.session import text_batches
 
 UNDETERMINED = "und"
@@ -165,6 +166,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", pred: st
     docs = docs.drop(*[c for c in docs.columns if c.lower() in (pred.lower(), score.lower())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         languages, tables = shared.value.languages, shared.value.tables
         none = np.zeros(len(languages))
         names = np.array([*languages, UNDETERMINED], object)

@@ -5,10 +5,10 @@ import pyarrow as pa
 import pytest
 
 from gridtally import session
-from gridtally.llm import jaccard_join
+from gridtally.llm import jaccard_join, tokens
 from gridtally.llm.frequency import BITMAP_BITS
 from gridtally.llm.hashing import pieces, prefix_sums, text_bytes
-from gridtally.llm.jaccard_join import jaccard_components, sketch
+from gridtally.llm.jaccard_join import jaccard_components, signatures, sketch
 from gridtally.llm.language_id import LanguageModel, identify
 from gridtally.llm.merkle import edited_fingerprints
 from gridtally.llm.suffix_dedup import NEAR, OWNER, SIDE, SPAN, SUFFIX, anchors, beside, needed, pack, pack_owners, pack_spans
@@ -151,3 +151,28 @@ def test_token_files_look_a_word_up_once_in_many_texts():
     found = [ids for part in pieces(batch, "text", PART_BYTES) for ids in words.encode(part.column("text"))]
     assert asked.count("words") == 1
     assert found == words.encode(batch.column("text").to_pylist())
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda d: identify(d, LanguageModel([], [{}] * 5)),
+        lambda d: signatures(d.withColumnRenamed("doc_id", "node"), "text", (np.zeros(1), np.zeros(1)), 80, 5),
+    ],
+    ids=["identify", "signatures"],
+)
+def test_tasks_without_a_tokenizer_free_the_worker_of_it(odd, monkeypatch, operator):
+    tasks = []
+    monkeypatch.setattr(type(odd), "mapInArrow", lambda self, task, schema: tasks.append(task) or self)
+    operator(odd)
+    tokens.encoder(tokenizer_path(TOKENIZER), False)
+    assert tokens._encoders
+    list(tasks[-1](iter([])))
+    assert not tokens._encoders
+
+
+def test_arrow_gives_freed_memory_back_after_a_batch(monkeypatch):
+    given = []
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: given.append(1)})())
+    assert len(list(pieces(pa.RecordBatch.from_pydict({"text": ["abc", None, "de"]}), "text", 3))) == 2
+    assert given == [1]
