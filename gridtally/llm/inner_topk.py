@@ -3,9 +3,10 @@
 Vectors are whole numbers, so scores are exact. Candidates are sorted by descending length and packed
 into blocks of fixed size. All vectors are rotated into the principal directions of the candidates, so the
 first few coordinates carry most of a product; the rest is at most the product of the residual lengths.
-The blocks of the longest vectors give every query a first k-th best score; a block of queries meets only
+The block of the longest vectors gives every query a first k-th best score; a block of queries meets only
 the blocks whose longest vector can still reach one of these, and there only pairs whose bound does are
-multiplied out.
+multiplied out. Blocks of like length are held together, so that a block of queries travels once for all of
+them and its k-th best scores rise from one to the next.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ BLOCK = 4096
 QUERY_BLOCK = 128
 # Rotated coordinates summed before the bound is tested.
 LEADING = 24
+# Blocks of vectors, and their bytes, that a task holds at most; smaller inputs are dealt out to this many groups.
+GROUP = 16
+GROUP_BYTES = 64 << 20
+GROUPS = 64
 
 
 def whole_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -77,6 +82,13 @@ def _gram(vectors: DataFrame, width: int) -> np.ndarray:
     return out
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """The numbers in as few bytes each as the largest needs."""
+    least, most = x.min(initial=0), x.max(initial=0)
+    kind = next(t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max)
+    return x.astype(kind).tobytes()
+
+
 def _blocks(vectors: DataFrame, width: int, rows: int) -> DataFrame:
     """Packed blocks (block, most, ids, x) of the vectors as they come in each partition."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +98,7 @@ def _blocks(vectors: DataFrame, width: int, rows: int) -> DataFrame:
         def flush(ids: np.ndarray, x: np.ndarray, n: int) -> pa.RecordBatch:
             most = float(np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)).max())
             return pa.RecordBatch.from_arrays(
-                [pa.array([base + n]), pa.array([most]), pa.array([ids.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())],
+                [pa.array([base + n]), pa.array([most]), pa.array([ids.tobytes()], pa.binary()), pa.array([_packed(x)], pa.binary())],
                 names=["block", "most", "ids", "x"],
             )
 
@@ -106,7 +118,7 @@ def _blocks(vectors: DataFrame, width: int, rows: int) -> DataFrame:
 
 def _unpacked(ids: bytes, x: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(x, np.int64).reshape(len(ids), width)
+    return ids, np.frombuffer(x, f"i{len(x) // (len(ids) * width)}").reshape(len(ids), width).astype(np.int64)
 
 
 def _longest(rotated: np.ndarray) -> float:
@@ -115,11 +127,10 @@ def _longest(rotated: np.ndarray) -> float:
 
 
 def _best(
-    q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, least: np.ndarray, basis: np.ndarray, k: int
+    q_ids: np.ndarray, q: np.ndarray, rq: np.ndarray, ids: np.ndarray, x: np.ndarray, rx: np.ndarray, least: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query rows, candidate rows and scores of the best k candidates of each query that may reach `least`."""
-    leading = min(LEADING, basis.shape[1])
-    rq, rx = q @ basis, x @ basis
+    """Query rows, candidate rows and scores of the best k candidates of each query that may reach `least`; `rq`, `rx` are rotated."""
+    leading = min(LEADING, rq.shape[1])
     partial = rq[:, :leading] @ rx[:, :leading].T
     left_q = np.sqrt((rq[:, leading:] ** 2).sum(axis=1))
     left_x = np.sqrt((rx[:, leading:] ** 2).sum(axis=1))
@@ -129,24 +140,65 @@ def _best(
     may = (bound + slack >= least[:, None]) & (ids[None, :] != q_ids[:, None])
     i, j = np.nonzero(may)
     largest = _longest(rq) * _longest(rx)
-    if largest >= float(1 << 62):
-        # sums may not fit 64 bits: whole numbers of Python, of which only the best have to fit
-        q, x = q.astype(object), x.astype(object)
-    score = np.empty(len(i), q.dtype)
-    for a in range(0, len(i), 1 << 16):
-        score[a : a + (1 << 16)] = (q[i[a : a + (1 << 16)]] * x[j[a : a + (1 << 16)]]).sum(axis=1)
+    if largest < float(1 << 52) and len(i) * 64 > may.size:
+        # doubles hold every sum on the way, so many pairs are multiplied out at once and still exact
+        score = (q.astype(np.float64) @ x.T.astype(np.float64))[i, j].astype(np.int64)
+    else:
+        if largest >= float(1 << 62):
+            # sums may not fit 64 bits: whole numbers of Python, of which only the best have to fit
+            q, x = q.astype(object), x.astype(object)
+        score = np.empty(len(i), q.dtype)
+        for a in range(0, len(i), 1 << 16):
+            score[a : a + (1 << 16)] = (q[i[a : a + (1 << 16)]] * x[j[a : a + (1 << 16)]]).sum(axis=1)
     reach = score >= least[i]
     i, j, score = i[reach], j[reach], score[reach]
     order = np.lexsort((ids[j], -score, i)) if score.dtype != object else np.array(sorted(range(len(i)), key=lambda n: (i[n], -score[n], ids[j[n]])), int)
     i, j, score = i[order], j[order], score[order]
-    first = np.searchsorted(i, i, "left")
-    top = np.arange(len(i)) - first < k
+    top = _first(i, k)
     best = score[top]
     if len(best) and score.dtype == object and max(abs(s) for s in best.tolist()) >= 1 << 63:
         raise OverflowError("a score is beyond 64 bits")
     return i[top], j[top], best.astype(np.int64)
 
 
+def _first(i: np.ndarray, k: int) -> np.ndarray:
+    """Which entries are among the first k of their row; rows ascend."""
+    return np.arange(len(i)) - np.searchsorted(i, i, "left") < k
+
+
+def _raised(least: np.ndarray, i: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """`least`, or the worst of a row's scores where there are k of them and it is higher."""
+    full = np.bincount(i, minlength=len(least)) == k
+    worst = np.full(len(least), np.inf)
+    np.minimum.at(worst, i, score)
+    return np.where(full, np.maximum(worst, least), least)
+
+
+def _needed(q: np.ndarray, least: np.ndarray) -> float:
+    """The length of the shortest candidate that any query may still need."""
+    size = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
+    need = np.where(least > 0, least / np.maximum(size, 1e-300), 0.0)
+    return float(need.min()) * (1 - 1e-9)
+
+
+def _best_of_group(
+    q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, held: list[tuple[float, np.ndarray, np.ndarray, np.ndarray]], basis: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query rows, ids and scores of the best k candidates in blocks (most, ids, x, rotated x) of descending length."""
+    rq = q @ basis
+    rows, found, scores = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    for most, ids, x, rx in held:
+        if most < _needed(q, least):
+            break
+        i, j, score = _best(q_ids, q, rq, ids, x, rx, least, k)
+        rows, found, scores = np.concatenate((rows, i)), np.concatenate((found, ids[j])), np.concatenate((scores, score))
+        order = np.lexsort((found, -scores, rows))
+        order = order[_first(rows[order], k)]
+        rows, found, scores = rows[order], found[order], scores[order]
+        least = _raised(least, rows, scores, k)
+    return rows, found, scores
+
+
 def inner_top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -159,7 +211,7 @@ def inner_top_k(
     A query is not its own candidate: rows of its id do not count. Ties go to the smaller id. With fewer
     than k candidates all come back; without any, or without queries, none. Repeated rows of an id are
     candidates each; as queries they count once. Missing components count as zero. A score among the best of
-    any two blocks that does not fit 64 bits is an error.
+    any two blocks that does not fit 64 bits is an error, unless a longer block had k better ones already.
     """
     spark = vectors.sparkSession
     queries = queries.dropDuplicates(["vec_id"])
@@ -175,51 +227,63 @@ def inner_top_k(
     asked = materialize(
         _blocks(queries.select("vec_id", "x").repartition(max(1, -(-(shape.n or 0) // (400 * query_block)))), width, query_block), "queries"
     )
-    longest = blocks.orderBy(F.col("most").desc(), "block").limit(1).collect()
-    # 16 bytes per block of vectors
+    # 16 bytes per block of vectors; of the blocks themselves only one comes to the driver
     directory = blocks.select("block", "most").toArrow()
-    reached = directory["block"].to_numpy(), directory["most"].to_numpy()
-    shared = spark.sparkContext.broadcast((basis, [(r.ids, r.x) for r in longest], reached))
+    numbers, most = directory["block"].to_numpy(), directory["most"].to_numpy()
+    order = np.lexsort((numbers, -most))
+    numbers, most = numbers[order], most[order]
+    together = max(1, min(GROUP, GROUP_BYTES // (8 * block * width), len(numbers) // GROUPS))
+    longest = blocks.filter(F.col("block") == int(numbers[0])).collect() if len(numbers) else []
+    shared = spark.sparkContext.broadcast((basis, [(r.ids, r.x) for r in longest], most))
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis, seeds, (numbers, most) = shared.value
+        basis, seeds, most = shared.value
+        seeds = [(i, x, x @ basis) for i, x in (_unpacked(*seed, width) for seed in seeds)]
         for batch in batches:
             least, meets = [], []
             for ids, x in zip(batch.column("ids").to_pylist(), batch.column("x").to_pylist()):
                 q_ids, q = _unpacked(ids, x, width)
                 bottom = np.full(len(q_ids), -np.inf)
                 for seed in seeds:
-                    i, _, score = _best(q_ids, q, *_unpacked(*seed, width), bottom, basis, k)
-                    full = np.bincount(i, minlength=len(q_ids)) == k
-                    worst = np.full(len(q_ids), np.inf)
-                    np.minimum.at(worst, i, score)
-                    bottom[full] = worst[full]
-                # the shortest candidate that any query of the block still needs
-                size = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
-                need = np.where(bottom > 0, bottom / np.maximum(size, 1e-300), 0.0)
+                    i, _, score = _best(q_ids, q, q @ basis, *seed, bottom, k)
+                    bottom = _raised(bottom, i, score, k)
                 least.append(bottom.tobytes())
-                meets.append(numbers[most >= float(need.min()) * (1 - 1e-9)])
+                # blocks descend by length, so those that any query of the block still needs come first
+                meets.append(np.arange(-(-int((most >= _needed(q, bottom)).sum()) // together), dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(least, pa.binary()), pa.array(meets, pa.list_(pa.int64()))],
+                [*batch.columns, pa.array(least, pa.binary()), pa.array(meets, pa.list_(pa.int32()))],
                 names=[*batch.schema.names, "least", "meets"],
             )
 
-    tasks = asked.mapInArrow(
-        start, "block long, most double, ids binary, x binary, least binary, meets array<long>"
-    ).select(F.col("ids").alias("q_ids"), F.col("x").alias("q"), "least", F.explode("meets").alias("block"))
-    pairs = tasks.join(blocks, "block")
+    places = spark.createDataFrame(
+        pa.table({"block": numbers, "place": np.arange(len(numbers))}), "block long, place long"
+    )
+    held = blocks.join(F.broadcast(places), "block").select(
+        F.floor(F.col("place") / together).cast("int").alias("group"), "place", "ids", "x", F.lit(None).cast("binary").alias("least")
+    )
+    asking = asked.mapInArrow(start, "block long, most double, ids binary, x binary, least binary, meets array<int>").select(
+        F.explode("meets").alias("group"), F.lit(len(numbers)).cast("long").alias("place"), "ids", "x", "least"
+    )
+    # no join of the two, which Spark might broadcast: neither side's size is known beforehand
+    groups = max(1, -(-len(numbers) // together))
+    met = held.unionByName(asking).repartitionById(groups, F.col("group")).sortWithinPartitions("group", "place")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis = shared.value[0]
+        basis, _, most = shared.value
+        at, held = None, []
         for batch in batches:
-            for q_ids, q, least, ids, x in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q", "least", "ids", "x"))):
-                q_ids, q = _unpacked(q_ids, q, width)
-                ids, x = _unpacked(ids, x, width)
-                i, j, found = _best(q_ids, q, ids, x, np.frombuffer(least, np.float64), basis, k)
+            for group, place, ids, x, least in zip(*(batch.column(c) for c in ("group", "place", "ids", "x", "least"))):
+                if group.as_py() != at:
+                    at, held = group.as_py(), []
+                ids, x = _unpacked(ids.as_py(), x.as_py(), width)
+                if not least.is_valid:
+                    held.append((most[place.as_py()], ids, x, x @ basis))
+                    continue
+                i, found, best = _best_of_group(ids, x, np.frombuffer(least.as_py(), np.float64), held, basis, k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[i]), pa.array(ids[j]), pa.array(found)], names=["query_id", "vec_id", "score"]
+                    [pa.array(ids[i]), pa.array(found), pa.array(best)], names=["query_id", "vec_id", "score"]
                 )
 
-    found = pairs.select("q_ids", "q", "least", "ids", "x").mapInArrow(score, "query_id long, vec_id long, score long")
+    found = met.mapInArrow(score, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -194,6 +194,21 @@ def test_top_k_of_odd_rows(spark):
     assert top(df.filter("vec_id = 100")) == [] and top(df.limit(0)) == []
 
 
+def test_top_k_sends_no_vectors_to_the_driver(spark):
+    """A few queries, in a small file, meet every block: what they grow to must not be broadcast."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(600)]
+    vectors = whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    found = inner_top_k(vectors, vectors.filter("vec_id % 100 = 0"), block=16, query_block=2)
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    for n, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = [lines[m] for m in range(n + 1, len(lines)) if min(depth[n + 1 : m + 1]) > depth[n]]
+            assert below and not any("MapInArrow" in x or "FileScan" in x for x in below), below
+    assert sorted(tuple(r) for r in found.collect()) == brute_top([(i, [float(np.float32(v)) for v in x]) for i, x in rows])
+
+
 def test_preferences(spark):
     def turns(pair, side, *texts):
         return [(pair, side, i, r, t) for i, (r, t) in enumerate(texts)]
