@@ -1,12 +1,13 @@
 import hashlib
 import math
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridtally.llm.curriculum import SCHEDULES, assign_positions, source_targets, time_due, training_order, word_count
+from gridtally.llm.curriculum import SCHEDULES, assign_positions, delivered, source_targets, time_due, training_order, word_count, write_training_order
 from gridtally.llm.inner_topk import inner_top_k, whole_vectors
 from gridtally.llm.merkle import edited_fingerprints, edits, fingerprint, leaves, likeness
 from gridtally.llm.preference_format import format_preferences
@@ -146,6 +147,39 @@ def test_training_order_is_sorted_by_position(documents):
     assert at == sorted(at)
 
 
+def test_mix_query_writes_the_training_order(spark, documents, tmp_path, monkeypatch):
+    from gridtally.llm import queries
+
+    folders = []
+    path = queries.scratch_path
+    monkeypatch.setattr(queries, "scratch_path", lambda s, label: folders.append(path(s, label)) or folders[-1])
+    docs = documents.limit(60)
+    docs = docs.union(docs.limit(7)).union(documents.limit(1).select(F.lit(None).cast("long"), *documents.columns[1:]))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op9_curriculum_mix(spark, str(tmp_path)).collect()
+    (folder,) = folders
+    assigned = assign_positions(docs).collect()
+    order = spark.read.parquet(folder).collect()
+    want = Counter((r.doc_id, round(p, 9)) for r in assigned for p in r.positions)
+    assert Counter((r.row.doc_id, round(r.position, 9)) for r in order) == want
+    assert {r.row.text for r in order} <= {r.text for r in docs.collect()}
+    files = sorted((p.name for p in Path(folder.removeprefix("file:")).glob("part-*")))
+    at = [r.position for f in files for r in spark.read.parquet(f"{folder}/{f}").collect()]
+    assert at == sorted(at) and len(at) == len(order)
+    columns = ("doc_id", "size", "source_size", "target", "taken")
+    assert Counter(tuple(r[c] for c in columns) for r in rows) == Counter(tuple(r[c] for c in columns) for r in assigned)
+
+
+def test_delivered_counts_the_copies_of_the_order(spark, odd, nothing, tmp_path):
+    assigned = assign_positions(odd)
+    write_training_order(odd, assigned, f"{tmp_path}/all")
+    order = spark.read.parquet(f"{tmp_path}/all")
+    assert sorted(r.taken for r in delivered(assigned, order).collect()) == sorted(r.taken for r in assigned.collect())
+    assert {r.taken for r in delivered(assigned, order.limit(0)).collect()} == {0}
+    write_training_order(nothing, assign_positions(nothing), f"{tmp_path}/none")
+    assert delivered(assign_positions(nothing), spark.read.parquet(f"{tmp_path}/none")).collect() == []
+
+
 def test_mix_of_odd_rows(odd, nothing):
     clash = odd.withColumns({c: F.lit(1) for c in ("size", "row_key", "target", "positions", "row", "_id", "rank")})
     rows = assign_positions(clash).collect()
