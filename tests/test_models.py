@@ -36,6 +36,43 @@ def models():
     }
 
 
+def counted(vectors):
+    """The same rows, and how often one of them was computed."""
+    seen = vectors.sparkSession.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def label(y):
+        seen.add(1)
+        return y
+
+    return vectors.withColumn("y", label.asNondeterministic()("y")), seen
+
+
+def test_rows_of_a_fit_are_computed_once(spark, vectors):
+    rows, seen = counted(vectors)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    fitted = training.fit_all(rows, models())
+    assert seen.value == 600
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+    alone = {name: m.copy().setPredictionCol(name).fit(vectors) for name, m in models().items()}
+    got, want = (training.predict_all(vectors, f).orderBy("reading_id").select("boosted", "linear").collect() for f in (fitted, alone))
+    assert list(fitted) == list(alone) and np.allclose(got, want, rtol=1e-9)
+
+
+def test_prepared_rows_leave_two_copies(spark, sf_dir):
+    from catalog.inputs import to_forecast, train
+    from gridtally import session
+    from gridtally.plans.forecast import Settings, prepare
+
+    def copies():
+        return set(session.folders(spark, f"{session.scratch_root(spark)}/*"))
+
+    before = copies()
+    ready = prepare(train(spark, sf_dir), to_forecast(spark, sf_dir), Settings(outliers="iqr", folds=2))
+    assert sorted(p.rpartition("/")[2].rpartition("-")[0] for p in copies() - before) == ["ahead", "known"]
+    assert ready.known.count() > 0 and ready.ahead.count() > 0
+
+
 def test_oof_covers_each_validation_row_once(vectors):
     folds = splits.time_folds(600, 3)
     oof, _ = training.oof_predictions(vectors, models(), folds, ["reading_id", "y"])
