@@ -59,6 +59,13 @@ def test_rows_of_a_fit_are_computed_once(spark, vectors):
     assert list(fitted) == list(alone) and np.allclose(got, want, rtol=1e-9)
 
 
+def test_rows_of_several_targets_are_computed_once(vectors):
+    rows, seen = counted(vectors)
+    out = training.multi_target(rows, vectors, ["y", "noise"], training.ridge("y", 0.0))
+    assert seen.value == 600
+    assert all(abs(r.noise - n) < 1e-6 for r, (n,) in zip(out.orderBy("reading_id").collect(), vectors.orderBy("reading_id").select("noise").collect()))
+
+
 def test_prepared_rows_leave_two_copies(spark, sf_dir):
     from catalog.inputs import to_forecast, train
     from gridtally import session
